@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from itertools import chain
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .fixed_values import (
@@ -16,16 +17,10 @@ from .fixed_values import (
     TRUNCATED_REGIONS,
     VALID_REGIONS,
 )
-from .text import blank_to_null, fold_accents, normalize_spacing, trim_ws
-
-def _null() -> Column:
-    return F.lit(None).cast("string")
-
+from .text import FOLD_FROM, FOLD_TO, blank_to_null, fold_accents, single_spaced, trim_ws
 
 def literal_map(pairs: dict) -> Column:
-    """A constant map; NULL values keep the string type."""
-    items = ((F.lit(k), F.lit(v) if v is not None else _null()) for k, v in pairs.items())
-    return F.create_map(*chain.from_iterable(items))
+    return F.create_map(*(F.lit(x) for x in chain.from_iterable(pairs.items())))
 
 
 def clean_region(c: Column) -> Column:
@@ -36,12 +31,25 @@ def clean_region(c: Column) -> Column:
     return F.when(~full.isin(INVALID_REGIONS) & full.isin(VALID_REGIONS), full)
 
 
-def _usable_commune(v: Column) -> Column:
-    return (
-        (F.length(v) >= 3)
-        & ~v.rlike("[0-9]")
-        & ~F.left(v, F.lit(1)).isin(list(BAD_FIRST_CHARS))
-    )
+_BAD_FIRST = re.escape(BAD_FIRST_CHARS)
+# Three characters or more, no digit, no rejected first character.
+_USABLE = rf"^[^{_BAD_FIRST}0-9][^0-9]{{2,}}$"
+
+
+def commune_value(raw: Column) -> Column:
+    """Trimmed commune with even spacing; closing dots go if three characters remain."""
+    return F.regexp_replace(single_spaced(raw), r"(?s)^(.{2,}[^.])\.+$", "$1")
+
+
+def _commune_pick(raw: Column, value: Column, key: Column, fold_keys: bool = False) -> Column:
+    corrections = dict.fromkeys(REGION_PREFIXES) | COMMUNE_CORRECTIONS
+    if fold_keys:
+        table = str.maketrans(FOLD_FROM[: len(FOLD_TO)], FOLD_TO)
+        corrections = {k.translate(table).upper(): v for k, v in corrections.items()}
+    # A blank target means "not a commune"; NULL from the map means no entry.
+    targets = literal_map({k: v or "" for k, v in corrections.items()})
+    fixed = F.coalesce(F.try_element_at(targets, key), value)
+    return blank_to_null(F.when(raw.rlike(_USABLE), fixed))
 
 
 def clean_commune(c: Column, fold_keys: bool = False) -> Column:
@@ -49,24 +57,18 @@ def clean_commune(c: Column, fold_keys: bool = False) -> Column:
 
     `fold_keys` also folds the correction keys, which revives those with Ñ.
     """
-    corrections = COMMUNE_CORRECTIONS
-    if fold_keys:
-        from .text import FOLD_FROM, FOLD_TO
-
-        table = str.maketrans(FOLD_FROM[: len(FOLD_TO)], FOLD_TO)
-        corrections = {k.translate(table).upper(): v for k, v in corrections.items()}
     raw = trim_ws(c)
-    spaced = normalize_spacing(raw)
-    no_dots = F.rtrim(spaced, F.lit("."))
-    value = F.when(F.length(no_dots) >= 3, no_dots).otherwise(spaced)
-    key = F.when(_usable_commune(raw) & (F.length(value) >= 3), fold_accents(value))
-    # The hash-set test keeps clean values away from the map scan.
-    return (
-        F.when(key.isNull(), _null())
-        .when(key.isin(list(corrections)), F.try_element_at(literal_map(corrections), key))
-        .when(key.isin(REGION_PREFIXES), _null())
-        .otherwise(value)
-    )
+    value = commune_value(raw)
+    return _commune_pick(raw, value, fold_accents(value), fold_keys)
+
+
+def with_clean_commune(df: DataFrame, source: str, target: str, fold_keys: bool = False) -> DataFrame:
+    """`clean_commune` in steps, so that no step is computed twice per row."""
+    steps = df.withColumn("_raw", trim_ws(F.col(source)))
+    steps = steps.withColumn("_value", commune_value(F.col("_raw")))
+    steps = steps.withColumn("_key", fold_accents(F.col("_value")))
+    picked = _commune_pick(F.col("_raw"), F.col("_value"), F.col("_key"), fold_keys)
+    return steps.withColumn(target, picked).drop("_raw", "_value", "_key")
 
 
 def report_region(c: Column) -> Column:
@@ -76,4 +78,4 @@ def report_region(c: Column) -> Column:
 
 def report_commune(c: Column) -> Column:
     v = trim_ws(c)
-    return blank_to_null(F.when(_usable_commune(v), v))
+    return F.when(v.rlike(_USABLE), v)

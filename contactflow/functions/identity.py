@@ -20,11 +20,7 @@ def normalize_rut(c: Column, split_dv: bool = False) -> Column:
     if split_dv:
         v = F.regexp_replace(v, "-[0-9Kk]$", "")
     v = F.ltrim(F.translate(v, ".-", ""), F.lit(WHITESPACE))
-    digits = blank_to_null(F.regexp_extract(v, r"(?U)^([0-9]+)(?:\s|$)", 1))
-    return F.when(
-        digits.isNotNull(),
-        F.coalesce(blank_to_null(F.ltrim(digits, F.lit("0"))), F.lit("0")),
-    )
+    return blank_to_null(F.regexp_extract(v, r"(?U)^0*([0-9]+)(?:\s|$)", 1))
 
 
 def normalize_dv(c: Column) -> Column:
@@ -52,9 +48,8 @@ def parse_date(c: Column) -> Column:
 def normalize_phone(c: Column) -> Column:
     """Nine digits; eight get a leading 9; anything else is NULL."""
     digits = F.regexp_replace(c, "[^0-9]", "")
-    return F.when(F.length(digits) == 8, F.concat(F.lit("9"), digits)).when(
-        F.length(digits) == 9, digits
-    )
+    # With a 9 in front, nine or ten digits are left of a usable number.
+    return blank_to_null(F.regexp_extract(F.concat(F.lit("9"), digits), "^9?([0-9]{9})$", 1))
 
 
 def age_on(birth: Column, today: Column) -> Column:

@@ -52,10 +52,13 @@ def fold_accents(c: Column) -> Column:
     return F.upper(F.translate(c, FOLD_FROM, FOLD_TO))
 
 
-def normalize_spacing(c: Column) -> Column:
+def single_spaced(c: Column) -> Column:
     """One blank between words, and one after a dot that touches a letter."""
-    single = trim_ws(F.regexp_replace(c, " {2,}", " "))
-    return trim_ws(F.regexp_replace(single, r"\.([A-Za-zÀ-ÿ])", ". $1"))
+    return F.regexp_replace(F.regexp_replace(c, " {2,}", " "), r"\.([A-Za-zÀ-ÿ])", ". $1")
+
+
+def normalize_spacing(c: Column) -> Column:
+    return trim_ws(single_spaced(trim_ws(c)))
 
 
 def sentence_case(c: Column) -> Column:

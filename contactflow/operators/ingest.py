@@ -22,9 +22,13 @@ def storable(rut: Column) -> Column:
 
 def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
     """Typed customer lines; `clean` also repairs region and commune."""
-    region = geo.clean_region if clean else (lambda c: text.trim_truncate(c, 100))
-    commune = geo.clean_commune if clean else (lambda c: text.trim_truncate(c, 100))
-    return raw.select(
+    if clean:
+        rows = geo.with_clean_commune(raw, "comuna", "_comuna")
+        commune, region = F.col("_comuna"), geo.clean_region(F.col("region"))
+    else:
+        rows = raw
+        commune, region = (text.trim_truncate(F.col(c), 100) for c in ("comuna", "region"))
+    return rows.select(
         "line_no",
         normalize_rut(F.col("rut")).alias("rut"),
         identity.normalize_dv(F.col("dv")).alias("dv"),
@@ -32,8 +36,8 @@ def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
         identity.normalize_sex(F.col("sexo")).alias("sexo"),
         identity.parse_date(F.col("fecha_nac")).alias("data_nascimento"),
         text.trim_truncate(F.col("direccion"), 255).alias("direccion"),
-        commune(F.col("comuna")).alias("comuna"),
-        region(F.col("region")).alias("region"),
+        commune.alias("comuna"),
+        region.alias("region"),
     )
 
 
@@ -219,28 +223,29 @@ def import_counters(raw: DataFrame, clients: DataFrame, addresses: DataFrame) ->
 
 def clean_customer_file(raw: DataFrame) -> DataFrame:
     """Input columns with cleaned address fields; lines without a key as they were."""
-    keep = normalize_rut(F.col("rut")).isNull()
+    rows = geo.with_clean_commune(raw, "comuna", "_comuna").withColumns({
+        "_keep": normalize_rut(F.col("rut")).isNull(),
+        "_region": geo.clean_region(F.col("region")),
+        "_direccion": F.substring(text.trim_ws(F.col("direccion")), 1, 255),
+    })
 
-    def cleaned(name, expr):
-        return F.when(keep, F.col(name)).otherwise(F.coalesce(expr, F.lit(""))).alias(name)
+    def cleaned(name):
+        new = F.coalesce(F.col(f"_{name}"), F.lit(""))
+        return F.when(F.col("_keep"), F.col(name)).otherwise(new).alias(name)
 
-    replaced = {
-        "region": geo.clean_region(F.col("region")),
-        "comuna": geo.clean_commune(F.col("comuna")),
-        "direccion": text.trim_truncate(F.col("direccion"), 255),
-    }
-    return raw.select(*(cleaned(c, replaced[c]) if c in replaced else F.col(c) for c in raw.columns))
+    replaced = ("region", "comuna", "direccion")
+    return rows.select(*(cleaned(c) if c in replaced else F.col(c) for c in raw.columns))
 
 
 def cleaning_counters(raw: DataFrame) -> DataFrame:
-    rows = raw.select(
-        normalize_rut(F.col("rut")).alias("rut"),
+    rows = geo.with_clean_commune(raw, "comuna", "c1").select(
+        normalize_rut(F.col("rut")).isNotNull().alias("ok"),
         text.trim_ws(F.coalesce(F.col("region"), F.lit(""))).alias("r0"),
         geo.clean_region(F.col("region")).alias("r1"),
         text.trim_ws(F.coalesce(F.col("comuna"), F.lit(""))).alias("c0"),
-        geo.clean_commune(F.col("comuna")).alias("c1"),
+        "c1",
     )
-    ok = F.col("rut").isNotNull()
+    ok = F.col("ok")
     return rows.agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(~ok).alias("sem_rut"),
