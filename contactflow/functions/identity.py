@@ -10,17 +10,29 @@ from .text import WHITESPACE, blank_to_null, trim_ws
 MAX_ID_DIGITS = 8
 
 
-def normalize_rut(c: Column, split_dv: bool = False) -> Column:
-    """Digits of a national id without leading zeros, or NULL.
+def rut_digits(c: Column, split_dv: bool = False) -> Column:
+    """Digits of a national id without leading zeros, '' if there is none.
 
     Dots and dashes vanish, then only the first word counts. With `split_dv`
-    a trailing dash and check digit is cut off first.
+    a trailing dash and check digit is cut off first. Jobs filter on this
+    form: the optimizer repeats a filtered expression once per mention, and
+    turning '' into NULL would mention it twice.
     """
     v = trim_ws(c)
     if split_dv:
         v = F.regexp_replace(v, "-[0-9Kk]$", "")
     v = F.ltrim(F.translate(v, ".-", ""), F.lit(WHITESPACE))
-    return blank_to_null(F.regexp_extract(v, r"(?U)^0*([0-9]+)(?:\s|$)", 1))
+    return F.regexp_extract(v, r"(?U)^0*([0-9]+)(?:\s|$)", 1)
+
+
+def normalize_rut(c: Column, split_dv: bool = False) -> Column:
+    """Digits of a national id without leading zeros, or NULL."""
+    return blank_to_null(rut_digits(c, split_dv))
+
+
+def is_storable(digits: Column) -> Column:
+    """A key of one to eight digits."""
+    return F.length(digits).isin(*range(1, MAX_ID_DIGITS + 1))
 
 
 def normalize_dv(c: Column) -> Column:
@@ -45,11 +57,16 @@ def parse_date(c: Column) -> Column:
     )
 
 
-def normalize_phone(c: Column) -> Column:
-    """Nine digits; eight get a leading 9; anything else is NULL."""
+def phone_digits(c: Column) -> Column:
+    """Nine digits, a leading 9 added to eight; '' for anything else."""
     digits = F.regexp_replace(c, "[^0-9]", "")
     # With a 9 in front, nine or ten digits are left of a usable number.
-    return blank_to_null(F.regexp_extract(F.concat(F.lit("9"), digits), "^9?([0-9]{9})$", 1))
+    return F.regexp_extract(F.concat(F.lit("9"), digits), "^9?([0-9]{9})$", 1)
+
+
+def normalize_phone(c: Column) -> Column:
+    """Nine digits; eight get a leading 9; anything else is NULL."""
+    return blank_to_null(phone_digits(c))
 
 
 def age_on(birth: Column, today: Column) -> Column:

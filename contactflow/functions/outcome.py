@@ -31,7 +31,7 @@ from .fixed_values import (
     UNTRACKED_FILE,
 )
 from .geo import literal_map
-from .identity import normalize_phone
+from .identity import phone_digits
 from .text import trim_ws
 
 FINAL_OUTCOMES = [1, 2, 3, 6, 7, 8]
@@ -50,7 +50,7 @@ def result_code(sucesso: Column, telefone: Column, email: Column, erro: Column)
     error = F.lower(trim_ws(F.coalesce(erro, F.lit(""))))
     has_phone, has_email = filled(telefone), filled(email)
     return (
-        F.when(ok & has_phone & normalize_phone(telefone).isNull(), 8)
+        F.when(ok & has_phone & (phone_digits(telefone) == ""), 8)
         .when(ok & has_phone & has_email, 1)
         .when(ok & has_phone, 6)
         .when(ok & has_email, 7)

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo, identity, text
 from ..functions.fixed_values import ENRICHED, VALIDATED
-from ..functions.identity import MAX_ID_DIGITS, normalize_phone, normalize_rut
+from ..functions.identity import MAX_ID_DIGITS, is_storable, phone_digits, rut_digits
 from .keyed import assign_ids, first_per_key, insert_ignore, last_per_key, update_join
 
 
@@ -16,12 +16,11 @@ def row_limited(df: DataFrame, limit: int | None, line_no: str = "line_no") -> D
     return df.where(F.col(line_no) < limit) if limit else df
 
 
-def storable(rut: Column) -> Column:
-    return rut.isNotNull() & (F.length(rut) <= MAX_ID_DIGITS)
+def customer_lines(raw: DataFrame, clean: bool = False) -> DataFrame:
+    """Typed customer lines, rut '' where there is no key.
 
-
-def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
-    """Typed customer lines; `clean` also repairs region and commune."""
+    `clean` also repairs region and commune.
+    """
     if clean:
         rows = geo.with_clean_commune(raw, "comuna", "_comuna")
         commune, region = F.col("_comuna"), geo.clean_region(F.col("region"))
@@ -30,7 +29,7 @@ def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
         commune, region = (text.trim_truncate(F.col(c), 100) for c in ("comuna", "region"))
     return rows.select(
         "line_no",
-        normalize_rut(F.col("rut")).alias("rut"),
+        rut_digits(F.col("rut")).alias("rut"),
         identity.normalize_dv(F.col("dv")).alias("dv"),
         text.trim_truncate(F.col("nombre"), 255).alias("nome"),
         identity.normalize_sex(F.col("sexo")).alias("sexo"),
@@ -41,6 +40,11 @@ def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
     )
 
 
+def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
+    """Typed customer lines, rut NULL where there is no key."""
+    return customer_lines(raw, clean).withColumn("rut", text.blank_to_null(F.col("rut")))
+
+
 def stage_rows(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One ledger row per input line with a status and a reason.
 
@@ -50,26 +54,21 @@ def stage_rows(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
         "line_no",
         F.col("rut").alias("raw_rut"),
         F.col("nombre").alias("raw_nome"),
-        normalize_rut(F.col("rut")).alias("normalized_rut"),
+        rut_digits(F.col("rut")).alias("_rut"),
         identity.normalize_dv(F.col("dv")).alias("normalized_dv"),
     )
-    rut = F.col("normalized_rut")
-    firsts = (
-        rows.where(storable(rut)).groupBy("normalized_rut").agg(F.min("line_no").alias("_first"))
-    )
+    firsts = rows.where(is_storable(F.col("_rut"))).groupBy("_rut").agg(F.min("line_no").alias("_first"))
     known = F.lit(False)
     if existing is not None:
         firsts = firsts.join(
-            existing.select(F.col("rut").alias("normalized_rut"), F.lit(True).alias("_known")),
-            "normalized_rut",
-            "left",
+            existing.select(F.col("rut").alias("_rut"), F.lit(True).alias("_known")), "_rut", "left"
         )
         known = F.coalesce(F.col("_known"), F.lit(False))
-    joined = rows.join(firsts, "normalized_rut", "left")
+    joined = rows.join(firsts, "_rut", "left").withColumn("normalized_rut", text.blank_to_null(F.col("_rut")))
     message = (
-        F.when(F.trim(F.coalesce(F.col("raw_rut"), F.lit(""))) == "", "blank key")
-        .when(rut.isNull(), "key is not numeric")
-        .when(F.length(rut) > MAX_ID_DIGITS, "key is too long")
+        F.when(text.trim_ws(F.coalesce(F.col("raw_rut"), F.lit(""))) == "", "blank key")
+        .when(F.col("normalized_rut").isNull(), "key is not numeric")
+        .when(F.length("normalized_rut") > MAX_ID_DIGITS, "key is too long")
         .when(known, "key already stored")
         .when(F.col("_first") < F.col("line_no"), "key repeated in file")
     )
@@ -91,18 +90,19 @@ def stage_rows(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
 
 def rejected_rows(raw: DataFrame) -> DataFrame:
     """Lines without a usable key, with the reason."""
-    rut = normalize_rut(F.col("rut"))
+    rut = F.col("_rut")
     reason = (
         F.when(text.trim_ws(F.coalesce(F.col("rut"), F.lit(""))) == "", "blank key")
-        .when(rut.isNull(), "key is not numeric")
-        .when(F.length(rut) > MAX_ID_DIGITS, "key is too long")
+        .when(rut == "", "key is not numeric")
+        .otherwise("key is too long")
     )
-    return raw.withColumn("reason", reason).where(F.col("reason").isNotNull())
+    rows = raw.withColumn("_rut", rut_digits(F.coalesce(F.col("rut"), F.lit(""))))
+    return rows.where(~is_storable(rut)).withColumn("reason", reason).drop("_rut")
 
 
 def new_clients(raw: DataFrame, clients: DataFrame, staging_id: int) -> DataFrame:
     """Customer rows to append: first line per key, none stored before."""
-    rows = normalize_customers(raw).where(storable(F.col("rut")))
+    rows = customer_lines(raw).where(is_storable(F.col("rut")))
     fresh = insert_ignore(
         clients,
         rows.select("rut", "line_no", "dv", "nome", "sexo", "data_nascimento"),
@@ -116,7 +116,7 @@ def new_clients(raw: DataFrame, clients: DataFrame, staging_id: int) -> DataFram
 
 def new_addresses(raw: DataFrame, clients: DataFrame, addresses: DataFrame, clean: bool = False) -> DataFrame:
     """First address line of each client that has no address yet."""
-    rows = normalize_customers(raw, clean).where(F.col("rut").isNotNull())
+    rows = customer_lines(raw, clean).where(F.col("rut") != "")
     firsts = first_per_key(
         rows.select("rut", "line_no", "direccion", "comuna", "region"), ["rut"], ["line_no"]
     )
@@ -127,6 +127,12 @@ def new_addresses(raw: DataFrame, clients: DataFrame, addresses: DataFrame, clea
     )
 
 
+def contact_lines(raw: DataFrame, value: str, phone: bool, order: list[str]) -> DataFrame:
+    """Contact lines with key and value, '' where there is none."""
+    clean = phone_digits(F.col(value)) if phone else text.trim_ws(F.col(value))
+    return raw.select(rut_digits(F.col("rut")).alias("rut"), clean.alias("valor"), *order)
+
+
 def resolve_contacts(
     raw: DataFrame, clients: DataFrame, value: str, order: list[str], phone: bool
 ) -> DataFrame:
@@ -135,10 +141,7 @@ def resolve_contacts(
     Lines are cut to the first per (key, value) before the join, which is the
     same set of rows the unique key would let in.
     """
-    v = F.col(value)
-    clean = normalize_phone(v) if phone else text.blank_to_null(text.trim_ws(v))
-    rows = raw.select(normalize_rut(F.col("rut")).alias("rut"), clean.alias("valor"), *order)
-    rows = rows.where(F.col("rut").isNotNull() & F.col("valor").isNotNull())
+    rows = contact_lines(raw, value, phone, order).where((F.col("rut") != "") & (F.col("valor") != ""))
     firsts = first_per_key(rows, ["rut", "valor"], order)
     return firsts.join(clients.select("rut", F.col("id").alias("cliente_id")), "rut")
 
@@ -168,14 +171,8 @@ def contact_counters(
     Lines are counted per (key, value) first, so only distinct pairs reach
     the joins.
     """
-    v = F.col(value)
-    clean = normalize_phone(v) if phone else text.blank_to_null(text.trim_ws(v))
-    pairs = (
-        raw.select(normalize_rut(F.col("rut")).alias("rut"), clean.alias("valor"))
-        .groupBy("rut", "valor")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    usable = F.col("rut").isNotNull() & F.col("valor").isNotNull()
+    pairs = contact_lines(raw, value, phone, []).groupBy("rut", "valor").agg(F.count(F.lit(1)).alias("n"))
+    usable = F.coalesce((F.col("rut") != "") & (F.col("valor") != ""), F.lit(False))
     found = pairs.join(clients.select("rut", F.col("id").alias("cliente_id")), "rut", "left").join(
         stored.where(F.col("origem") == ENRICHED)
         .select("cliente_id", F.col(column).alias("valor"), F.lit(True).alias("_old"))
@@ -201,20 +198,20 @@ def contact_counters(
 
 def import_counters(raw: DataFrame, clients: DataFrame, addresses: DataFrame) -> DataFrame:
     """Counters of a customer import, computed without writing anything."""
-    rows = normalize_customers(raw)
-    per_key = rows.groupBy("rut").agg(F.count(F.lit(1)).alias("n"))
+    per_key = customer_lines(raw).groupBy("rut").agg(F.count(F.lit(1)).alias("n"))
     known = clients.join(addresses.select(F.col("cliente_id").alias("id")).distinct().withColumn("_addr", F.lit(True)), "id", "left")
     joined = per_key.join(known.select("rut", "_addr", F.lit(True).alias("_old")), "rut", "left")
-    rut, old = F.col("rut"), F.coalesce(F.col("_old"), F.lit(False))
-    ok = storable(rut)
+    old = F.coalesce(F.col("_old"), F.lit(False))
+    ok = F.coalesce(is_storable(F.col("rut")), F.lit(False))
+    no_key = F.coalesce(F.col("rut") == "", F.lit(True))
 
     def total(cond, value=None):
         return F.coalesce(F.sum(F.when(cond, F.lit(1) if value is None else value)), F.lit(0)).cast("long")
 
     return joined.agg(
         total(F.lit(True), F.col("n")).alias("lidos"),
-        total(rut.isNull(), F.col("n")).alias("ignorados"),
-        total(rut.isNotNull() & ~ok, F.col("n")).alias("quarentena"),
+        total(no_key, F.col("n")).alias("ignorados"),
+        total(~no_key & ~ok, F.col("n")).alias("quarentena"),
         total(ok & ~old).alias("clientes_inseridos"),
         total(ok & F.col("_addr").isNull()).alias("enderecos_inseridos"),
         total(ok, F.col("n") - F.when(old, 0).otherwise(1)).alias("duplicados"),
@@ -224,7 +221,7 @@ def import_counters(raw: DataFrame, clients: DataFrame, addresses: DataFrame) ->
 def clean_customer_file(raw: DataFrame) -> DataFrame:
     """Input columns with cleaned address fields; lines without a key as they were."""
     rows = geo.with_clean_commune(raw, "comuna", "_comuna").withColumns({
-        "_keep": normalize_rut(F.col("rut")).isNull(),
+        "_keep": rut_digits(F.coalesce(F.col("rut"), F.lit(""))) == "",
         "_region": geo.clean_region(F.col("region")),
         "_direccion": F.substring(text.trim_ws(F.col("direccion")), 1, 255),
     })
@@ -239,7 +236,7 @@ def clean_customer_file(raw: DataFrame) -> DataFrame:
 
 def cleaning_counters(raw: DataFrame) -> DataFrame:
     rows = geo.with_clean_commune(raw, "comuna", "c1").select(
-        normalize_rut(F.col("rut")).isNotNull().alias("ok"),
+        (rut_digits(F.coalesce(F.col("rut"), F.lit(""))) != "").alias("ok"),
         text.trim_ws(F.coalesce(F.col("region"), F.lit(""))).alias("r0"),
         geo.clean_region(F.col("region")).alias("r1"),
         text.trim_ws(F.coalesce(F.col("comuna"), F.lit(""))).alias("c0"),
@@ -259,9 +256,9 @@ def replace_addresses(addresses: DataFrame, clients: DataFrame, raw: DataFrame)
     """Addresses overwritten by key from a cleaned file; the last line wins."""
     rows = raw.select(
         "line_no",
-        normalize_rut(F.col("rut")).alias("rut"),
+        rut_digits(F.col("rut")).alias("rut"),
         *(text.blank_to_null(F.col(c)).alias(c) for c in ("direccion", "comuna", "region")),
-    ).where(F.col("rut").isNotNull())
+    ).where(F.col("rut") != "")
     delta = last_per_key(rows, ["rut"], ["line_no"]).join(
         clients.select("rut", F.col("id").alias("cliente_id")), "rut"
     )
@@ -273,12 +270,11 @@ def validated_contacts(
 ) -> DataFrame:
     """Contacts a result file confirms, whatever the outcome of the line."""
     if kind == "telefone":
-        column, value = "numero", normalize_phone(text.trim_ws(F.col("telefone_validado")))
+        column, value = "numero", phone_digits(F.col("telefone_validado"))
     else:
-        column, value = "endereco", text.blank_to_null(text.trim_ws(F.col("email_validado")))
-    rows = results.select(
-        text.blank_to_null(text.trim_ws(F.col("rut"))).alias("rut"), value.alias(column), *order
-    ).where(F.col("rut").isNotNull() & F.col(column).isNotNull())
+        column, value = "endereco", text.trim_ws(F.col("email_validado"))
+    rows = results.select(text.trim_ws(F.col("rut")).alias("rut"), value.alias(column), *order)
+    rows = rows.where((F.col("rut") != "") & (F.col(column) != ""))
     firsts = first_per_key(rows, ["rut", column], order)
     matched = firsts.join(clients.select("rut", F.col("id").alias("cliente_id")), "rut").select(
         "cliente_id", column, F.lit(VALIDATED).alias("origem"), *order

@@ -9,19 +9,20 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import NO_COMMUNE, NO_REGION
 from ..functions.geo import report_commune, report_region
+from ..functions.identity import phone_digits
 from ..functions.outcome import pick_message_column, reportable_message
-from ..functions.text import blank_to_null, percent_text, sentence_case, trim_ws
+from ..functions.text import percent_text, sentence_case, trim_ws
 from .keyed import first_per_key
 
 
 def report_customers(cleaned: DataFrame) -> DataFrame:
     """First line per key of a cleaned file, with report region and commune."""
     rows = cleaned.select(
-        blank_to_null(trim_ws(F.col("rut"))).alias("rut"),
+        trim_ws(F.col("rut")).alias("rut"),
         "line_no",
         report_region(F.col("region")).alias("region"),
         report_commune(F.col("comuna")).alias("comuna"),
-    ).where(F.col("rut").isNotNull())
+    ).where(F.col("rut") != "")
     return first_per_key(rows, ["rut"], ["line_no"])
 
 
@@ -131,12 +132,9 @@ def result_counters(results: DataFrame, clients: DataFrame) -> DataFrame:
 
     Lines are counted per key first; the client table meets the counts.
     """
-    from ..functions.identity import normalize_phone
-
-    key = blank_to_null(trim_ws(F.col("rut"))).alias("rut")
-    per_key = results.groupBy(key).agg(
+    per_key = results.groupBy(trim_ws(F.col("rut")).alias("rut")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.count_if(normalize_phone(F.col("telefone_validado")).isNotNull()).alias("tel"),
+        F.count_if(phone_digits(F.col("telefone_validado")) != "").alias("tel"),
         F.count_if(trim_ws(F.col("email_validado")) != "").alias("mail"),
     )
     found = per_key.join(clients.select("rut", F.lit(True).alias("_hit")), "rut", "left")

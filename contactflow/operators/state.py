@@ -16,7 +16,7 @@ from ..functions.fixed_values import (
     VALIDATED,
 )
 from ..functions.outcome import FINAL_OUTCOMES, code_status, result_code
-from ..functions.text import blank_to_null, trim_ws
+from ..functions.text import trim_ws
 from .keyed import assign_ids, first_per_key, last_per_key, mark_ids, rank_by_id, upsert
 
 
@@ -95,10 +95,10 @@ def resolve_results(results: DataFrame, order: list[str]) -> DataFrame:
     ordering = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     code = result_code(*(F.col(c) for c in ("sucesso", "telefone_validado", "email_validado", "erro")))
     lines = results.select(
-        blank_to_null(trim_ws(F.col("rut"))).alias("rut"),
+        trim_ws(F.col("rut")).alias("rut"),
         code.alias("code"),
         ordering.alias("at"),
-    ).where(F.col("rut").isNotNull())
+    ).where(F.col("rut") != "")
     final_at = F.when(F.col("code").isin(FINAL_OUTCOMES), F.col("at"))
     chosen = F.coalesce(F.min_by("code", final_at), F.max_by("code", F.col("at")))
     return lines.groupBy("rut").agg(chosen.alias("resposta_id")).withColumn(

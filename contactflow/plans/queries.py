@@ -89,7 +89,7 @@ def s03_result_source(i):
 
 @query
 def s04_key_lookup(i):
-    keys = i.raw_phones.select(identity.normalize_rut(col("rut")).alias("rut")).distinct()
+    keys = i.raw_phones.select(identity.rut_digits(col("rut")).alias("rut")).distinct()
     return i.clients.select("id", "rut").join(keys, "rut", "left_semi")
 
 
@@ -184,7 +184,7 @@ def s10_state_upsert(i):
 
 @query
 def s11_update_join(i):
-    rows = ingest.normalize_customers(i.raw_clients).where(col("rut").isNotNull())
+    rows = ingest.customer_lines(i.raw_clients).where(col("rut") != "")
     delta = first_per_key(rows.select("rut", "line_no", "nome", "sexo"), ["rut"], LINE)
     return update_join(i.clients, delta, ["rut"], ["nome", "sexo"])
 
@@ -384,9 +384,9 @@ def p25_month_key(i):
 @query
 def p26_write_coercion(i):
     rows = i.raw_clients.select(
-        "line_no", identity.normalize_rut(col("rut")).alias("rut"), identity.normalize_dv(col("dv")).alias("dv")
+        "line_no", identity.rut_digits(col("rut")).alias("rut"), identity.normalize_dv(col("dv")).alias("dv")
     )
-    return rows.where(ingest.storable(col("rut")))
+    return rows.where(identity.is_storable(col("rut")))
 
 
 @query
@@ -639,7 +639,7 @@ def a08_info(i):
 
 
 def customers(i) -> DataFrame:
-    rows = ingest.normalize_customers(i.raw_clients, clean=True)
+    rows = ingest.customer_lines(i.raw_clients, clean=True)
     return report.report_customers(rows)
 
 
@@ -742,7 +742,7 @@ def w03_email_slots(i):
 
 @query
 def w04_first_row_per_key(i):
-    rows = ingest.normalize_customers(i.raw_clients).where(col("rut").isNotNull())
+    rows = ingest.customer_lines(i.raw_clients).where(col("rut") != "")
     return first_per_key(rows, ["rut"], LINE).select("rut", "line_no", "dv", "nome", "sexo", "data_nascimento")
 
 

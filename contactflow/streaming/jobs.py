@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.outcome import FINAL_OUTCOMES, code_status, result_code
-from ..functions.text import blank_to_null, trim_ws
+from ..functions.text import trim_ws
 from ..operators.keyed import first_per_key, insert_ignore, last_per_key
 from ..operators.state import apply_results
 from ..sources.files import RESULT_SCHEMA
@@ -158,10 +158,10 @@ def key_states(
     """
     code = result_code(*(F.col(c) for c in ("sucesso", "telefone_validado", "email_validado", "erro")))
     lines = _source(spark, source, files_per_batch).select(
-        blank_to_null(trim_ws(F.col("rut"))).alias("rut"), code.alias("code"), "line_no"
+        trim_ws(F.col("rut")).alias("rut"), code.alias("code"), "line_no"
     )
     final_at = F.when(F.col("code").isin(FINAL_OUTCOMES), F.col("line_no"))
-    states = lines.where(F.col("rut").isNotNull()).groupBy("rut").agg(
+    states = lines.where(F.col("rut") != "").groupBy("rut").agg(
         F.min_by("code", final_at).alias("final"),
         F.max_by("code", "line_no").alias("last"),
         F.count(F.lit(1)).alias("tentativas"),
