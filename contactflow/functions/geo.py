@@ -20,15 +20,18 @@ from .fixed_values import (
 from .text import FOLD_FROM, FOLD_TO, blank_to_null, fold_accents, single_spaced, trim_ws
 
 def literal_map(pairs: dict) -> Column:
-    return F.create_map(*(F.lit(x) for x in chain.from_iterable(pairs.items())))
+    """A constant map, parsed as one literal."""
+    def quoted(v):
+        return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return F.expr("map(" + ", ".join(quoted(x) for x in chain.from_iterable(pairs.items())) + ")")
 
 
 def clean_region(c: Column) -> Column:
-    v = trim_ws(c)
-    full = F.when(
-        v.isin(list(TRUNCATED_REGIONS)), F.try_element_at(literal_map(TRUNCATED_REGIONS), v)
-    ).otherwise(v)
-    return F.when(~full.isin(INVALID_REGIONS) & full.isin(VALID_REGIONS), full)
+    """Full region name, or NULL for anything outside the accepted spellings."""
+    names = {r: r for r in VALID_REGIONS} | TRUNCATED_REGIONS
+    accepted = {k: v for k, v in names.items() if v in VALID_REGIONS and v not in INVALID_REGIONS}
+    return F.try_element_at(literal_map(accepted), trim_ws(c))
 
 
 _BAD_FIRST = re.escape(BAD_FIRST_CHARS)
@@ -72,8 +75,7 @@ def with_clean_commune(df: DataFrame, source: str, target: str, fold_keys: bool
 
 
 def report_region(c: Column) -> Column:
-    v = trim_ws(c)
-    return F.when(v.isin(REPORT_REGIONS), v)
+    return F.try_element_at(literal_map({r: r for r in REPORT_REGIONS}), trim_ws(c))
 
 
 def report_commune(c: Column) -> Column:

@@ -23,7 +23,7 @@ def unbalanced_days(summary: DataFrame) -> DataFrame:
 def unmapped_statuses(state: DataFrame, mapped: list[str]) -> DataFrame:
     """Status codes present in the data but not in `mapped`."""
     known = state.sparkSession.createDataFrame([(s,) for s in mapped], "status string")
-    return state.select("status").subtract(known)
+    return state.select("status").distinct().join(known, "status", "left_anti")
 
 
 def total_row_check(summary: DataFrame) -> DataFrame:
