@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -134,19 +134,22 @@ def resolve_by_history(rows: DataFrame, history: DataFrame) -> DataFrame:
     One match, several matches (a row each) or none, tagged as such. The
     number of matches is counted on the history side.
     """
-    known = active_history(history)
-    sizes = known.groupBy("cpf", "distribuidora_id").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = (
-        rows.withColumn("_d", F.col("distribuidora_id").cast("string"))
-        .join(sizes.withColumnRenamed("distribuidora_id", "_d"), ["cpf", "_d"], "left")
-        .join(known.withColumnRenamed("distribuidora_id", "_d"), ["cpf", "_d"], "left")
-    )
-    tag = (
+    keyed = rows.withColumns({"_cpf": F.col("cpf"), "_d": F.col("distribuidora_id").cast("string")})
+    return _with_history(keyed, history).withColumn("origem_uc", _history_tag()).drop("_cpf", "_d", "_n")
+
+
+def _with_history(keyed: DataFrame, history: DataFrame) -> DataFrame:
+    known = active_history(history).toDF("_cpf", "uc", "_d")
+    sizes = known.groupBy("_cpf", "_d").agg(F.count(F.lit(1)).alias("_n"))
+    return keyed.join(known.join(sizes, ["_cpf", "_d"]), ["_cpf", "_d"], "left")
+
+
+def _history_tag() -> Column:
+    return (
         F.when(F.col("_n") == 1, "historico_unico")
         .when(F.col("_n") > 1, "historico_multiplo")
         .otherwise("sem_historico")
     )
-    return tagged.withColumn("origem_uc", tag).drop("_n", "_d")
 
 
 def confirmed_rows(
@@ -182,13 +185,23 @@ def provenance_report(
 ) -> DataFrame:
     """Confirmed rows with their unit and where the unit came from."""
     rows = confirmed_rows(state, clients, companies, addresses, phones)
-    direct = (
-        rows.where(F.col("cliente_uc_id").isNotNull())
-        .join(units.select(F.col("id").alias("cliente_uc_id"), "uc"), "cliente_uc_id")
-        .withColumn("origem_uc", F.lit("cliente_uc_id"))
+    has_unit = F.col("cliente_uc_id").isNotNull()
+    # Only rows without a unit carry a history key, so one pass serves the
+    # three provenances.
+    keyed = rows.withColumns({
+        "_cpf": F.when(~has_unit, F.col("cpf")),
+        "_d": F.when(~has_unit, F.col("distribuidora_id").cast("string")),
+    })
+    own = units.select(F.col("id").alias("cliente_uc_id"), F.col("uc").alias("_own"))
+    both = _with_history(keyed, history).join(own, "cliente_uc_id", "left")
+    return (
+        both.where(~has_unit | F.col("_own").isNotNull())
+        .withColumns({
+            "uc": F.coalesce("_own", "uc"),
+            "origem_uc": F.when(has_unit, "cliente_uc_id").otherwise(_history_tag()),
+        })
+        .select(*PROVENANCE_FILE)
     )
-    inferred = resolve_by_history(rows.where(F.col("cliente_uc_id").isNull()), history)
-    return direct.select(*PROVENANCE_FILE).unionByName(inferred.select(*PROVENANCE_FILE))
 
 
 def first_full_address(addresses: DataFrame) -> DataFrame:

@@ -138,8 +138,8 @@ def resolve_contacts(
 ) -> DataFrame:
     """Usable contact lines with the client ids of their key.
 
-    Lines are cut to the first per (key, value) before the join, which is the
-    same set of rows the unique key would let in.
+    Lines are cut to the first per (key, value) before the join. A client has
+    one key, so the result is also unique per (client, value).
     """
     rows = contact_lines(raw, value, phone, order).where((F.col("rut") != "") & (F.col("valor") != ""))
     firsts = first_per_key(rows, ["rut", "valor"], order)
@@ -160,7 +160,8 @@ def new_contacts(
     rows = resolve_contacts(raw, clients, value, order, phone).select(
         "cliente_id", F.col("valor").alias(column), F.lit(ENRICHED).alias("origem"), *order
     )
-    return insert_ignore(stored, rows, ["cliente_id", column, "origem"], order, key_collation)
+    keys = ["cliente_id", column, "origem"]
+    return insert_ignore(stored, rows, keys, order, key_collation, unique=True)
 
 
 def contact_counters(
@@ -279,7 +280,7 @@ def validated_contacts(
     matched = firsts.join(clients.select("rut", F.col("id").alias("cliente_id")), "rut").select(
         "cliente_id", column, F.lit(VALIDATED).alias("origem"), *order
     )
-    return insert_ignore(stored, matched, ["cliente_id", column, "origem"], order)
+    return insert_ignore(stored, matched, ["cliente_id", column, "origem"], order, unique=True)
 
 
 def remaining(todo: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:

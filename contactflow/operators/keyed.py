@@ -67,10 +67,19 @@ def rank_by_id(
     )
 
 
+def next_id(existing: DataFrame) -> Column:
+    """One above the largest id, as a scalar subquery."""
+    return existing.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
+
+
 def assign_ids(new: DataFrame, existing: DataFrame, order: str, name: str = "id") -> DataFrame:
-    """Adds `name`: ids continuing after the largest existing id, in `order`."""
-    start = existing.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    return rank_by_id(new, order, name).withColumn(name, F.col(name) + start)
+    """Adds `name`: ids above every existing id, ascending in `order`.
+
+    `order` is unique and not negative, so adding it to the next free id is
+    enough: no rank and no shuffle. Ids may have gaps, as a sequence has
+    after ignored inserts; `rank_by_id` numbers without gaps.
+    """
+    return new.withColumn(name, next_id(existing) + F.col(order))
 
 
 def collated(keys: list[str], collation: str | None) -> list[Column]:
@@ -83,10 +92,14 @@ def insert_ignore(
     keys: list[str],
     order: list[str],
     key_collation: str | None = None,
+    unique: bool = False,
 ) -> DataFrame:
-    """Rows of `delta` to append: first writer per key, none already stored."""
+    """Rows of `delta` to append: first writer per key, none already stored.
+
+    `unique` says that `delta` has one row per exact key already.
+    """
     if key_collation is None:
-        fresh = first_per_key(delta, keys, order)
+        fresh = delta if unique else first_per_key(delta, keys, order)
         return fresh.join(target.select(*keys), keys, "left_anti")
     names = [f"_k{i}" for i in range(len(keys))]
 

@@ -17,7 +17,7 @@ from ..functions.fixed_values import (
 )
 from ..functions.outcome import FINAL_OUTCOMES, code_status, result_code
 from ..functions.text import trim_ws
-from .keyed import assign_ids, first_per_key, last_per_key, mark_ids, rank_by_id, upsert
+from .keyed import assign_ids, first_per_key, last_per_key, mark_ids, next_id, rank_by_id, upsert
 
 
 def latest_pending(state: DataFrame, clients: DataFrame) -> DataFrame:
@@ -126,19 +126,14 @@ def apply_results(
 
 
 def apply_outcomes(state: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
-    missing = outcomes.join(state.select("cliente_id"), "cliente_id", "left_anti")
-    new_ids = assign_ids(missing.select("cliente_id"), state, "cliente_id", "row_id")
-    delta = outcomes.join(new_ids, "cliente_id", "left")
+    """One outcome per client merged into the state in a single join."""
     is_open = F.col("status").isin(OPEN_STATES)
     update = {
         c: F.when(is_open, F.col(f"new_{c}")).otherwise(F.col(c)) for c in ("resposta_id", "status")
     }
-    insert = {"id": F.col("new_row_id")}
-    for c, default in [("extraido", F.lit(0)), ("data_criacao", now)]:
-        if c in state.columns:
-            insert[c] = default
+    insert = {"id": next_id(state) + F.col("cliente_id"), "extraido": F.lit(0), "data_criacao": now}
     update["data_update"] = insert["data_update"] = now
-    return upsert(state, delta, ["cliente_id"], update, insert)
+    return upsert(state, outcomes, ["cliente_id"], update, insert)
 
 
 def apply_by_id(state: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
@@ -193,9 +188,8 @@ def link_contacts(state: DataFrame, phones: DataFrame, emails: DataFrame) -> Dat
 
 def open_import(imports: DataFrame, filename: str, now: Column) -> DataFrame:
     """Ledger with one more row in state processing."""
-    row_id = imports.agg(F.coalesce(F.max("id"), F.lit(0)) + 1).scalar()
     one = imports.sparkSession.range(1)
-    values = {"id": row_id, "filename": F.lit(filename), "status": F.lit("processing"), "started_at": now}
+    values = {"id": next_id(imports), "filename": F.lit(filename), "status": F.lit("processing"), "started_at": now}
     fresh = one.select(
         *(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in imports.schema)
     )

@@ -185,7 +185,7 @@ CLIENT_OUTCOMES = f"(SELECT c.id AS cliente_id, o.* FROM {outcomes()} o JOIN cli
 def apply_results(state: str) -> str:
     opened = "s.status IN ('pendente', 'processando')"
     return f"""
-      SELECT coalesce(s.id, m.top + row_number() OVER (PARTITION BY s.id IS NULL ORDER BY o.cliente_id)) AS id,
+      SELECT coalesce(s.id, m.top + 1 + o.cliente_id) AS id,
         coalesce(s.cliente_id, o.cliente_id) AS cliente_id,
         CASE WHEN s.id IS NULL OR (o.rut IS NOT NULL AND {opened}) THEN o.status ELSE s.status END AS status,
         CASE WHEN s.id IS NULL OR (o.rut IS NOT NULL AND {opened}) THEN o.resposta_id ELSE s.resposta_id END AS resposta_id,
@@ -392,7 +392,7 @@ ORACLES: dict[str, str] = {
     "s07_report_export_sink": f"""SELECT coalesce(uc_ativa, '') AS "UC Ativa", cpf AS "CPF", nome AS "Nome", coalesce(telefones, '') AS "Telefones",
       coalesce(endereco_completo, '') AS "Endereco Completo", coalesce(distribuidora, '') AS "Distribuidora", retorno AS "Retorno" FROM {CONTRACT_REPORT}""",
     "s08_batch_handoff": f"""SELECT (SELECT count(*) FROM {batch(2000)}) AS total, FALSE AS dry_run, macro_id, cpf, "codigo cliente", empresa, fornecedor FROM {batch(2000)}""",
-    "s09_insert_ignore_clients": f"""SELECT (SELECT max(id) FROM clients WHERE sexo = 'F') + row_number() OVER (ORDER BY line_no) AS id,
+    "s09_insert_ignore_clients": f"""SELECT (SELECT max(id) FROM clients WHERE sexo = 'F') + 1 + line_no AS id,
       rut, dv, nome, sexo, data_nascimento, 7 AS staging_id FROM {first(CUSTOMERS, 'rut', 'line_no', 'length(rut) <= 8')}
       WHERE rut NOT IN {KNOWN_F}""",
     "s09_insert_ignore_phones": new_contacts(PHONE_LINES, PH, "numero", "phones"),
@@ -561,7 +561,7 @@ ORACLES: dict[str, str] = {
       line_no + 1000000000 * CASE sucesso WHEN '0' THEN 0 WHEN '1' THEN 1 ELSE 2 END AS o FROM macro_result)''')}""",
     "u05_unmapped_statuses": "SELECT DISTINCT status FROM work_state WHERE status NOT IN ('telefone_validado', 'telefone_nao_validado')",
     # --- state table
-    "m01_seed": f"""SELECT (SELECT max(id) FROM {CLOSED}) + row_number() OVER (ORDER BY c.id) AS id, c.id AS cliente_id, 5 AS resposta_id,
+    "m01_seed": f"""SELECT (SELECT max(id) FROM {CLOSED}) + 1 + c.id AS id, c.id AS cliente_id, 5 AS resposta_id,
       'pendente' AS status, 0 AS extraido, {NOW} AS data_update FROM clients c WHERE c.id NOT IN (SELECT cliente_id FROM {CLOSED})""",
     "m02_claim": f"""SELECT id, cliente_id, CASE WHEN id IN (SELECT id FROM {PENDING} ORDER BY data_update, id LIMIT 500) THEN 'processando' ELSE status END AS status,
       data_update FROM work_state""",
