@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -16,9 +16,9 @@ from ..functions.fixed_values import (
 )
 from ..functions.outcome import supplier_or_default
 from ..functions.text import full_address
-from .keyed import first_per_key
+from .keyed import first_per_key, spread_nulls
 
-# A text cell holds at most this many phones; larger clients get several cells.
+# Phones per text cell; see phone_text.
 MAX_CELL = 10_000
 
 
@@ -96,23 +96,27 @@ def phone_text(
 ) -> DataFrame:
     """Distinct phones per client, joined in id order.
 
-    Phones are made distinct before they are collected. A client with more
-    than `max_cell` of them gets one row per range of `max_cell` ids
-    (`parte`), so no cell grows past that and none is lost.
+    Phones are made distinct before they are collected. A client's phones
+    fill one cell, or several (`parte` 0, 1, ...) once there are more than
+    `max_cell`; a cell stays below twice that and none is lost. The split
+    goes by id ranges, whose counts say which cell a range belongs to.
     """
-    distinct = phones.groupBy("cliente_id", "numero").agg(F.min(order).alias("_at"))
-    large = (
-        distinct.groupBy("cliente_id")
+    distinct = (
+        phones.groupBy("cliente_id", "numero")
+        .agg(F.min(order).alias("_at"))
+        .withColumn("_range", F.expr(f"_at div {max_cell}"))
+    )
+    before = Window.partitionBy("cliente_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        distinct.groupBy("cliente_id", "_range")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > max_cell)
-        .drop("_n")
-        .withColumn("_large", F.lit(True))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .select("cliente_id", "_range", F.expr(f"_before div {max_cell}").alias("parte"))
     )
-    part = F.when(F.col("_large"), F.expr(f"_at div {max_cell}")).otherwise(F.lit(0))
     ordered = F.array_sort(F.collect_list(F.struct("_at", "numero")))
     return (
-        distinct.join(large, "cliente_id", "left")
-        .groupBy("cliente_id", part.cast("long").alias("parte"))
+        distinct.join(cells, ["cliente_id", "_range"])
+        .groupBy("cliente_id", "parte")
         .agg(F.array_join(F.transform(ordered, lambda x: x["numero"]), separator).alias("telefones"))
     )
 
@@ -186,14 +190,15 @@ def provenance_report(
     """Confirmed rows with their unit and where the unit came from."""
     rows = confirmed_rows(state, clients, companies, addresses, phones)
     has_unit = F.col("cliente_uc_id").isNotNull()
-    # Only rows without a unit carry a history key, so one pass serves the
-    # three provenances.
+    # Only rows without a unit look into the history, so one pass serves the
+    # three provenances; the others get a key of their own that matches nothing.
     keyed = rows.withColumns({
-        "_cpf": F.when(~has_unit, F.col("cpf")),
-        "_d": F.when(~has_unit, F.col("distribuidora_id").cast("string")),
+        "_cpf": F.when(has_unit, F.concat(F.lit("row "), F.col("id"))).otherwise(F.col("cpf")),
+        "_d": F.col("distribuidora_id").cast("string"),
+        "_uc_id": spread_nulls("cliente_uc_id", "id"),
     })
-    own = units.select(F.col("id").alias("cliente_uc_id"), F.col("uc").alias("_own"))
-    both = _with_history(keyed, history).join(own, "cliente_uc_id", "left")
+    own = units.select(F.col("id").alias("_uc_id"), F.col("uc").alias("_own"))
+    both = _with_history(keyed, history).join(own, "_uc_id", "left")
     return (
         both.where(~has_unit | F.col("_own").isNotNull())
         .withColumns({

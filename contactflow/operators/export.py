@@ -34,7 +34,7 @@ def first_address(addresses: DataFrame, order: str = "id") -> DataFrame:
 
 def clients_of(clients: DataFrame, selected: DataFrame) -> DataFrame:
     """Clients named by the selected rows."""
-    return clients.join(selected.select(F.col("cliente_id").alias("id")), "id", "left_semi")
+    return clients.join(selected.select(F.col("cliente_id").alias("id")).distinct(), "id", "left_semi")
 
 
 def export_rows(
@@ -102,4 +102,7 @@ def client_contacts(
     people = clients.select(
         F.col("id").alias("cliente_id"), "rut", "dv", "nome", "sexo", "data_nascimento"
     )
-    return people.join(contacts, "cliente_id", "left")
+    # The contacts lead an inner join, which can be split where one client
+    # holds many of them; the clients without any are added.
+    without = people.join(contacts.select("cliente_id").distinct(), "cliente_id", "left_anti")
+    return contacts.join(people, "cliente_id").unionByName(without, allowMissingColumns=True)

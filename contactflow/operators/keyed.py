@@ -82,6 +82,15 @@ def assign_ids(new: DataFrame, existing: DataFrame, order: str, name: str = "id"
     return new.withColumn(name, next_id(existing) + F.col(order))
 
 
+def spread_nulls(fk: str, row_id: str) -> Column:
+    """A foreign key to join on, with NULLs turned into keys that match nothing.
+
+    A left join sends all NULL keys to one task; ids are not negative, so
+    these values meet no parent and spread evenly.
+    """
+    return F.coalesce(F.col(fk), -1 - F.col(row_id))
+
+
 def collated(keys: list[str], collation: str | None) -> list[Column]:
     return [F.collate(F.col(k).cast("string"), collation) if collation else F.col(k) for k in keys]
 
@@ -100,14 +109,14 @@ def insert_ignore(
     """
     if key_collation is None:
         fresh = delta if unique else first_per_key(delta, keys, order)
-        return fresh.join(target.select(*keys), keys, "left_anti")
+        return fresh.join(target.select(*keys).distinct(), keys, "left_anti")
     names = [f"_k{i}" for i in range(len(keys))]
 
     def keyed(df):
         return df.withColumns(dict(zip(names, collated(keys, key_collation), strict=True)))
 
     fresh = first_per_key(keyed(delta), names, order)
-    return fresh.join(keyed(target).select(*names), names, "left_anti").drop(*names)
+    return fresh.join(keyed(target).select(*names).distinct(), names, "left_anti").drop(*names)
 
 
 def upsert(

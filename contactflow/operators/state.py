@@ -50,7 +50,7 @@ def id_batch(state: DataFrame, clients: DataFrame, n: int = RUNNER_BATCH) -> Dat
 def seed(state: DataFrame, clients: DataFrame, now: Column) -> DataFrame:
     """State rows with defaults for clients that have none."""
     fresh = clients.select(F.col("id").alias("cliente_id")).join(
-        state.select("cliente_id"), "cliente_id", "left_anti"
+        state.select("cliente_id").distinct(), "cliente_id", "left_anti"
     )
     return assign_ids(fresh, state, "cliente_id").select(
         "id",

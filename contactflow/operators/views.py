@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed_values import PHONE_NOT_OK, PHONE_OK
 from .export import client_contacts
+from .keyed import spread_nulls
 from .state import latest_pending
 
 
@@ -17,11 +18,13 @@ def with_client(state: DataFrame, clients: DataFrame) -> DataFrame:
 
 def finished_rows(state: DataFrame, clients: DataFrame, phones: DataFrame, emails: DataFrame) -> DataFrame:
     """Finished rows with the contacts they link to, NULL where unlinked."""
-    finished = state.where(F.col("status").isin(PHONE_OK, PHONE_NOT_OK))
+    finished = state.where(F.col("status").isin(PHONE_OK, PHONE_NOT_OK)).withColumns(
+        {"_p": spread_nulls("telefone_id", "id"), "_e": spread_nulls("email_id", "id")}
+    )
     linked = (
         with_client(finished, clients)
-        .join(phones.select(F.col("id").alias("telefone_id"), F.col("numero").alias("telefone_extraido")), "telefone_id", "left")
-        .join(emails.select(F.col("id").alias("email_id"), F.col("endereco").alias("email_extraido")), "email_id", "left")
+        .join(phones.select(F.col("id").alias("_p"), F.col("numero").alias("telefone_extraido")), "_p", "left")
+        .join(emails.select(F.col("id").alias("_e"), F.col("endereco").alias("email_extraido")), "_e", "left")
     )
     return linked.select(
         "id", "rut", "dv", "nome", "telefone_extraido", "email_extraido", "status", "data_update"

@@ -575,7 +575,7 @@ def j13_clients_of_selection(i):
 
 @query
 def j14_clients_without_email(i):
-    return i.clients.select(col("id").alias("cliente_id"), "rut").join(i.emails, "cliente_id", "left_anti")
+    return ingest.remaining(i.clients.select(col("id").alias("cliente_id"), "rut"), i.emails, ["cliente_id"])
 
 
 @query
