@@ -77,7 +77,7 @@ def read_results(spark: SparkSession, path, positions: bool = False) -> DataFram
 
     A glob without files is an empty table; a missing explicit file fails.
     """
-    if "*" in path and not _exists(spark, path):
+    if "*" in path and not matches(spark, path):
         return spark.createDataFrame([], RESULT_SCHEMA)
     df = read_delimited(spark, path, positions=positions)
     return df.toDF(*(c.lower() for c in df.columns))
@@ -88,7 +88,8 @@ RESULT_SCHEMA = (
 )
 
 
-def _exists(spark: SparkSession, glob: str) -> bool:
+def matches(spark: SparkSession, glob: str) -> bool:
+    """Whether any path matches the glob."""
     path = spark._jvm.org.apache.hadoop.fs.Path(glob)
     found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
     return found is not None and len(found) > 0
