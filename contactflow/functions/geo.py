@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from itertools import chain
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,12 +18,10 @@ from .fixed_values import (
 )
 from .text import FOLD_FROM, FOLD_TO, blank_to_null, fold_accents, single_spaced, trim_ws
 
-def literal_map(pairs: dict) -> Column:
-    """A constant map, parsed as one literal."""
-    def quoted(v):
-        return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-    return F.expr("map(" + ", ".join(quoted(x) for x in chain.from_iterable(pairs.items())) + ")")
+def literal_map(pairs: dict[str, str]) -> Column:
+    """A constant text map; one literal to analyse, folded once per query."""
+    text = "\u0001".join(f"{k}\u0002{v}" for k, v in pairs.items())
+    return F.str_to_map(F.lit(text), F.lit("\u0001"), F.lit("\u0002"))
 
 
 def clean_region(c: Column) -> Column:

@@ -96,7 +96,8 @@ def interpret_body(
     text = trim_ws(F.coalesce(body, F.lit("")))
     lower = F.lower(text)
     code = body_code(body)
-    builtin = {i: CATALOGUE_STATUS[s] for i, _, s in CONTRACT_OUTCOMES}
+    builtin = {str(i): CATALOGUE_STATUS[s] for i, _, s in CONTRACT_OUTCOMES}
+    builtin_status = F.try_element_at(literal_map(builtin), code.cast("string"))
 
     def out(i, s):
         i = i if isinstance(i, Column) else F.lit(i)
@@ -106,9 +107,7 @@ def interpret_body(
     chain = F.when(text == "", out(*EMPTY_BODY_OUTCOME))
     if known_code is not None:
         chain = chain.when(known_code.isNotNull(), out(known_code, catalogue_state(known_status)))
-    chain = chain.when(
-        code.isin(list(builtin)), out(code, F.try_element_at(literal_map(builtin), code))
-    )
+    chain = chain.when(builtin_status.isNotNull(), out(code, builtin_status))
     for fragment, i, status in BODY_TEXT_RULES:
         chain = chain.when(lower.contains(fragment), out(i, status))
     return chain.otherwise(out(*UNKNOWN_BODY_OUTCOME))

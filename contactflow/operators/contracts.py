@@ -19,7 +19,7 @@ from ..functions.text import full_address
 from .keyed import first_per_key, spread_nulls
 
 # Phones per text cell; see phone_text.
-MAX_CELL = 10_000
+MAX_CELL = 500_000
 
 
 def first_units(units: DataFrame) -> DataFrame:
