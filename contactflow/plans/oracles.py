@@ -97,16 +97,15 @@ def fold(x: str) -> str:
     return f"upper(strip_accents({x}))"
 
 
-def commune(x: str, corrections=None) -> str:
+def with_commune(corrections=None) -> str:
+    """raw_clients with the cleaned commune as `limpa`, one step per level."""
     corrections = corrections or COMMUNE_CORRECTIONS
-    s = spaced(trim(x))
-    v = f"CASE WHEN length(rtrim({s}, '.')) >= 3 THEN rtrim({s}, '.') ELSE {s} END"
-    k = fold(f"({v})")
-    return (
-        f"CASE WHEN {usable(x)} AND length({v}) >= 3 THEN CASE"
-        f" WHEN {k} IN {in_list(corrections)} THEN {case(k, corrections, 'NULL')}"
-        f" WHEN {k} IN {in_list(REGION_PREFIXES)} THEN NULL ELSE {v} END END"
-    )
+    return f"""(SELECT * EXCLUDE (s_, v_, k_), CASE WHEN {usable('comuna')} AND length(v_) >= 3 THEN CASE
+        WHEN k_ IN {in_list(corrections)} THEN {case('k_', corrections, 'NULL')}
+        WHEN k_ IN {in_list(REGION_PREFIXES)} THEN NULL ELSE v_ END END AS limpa
+      FROM (SELECT *, {fold('v_')} AS k_
+      FROM (SELECT *, CASE WHEN length(rtrim(s_, '.')) >= 3 THEN rtrim(s_, '.') ELSE s_ END AS v_
+      FROM (SELECT *, {spaced(trim('comuna'))} AS s_ FROM raw_clients))))"""
 
 
 def pct(part: str, total: str, zero: str) -> str:
@@ -149,12 +148,12 @@ PH = "line_no, pk, sk"
 CUSTOMERS = f"""(SELECT line_no, {rut('rut')} AS rut, {dv('dv')} AS dv, {cut('nombre')} AS nome, {sex('sexo')} AS sexo,
   {date('fecha_nac')} AS data_nascimento, {cut('direccion')} AS direccion, {cut('comuna', 100)} AS comuna,
   {cut('region', 100)} AS region FROM raw_clients)"""
-CLEANED = f"""(SELECT line_no, {rut('rut')} AS rut, {region('region')} AS region, {commune('comuna')} AS comuna FROM raw_clients)"""
+CLEANED = f"""(SELECT line_no, {rut('rut')} AS rut, {region('region')} AS region, limpa AS comuna FROM {with_commune()})"""
 CLEAN_FILE = f"""(SELECT line_no, rut, dv, nombre, sexo,
   CASE WHEN ({rut('rut')}) IS NULL THEN direccion ELSE coalesce({cut('direccion')}, '') END AS direccion,
-  CASE WHEN ({rut('rut')}) IS NULL THEN comuna ELSE coalesce({commune('comuna')}, '') END AS comuna,
+  CASE WHEN ({rut('rut')}) IS NULL THEN comuna ELSE coalesce(limpa, '') END AS comuna,
   CASE WHEN ({rut('rut')}) IS NULL THEN region ELSE coalesce({region('region')}, '') END AS region,
-  fecha_nac FROM raw_clients)"""
+  fecha_nac FROM {with_commune()})"""
 PHONE_LINES = f"""(SELECT {rut('rut')} AS rut, {phone('celular')} AS valor, line_no, pk, sk FROM raw_phones)"""
 EMAIL_LINES = f"""(SELECT {rut('rut')} AS rut, nullif({trim('email')}, '') AS valor, line_no FROM raw_emails)"""
 USABLE = "rut IS NOT NULL AND valor IS NOT NULL"
@@ -417,8 +416,8 @@ ORACLES: dict[str, str] = {
     "p05_trim_truncate": f"SELECT line_no, {cut('nombre', 12)} AS nome, {cut('direccion')} AS direccion, {cut('region', 100)} AS region FROM raw_clients",
     "p06_normalize_phone": f"SELECT line_no, pk, sk, {phone('celular')} AS numero FROM raw_phones",
     "p07_clean_region": f"SELECT line_no, {region('region')} AS region FROM raw_clients",
-    "p08_clean_commune": f"SELECT line_no, {commune('comuna')} AS comuna FROM raw_clients",
-    "p08_clean_commune_folded_keys": f"SELECT line_no, {commune('comuna', _folded)} AS comuna FROM raw_clients",
+    "p08_clean_commune": f"SELECT line_no, limpa AS comuna FROM {with_commune()}",
+    "p08_clean_commune_folded_keys": f"SELECT line_no, limpa AS comuna FROM {with_commune(_folded)}",
     "p09_fold_accents": f"SELECT line_no, {fold('comuna')} AS chave FROM raw_clients",
     "p10_normalize_spacing": f"SELECT line_no, {spaced('comuna')} AS comuna FROM raw_clients",
     "p11_trim_whitespace": f"SELECT line_no, {trim('rut')} AS rut, {trim('direccion')} AS direccion FROM raw_clients",
@@ -520,7 +519,7 @@ ORACLES: dict[str, str] = {
       count(CASE WHEN k IS NOT NULL AND r0 <> '' AND r1 <> r0 THEN 1 END) AS region_expandida,
       count(CASE WHEN k IS NOT NULL AND r0 <> '' AND r1 IS NULL THEN 1 END) AS region_nulificada,
       count(CASE WHEN k IS NOT NULL AND c0 <> '' AND c1 IS NULL THEN 1 END) AS comuna_nulificada
-      FROM (SELECT {rut('rut')} AS k, {trim('region')} AS r0, {region('region')} AS r1, {trim('comuna')} AS c0, {commune('comuna')} AS c1 FROM raw_clients)""",
+      FROM (SELECT {rut('rut')} AS k, {trim('region')} AS r0, {region('region')} AS r1, {trim('comuna')} AS c0, limpa AS c1 FROM {with_commune()})""",
     "a17_message_histogram": f"""SELECT upper(substr(t, 1, 1)) || lower(substr(t, 2)) AS mensagem, n AS quantidade FROM (
       SELECT trim(mensagem) AS t, count(*) AS n FROM texts WHERE upper(trim(mensagem)) NOT IN {in_list(EXCLUDED_MESSAGES)} GROUP BY 1)""",
     "a18_history_counts": f"SELECT count(*) AS combos, count(DISTINCT cpf) AS cpfs FROM {HISTORY}",
@@ -624,7 +623,7 @@ ORACLES: dict[str, str] = {
     "r04_daily_rollup": "SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS qtd FROM events GROUP BY 1, 2",
     "r05_key_state": f"SELECT o.*, n.tentativas FROM {outcomes()} o JOIN (SELECT rut, count(*) AS tentativas FROM macro_result GROUP BY 1) n ON n.rut = o.rut",
     # --- function and API surface
-    "x01_sql_functions": f"SELECT line_no, {rut('rut')} AS rut, {region('region')} AS region, {commune('comuna')} AS comuna FROM raw_clients",
+    "x01_sql_functions": f"SELECT line_no, {rut('rut')} AS rut, {region('region')} AS region, limpa AS comuna FROM {with_commune()}",
     "x01_sql_interpret": f"""SELECT line_no, resposta_id, {status('resposta_id')} AS status, numero FROM (
       SELECT line_no, {code()} AS resposta_id, {phone('telefone_validado')} AS numero FROM macro_result)""",
     "x02_claimable": f"SELECT id, cliente_id, rut FROM {PENDING} ORDER BY data_update, id LIMIT 2000",
