@@ -441,7 +441,7 @@ ORACLES: dict[str, str] = {
     "p25_month_key": "SELECT id, strftime(data_update, '%Y-%m') AS mes, strftime(data_update, '%m/%Y') AS rotulo FROM work_state",
     "p26_write_coercion": f"SELECT * FROM (SELECT line_no, {rut('rut')} AS rut, {dv('dv')} AS dv FROM raw_clients) WHERE length(rut) <= 8",
     "p27_code_rename": "SELECT id, 'validado' AS origem FROM emails WHERE origem IN ('validado', 'enriquecimento')",
-    "p28_short_file_name": "SELECT id, strftime(created_at, '%Y-%m-%d') || '/' || filename AS arquivo FROM imports",
+    "p28_short_file_name": "SELECT id, '2026-04-0' || (staging_id % 5 + 1) || '/carga_' || (staging_id % 20) || '.csv' AS arquivo FROM staging_rows",
     "p29_landed_fields": """SELECT line_no, rut, CASE WHEN sucesso = '1' THEN telefone_validado ELSE '' END AS telefone_validado,
       CASE WHEN sucesso = '1' THEN email_validado ELSE '' END AS email_validado, CASE WHEN sucesso = '1' THEN '1' ELSE '0' END AS sucesso,
       CASE WHEN sucesso = '1' THEN '' WHEN erro = '' THEN 'Erro ou retorno desconhecido' ELSE erro END AS erro FROM macro_result""",
@@ -588,9 +588,9 @@ ORACLES: dict[str, str] = {
       FROM addresses a JOIN clients c ON c.id = a.cliente_id
       LEFT JOIN {first(f"(SELECT * REPLACE ({rut('rut')} AS rut) FROM {CLEAN_FILE})", 'rut', 'line_no', 'rut IS NOT NULL', desc=True)} d ON d.rut = c.rut""",
     "m10_repair_unresolved": "SELECT id, CASE WHEN status = 'reprocessar' AND resposta_id IS NULL THEN 'pendente' ELSE status END AS status FROM contract_state",
-    "m10_upsert_catalogue": """SELECT coalesce(r.id, c.id) AS id, CASE WHEN r.id IS NULL THEN c.mensagem ELSE upper(r.mensagem) END AS mensagem,
-      coalesce(r.status, c.status) AS status FROM contract_respostas c
-      FULL JOIN (SELECT * FROM respostas WHERE status = 'telefone_validado') r ON r.id = c.id""",
+    "m10_upsert_catalogue": """SELECT coalesce(r.id, c.id) AS id, coalesce(r.mensagem, c.mensagem) AS mensagem, coalesce(r.status, c.status) AS status
+      FROM contract_respostas c FULL JOIN (SELECT resposta_id AS id, CAST(count(*) AS VARCHAR) AS mensagem, max(status) AS status
+        FROM work_state WHERE resposta_id IS NOT NULL GROUP BY 1) r ON r.id = c.id""",
     "m11_validated_phones": not_stored(VALIDATED_PHONES, "numero", "linked_phones"),
     "m11_validated_emails": not_stored(VALIDATED_EMAILS, "endereco", "emails"),
     "m12_address_if_none": f"""SELECT c.id AS cliente_id, d.direccion, d.comuna, d.region FROM {first(CUSTOMERS, 'rut', 'line_no', 'rut IS NOT NULL')} d

@@ -398,8 +398,9 @@ def p27_code_rename(i):
 
 @query
 def p28_short_file_name(i):
-    path = F.concat(F.lit("C:\\dados\\"), F.date_format("created_at", "yyyy-MM-dd"), F.lit("\\"), col("filename"))
-    return i.imports.select("id", text.short_file_name(path).alias("arquivo"))
+    day, file = (col("staging_id") % 5 + 1).cast("string"), (col("staging_id") % 20).cast("string")
+    path = F.concat(F.lit("C:\\dados\\2026-04-0"), day, F.lit("\\carga_"), file, F.lit(".csv"))
+    return i.staging_rows.select("id", text.short_file_name(path).alias("arquivo"))
 
 
 @query
@@ -919,7 +920,8 @@ def m10_repair_unresolved(i):
 
 @query
 def m10_upsert_catalogue(i):
-    entries = i.respostas.where(col("status") == PHONE_OK).withColumn("mensagem", F.upper("mensagem"))
+    seen = i.work_state.where(col("resposta_id").isNotNull()).groupBy(col("resposta_id").alias("id"))
+    entries = seen.agg(F.count(F.lit(1)).cast("string").alias("mensagem"), F.max("status").alias("status"))
     return state.upsert_catalogue(i.contract_respostas, entries)
 
 
