@@ -647,5 +647,30 @@ ORACLES: dict[str, str] = {
 }
 
 
+# Date columns go out as ISO text, as in the registered queries.
+DATES = {
+    "s09_insert_ignore_clients": "data_nascimento",
+    "s11_update_join": "data_nascimento",
+    "s12_full_refresh": "dia",
+    "s13_rollup_reader": "data_carga",
+    "p04_parse_date": "data_nascimento",
+    "f03_day_selection": "dia",
+    "f03_month_without_days": "dia",
+    "f04_dimension_filters": "dia",
+    "j05_client_contacts": "data_nascimento",
+    "a01_day_status_message": "dia",
+    "a03_import_statistics": "data_carga",
+    "w04_first_row_per_key": "data_nascimento",
+    "t05_day_options": "dia",
+    "t06_sorted_rollup": "dia",
+    "r04_daily_rollup": "dia",
+}
+
+
+def _final(name: str) -> str:
+    sql, day = ORACLES[name], DATES.get(name)
+    return f"SELECT * REPLACE (CAST({day} AS VARCHAR) AS {day}) FROM ({sql})" if day else sql
+
+
 def oracle_sql() -> dict[str, str]:
-    return {name: with_inputs(sql) for name, sql in ORACLES.items()}
+    return {name: with_inputs(_final(name)) for name in ORACLES}

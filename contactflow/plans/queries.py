@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from ..functions import geo, identity, outcome, registry, text
 from ..functions.fixed_values import (
@@ -44,9 +45,15 @@ def today():
     return F.lit(TODAY)
 
 
+def dates_as_text(df: DataFrame) -> DataFrame:
+    """Dates as ISO text, which every reader of a result prints alike."""
+    days = [f.name for f in df.schema if isinstance(f.dataType, DateType)]
+    return df.withColumns({c: F.col(c).cast("string") for c in days}) if days else df
+
+
 def query(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Inputs(configure(spark), sf_dir))
+        return dates_as_text(fn(Inputs(configure(spark), sf_dir)))
 
     run.__name__, run.__doc__ = fn.__name__, fn.__doc__
     REGISTRY[fn.__name__] = run
