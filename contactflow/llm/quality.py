@@ -17,8 +17,10 @@ FIGURES = (
     "words", "word_length", "marks", "stops", "digits", "upper", "distinct", "top", "echo", "lines", "line_length", "loud",
 )
 QUANTILES = (0.01, 0.03, 0.08, 0.15, 0.3, 0.5, 0.7, 0.85, 0.92, 0.97, 0.99)
-ROUNDS = 12
-RIDGE = 1e-3
+ROUNDS = 16
+RIDGE = 5e-5
+#: Largest change of a weight in a round, and the share of a step that undoes an over-fit.
+STEP, UNDO = 1.0, 0.25
 SIZE = 1 + len(FIGURES) * (len(QUANTILES) + 1)
 
 OTHER, LETTER, CAPITAL, DIGIT, BLANK, STOP, LOUD = range(7)
@@ -122,10 +124,11 @@ def fit(rows: DataFrame, edges: list[np.ndarray], prior: float) -> np.ndarray:
 
     risk = prior * E_trusted[loss of 1] + max(0, E_all[loss of 0] - prior * E_trusted[loss of 0]).
     All documents stand for the unlabelled ones. Where the second part falls below zero, a round
-    moves against it, which undoes the over-fit. Each round is one pass over the figures; only
+    moves against it, which undoes the over-fit. The weights of the least risk are returned. Each round is one pass over the figures; only
     SIZE * SIZE sums reach the driver, however many documents there are.
     """
-    weights = np.zeros(SIZE)
+    weights = best = np.zeros(SIZE)
+    least = np.inf
     for _ in range(ROUNDS):
         found = rows.mapInArrow(_sums(weights, edges), "slot int, value double").groupBy("slot").agg(F.sum("value").alias("value")).toPandas()
         total = np.zeros(2 * (2 + 2 * SIZE) + SIZE * SIZE)
@@ -138,14 +141,17 @@ def fit(rows: DataFrame, edges: list[np.ndarray], prior: float) -> np.ndarray:
         negative = loss_all / n_all - prior * loss_pos / n_pos
         negative_grad = grad_all / n_all - prior * grad_pos / n_pos
         positive_grad = prior * (grad_pos - sum_pos) / n_pos
+        risk = prior * (loss_pos - weights @ sum_pos) / n_pos + max(0.0, negative)
+        if risk < least:
+            least, best = risk, weights
         gradient = positive_grad + negative_grad if negative >= 0 else -negative_grad
         curvature = total[-SIZE * SIZE :].reshape(SIZE, SIZE) / n_all + RIDGE * np.eye(SIZE)
         step = np.linalg.solve(curvature, gradient + RIDGE * weights)
-        step *= min(1.0, 4.0 / max(1e-12, np.abs(step).max()))
+        step *= min(1.0, STEP / max(1e-12, np.abs(step).max())) * (1.0 if negative >= 0 else UNDO)
         weights = weights - step
         if np.abs(step).max() < 1e-3:
             break
-    return weights
+    return best
 
 
 def score_quality(spark: SparkSession, docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, np.ndarray]:
