@@ -27,20 +27,21 @@ SHARPNESS = 1.0
 #: Characters of text that are segmented at once; bounds the memory of a task.
 BATCH_CHARS = 200_000
 #: Characters of words whose lattices a worker keeps between batches.
-MAX_NODES = 1_500_000
+MAX_NODES = 1_200_000
 
 
 @dataclass(frozen=True)
 class Vocabulary:
     """Pieces as a trie in sorted arrays, with log weights."""
 
-    spelled: list[bytes]  # piece id to text
+    spelled: np.ndarray  # piece id to text
     weight: np.ndarray
     edge_key: np.ndarray  # node << 21 | character, sorted
     edge_to: np.ndarray
     piece_at: np.ndarray  # node to piece id, or -1
     byte_id: np.ndarray  # byte to piece id
     depth: int
+    roots: np.ndarray  # first character to node, 0 if no piece begins with it
 
 
 @lru_cache(maxsize=2)
@@ -75,7 +76,13 @@ def vocabulary(path: str, sharpness: float = SHARPNESS) -> Vocabulary:
     spelled = [p.replace(SPACE, " ").encode() for p in pieces]
     for byte, i in enumerate(byte_id):
         spelled[i] = bytes([byte])
-    return Vocabulary(spelled, log_weight, key[order], to[order], piece_at, byte_id, depth)
+    spelled = np.array(spelled, object)
+    roots = np.zeros(max(ord(pieces[i][0]) for i in ranked) + 2, np.int64)  # the last stands for all beyond
+    for i in ranked:
+        roots[ord(pieces[i][0])] = nodes[0, ord(pieces[i][0])]
+    if any("\n" in pieces[i] for i in ranked):
+        raise ValueError("pieces with line breaks are not supported")
+    return Vocabulary(spelled, log_weight, key[order], to[order], piece_at, byte_id, depth, roots)
 
 
 def normalise(text: str) -> str:
@@ -85,17 +92,22 @@ def normalise(text: str) -> str:
 
 #: Shares e^-40 times the largest are below the precision of a double.
 NEGLIGIBLE = 40.0
-#: A stretch that no piece crosses: pieces have their space marks in front. Less its first mark.
-STRETCH = regex.compile(f"{SPACE}({SPACE}*[^{SPACE}]+|{SPACE}*$)")
+#: Stretches that no piece crosses, as pieces have their space marks in front and hold no line break.
+STRETCH = regex.compile(f"\n|{SPACE}+[^{SPACE}\n]*|[^{SPACE}\n]+")
+CUT = "\x01"
 
 
 def split_words(text: str) -> list[str]:
-    """Stretches of a text, each without the mark it begins with."""
+    """Stretches of a normalised text, in order; a leading mark is written as a space."""
     if not text:
         return []
-    if text[0] != " " and text[-1] != " " and "  " not in text and SPACE not in text:
-        return text.split(" ")
-    return STRETCH.findall(normalise(text))
+    if "  " not in text and text[0] != " " and SPACE not in text and CUT not in text:
+        # The same cuts by plain replacement.
+        marked = text.replace(" ", CUT + " ")
+        if "\n" in marked:
+            marked = marked.replace("\n", CUT + "\n" + CUT)
+        return list(filter(None, (" " + marked).split(CUT)))
+    return [w.replace(SPACE, " ") for w in STRETCH.findall(normalise(text))]
 
 
 class Lattice(dict):
@@ -112,7 +124,7 @@ class Lattice(dict):
         self.fresh: list[str] = []
         self.start = self.piece = self.begin = self.end = np.empty(0, np.int32)
         self.log_q = np.empty(0)
-        self.low, self.first = np.zeros(1), np.zeros(1, np.int32)
+        self.cumulative, self.first = np.empty(0, np.float32), np.zeros(1, np.int32)
         self.codes = np.empty(0, np.uint32)
 
     def __missing__(self, word: str) -> int:
@@ -127,7 +139,7 @@ class Lattice(dict):
         """Add the lattices of the words looked up since the last call."""
         if not self.fresh:
             return
-        words, vocab = [SPACE + w for w in self.fresh], self.vocab
+        words, vocab = [w.replace(" ", SPACE) for w in self.fresh], self.vocab
         self.fresh = []
         text = "".join(words).encode("utf-32-le", "surrogatepass")
         codes = np.frombuffer(text, np.uint32).astype(np.int64)
@@ -144,10 +156,14 @@ class Lattice(dict):
             at, node = at[inside], node[inside]
             if not len(at):
                 break
-            key = node << 21 | codes[at + step]
-            slot = np.minimum(np.searchsorted(vocab.edge_key, key), len(vocab.edge_key) - 1)
-            known = vocab.edge_key[slot] == key
-            at, node = at[known], vocab.edge_to[slot[known]]
+            if step:
+                key = node << 21 | codes[at + step]
+                slot = np.minimum(np.searchsorted(vocab.edge_key, key), len(vocab.edge_key) - 1)
+                known = vocab.edge_key[slot] == key
+                at, node = at[known], vocab.edge_to[slot[known]]
+            else:
+                node = vocab.roots[np.minimum(codes, len(vocab.roots) - 1)]
+                at, node = at[node > 0], node[node > 0]
             piece = vocab.piece_at[node]
             is_piece = piece >= 0
             starts.append(at[is_piece])
@@ -186,7 +202,10 @@ class Lattice(dict):
         self.start = np.concatenate([self.start, (start + nodes).astype(np.int32)])
         self.piece = np.concatenate([self.piece, piece.astype(np.int32)])
         self.log_q = np.concatenate([self.log_q, log_q])
-        self.low = np.concatenate([self.low, self.low[-1] + np.cumsum(np.exp(log_q))])
+        sums = np.cumsum(np.exp(log_q))
+        cumulative = (sums - (sums - np.exp(log_q))[np.searchsorted(last, last)]).astype(np.float32)
+        cumulative[np.cumsum(np.bincount(last, minlength=len(codes))) - 1] = np.inf  # a node's last edge takes the rest
+        self.cumulative = np.concatenate([self.cumulative, cumulative])
         self.begin = np.concatenate([self.begin, (begin + nodes).astype(np.int32)])
         self.end = np.concatenate([self.end, (end + nodes).astype(np.int32)])
         self.codes = np.concatenate([self.codes, codes.astype(np.uint32)])
@@ -222,33 +241,60 @@ def _paths(text: np.ndarray, word: np.ndarray, edge: np.ndarray, texts: list[int
     return Paths(text, word, edge, dict(zip(texts, low, strict=True)), dict(zip(texts, high, strict=True)))
 
 
+def _words_of(key: np.ndarray, where: np.ndarray, draw: int) -> np.ndarray:
+    """A 32-bit random word for each word of a text and draw."""
+    x = key + (where.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(draw * 0xD1B54A32D192ED03 & (1 << 64) - 1)
+    x ^= x >> np.uint64(29)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return (x >> np.uint64(32)).astype(np.uint32)
+
+
+def _steps(word: np.ndarray, offset: np.ndarray) -> np.ndarray:
+    """Uniform numbers in [0, 1) for the positions of words, in single precision."""
+    x = word + offset.astype(np.uint32) * np.uint32(0x9E3779B9)
+    x ^= x >> np.uint32(16)
+    x *= np.uint32(0x85EBCA6B)
+    x ^= x >> np.uint32(13)
+    x *= np.uint32(0xC2B2AE35)
+    return (x >> np.uint32(8)).astype(np.float32) * np.float32(2.0**-24)
+
+
 def _backwards(lattice: Lattice, word: np.ndarray, node: np.ndarray, key: np.ndarray, where: np.ndarray, draw: int):
     """Sample the rest of many words at once, from a node back to the word's start.
 
     word is the distinct word of each occurrence, where its number in the text. Gives (occurrence,
     edge), sorted by occurrence, backwards within it.
     """
-    at, begin = node.astype(np.int64), lattice.begin[word].astype(np.int64)
-    live = np.flatnonzero(at >= begin)
+    begin = lattice.begin[word]
+    noise = _words_of(key, where, draw)
+    first, cumulative, start = lattice.first, lattice.cumulative, lattice.start
+    live = np.flatnonzero(node >= begin).astype(np.int32)
+    at, begin, noise = node[live].astype(np.int32), begin[live], noise[live]
     found, edges = [], []
     while len(live):
-        n = at[live]
-        lo, hi = lattice.first[n], lattice.first[n + 1]
-        u = _uniform(key[live], where[live] << 24 | (n - begin[live]), 2 * draw)
-        target = lattice.low[lo] + u * (lattice.low[hi] - lattice.low[lo])
-        edge = lo.astype(np.int64)
-        further = np.arange(len(edge))
-        while len(further := further[(edge[further] < hi[further] - 1) & (lattice.low[edge[further] + 1] <= target[further])]):
+        u = _steps(noise, at - begin)
+        edge = first[at]
+        further = np.flatnonzero(cumulative[edge] <= u)
+        while len(further):
             edge[further] += 1
+            further = further[cumulative[edge[further]] <= u[further]]
         found.append(live)
         edges.append(edge)
-        at[live] = lattice.start[edge] - 1
-        live = live[at[live] >= begin[live]]
+        at = start[edge] - 1
+        keep = at >= begin
+        live, at, begin, noise = live[keep], at[keep], begin[keep], noise[keep]
     if not found:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    occurrence, edge = np.concatenate(found), np.concatenate(edges)
-    order = np.argsort(occurrence, kind="stable")
-    return occurrence[order], edge[order]
+        return np.empty(0, np.int32), np.empty(0, np.int32)
+    # Deal the steps out by counting instead of sorting: step s of an occurrence follows its step s - 1.
+    size = np.zeros(len(word), np.int32)
+    for live in found:
+        size[live] += 1
+    head = np.cumsum(size) - size
+    occurrence = np.repeat(np.arange(len(word), dtype=np.int32), size)
+    out = np.empty(len(occurrence), np.int32)
+    for s, (live, edge) in enumerate(zip(found, edges, strict=True)):
+        out[head[live] + s] = edge
+    return occurrence, out
 
 
 class Search:
@@ -256,7 +302,7 @@ class Search:
 
     def __init__(self, texts: list[str], keys: np.ndarray, k: int, lattice: Lattice) -> None:
         split = [split_words(t) for t in texts]
-        rows = [np.fromiter(map(lattice.__getitem__, ws), np.int64, len(ws)) for ws in split]
+        rows = [np.fromiter(map(lattice.__getitem__, ws), np.int32, len(ws)) for ws in split]
         lattice.build()
         self.lattice = lattice
         self.rows, self.keys, self.k, self.vocab = rows, keys, k, lattice.vocab
@@ -271,9 +317,9 @@ class Search:
 
     def _first(self) -> None:
         size = np.array([len(r) for r in self.rows], np.int64)
-        word = np.concatenate(self.rows) if len(self.rows) else np.empty(0, np.int64)
-        text = np.repeat(np.arange(len(self.rows)), size)
-        where = np.arange(len(word)) - np.repeat(np.cumsum(size) - size, size)
+        word = np.concatenate(self.rows) if len(self.rows) else np.empty(0, np.int32)
+        text = np.repeat(np.arange(len(self.rows), dtype=np.int32), size)
+        where = np.arange(len(word), dtype=np.int32) - np.repeat((np.cumsum(size) - size).astype(np.int32), size)
         occ, edge = _backwards(self.lattice, word, self.lattice.end[word] - 1, self.keys[text], where, 0)
         paths = _paths(text[occ], where[occ], edge, list(range(len(self.rows))))
         bounds = -np.log(-np.log(_uniform(self.keys, 0, 1)))
@@ -351,21 +397,21 @@ class Search:
             edge = first + int(min(np.searchsorted(np.cumsum(q), u * q.sum(), side="right"), np.flatnonzero(q)[-1]))
             texts.append(t)
             origin[t], excluded[t] = step, (barred, step)
-            heads.append((t, paths.word[lo : at + 1], np.append(paths.edge[lo:at], edge)))
+            heads.append((t, paths.word[lo : at + 1], np.append(paths.edge[lo:at], np.int32(edge))))
             rest_word.append(row[word:])
             nodes = lattice.end[row[word:]] - 1
             nodes[0] = lattice.start[edge] - 1
             rest_node.append(nodes)
-            rest_text.append(np.full(len(nodes), t))
-            rest_where.append(np.arange(word, len(row)))
+            rest_text.append(np.full(len(nodes), t, np.int32))
+            rest_where.append(np.arange(word, len(row), dtype=np.int32))
         if not texts:
             return False
         text, where = np.concatenate(rest_text), np.concatenate(rest_where)
         occ, edge = _backwards(lattice, np.concatenate(rest_word), np.concatenate(rest_node), self.keys[text], where, draw)
-        text = np.concatenate([*(np.full(len(w), t) for t, w, _ in heads), text[occ]])
+        text = np.concatenate([*(np.full(len(w), t, np.int32) for t, w, _ in heads), text[occ]])
         word = np.concatenate([*(w for _, w, _ in heads), where[occ]])
         edge = np.concatenate([*(e for _, _, e in heads), edge])
-        order = np.argsort(text << 32 | word, kind="stable")  # a word's head stays before its rest
+        order = np.argsort(text.astype(np.int64) << 32 | word, kind="stable")  # a word's head stays before its rest
         paths = _paths(text[order], word[order], edge[order], texts)
         self.draws.append(paths)
         self.bounds.append(bounds)
@@ -392,16 +438,19 @@ class Search:
 def _ids(lattice: Lattice, vocab: Vocabulary, paths: Paths) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of all paths in reading order, and where each step's text slice begins."""
     n = len(paths.edge)
-    same = np.concatenate([[True], (paths.text[1:] != paths.text[:-1]) | (paths.word[1:] != paths.word[:-1])]) if n else np.empty(0, bool)
-    group = np.cumsum(same) - 1
-    begin = np.flatnonzero(same)
-    size = np.diff(np.append(begin, n))
-    forward = begin[group] + size[group] - 1 - (np.arange(n) - begin[group]) if n else np.empty(0, np.int64)
-    edge = paths.edge[forward]
+    fresh = np.ones(n, bool)
+    np.not_equal(paths.word[1:], paths.word[:-1], out=fresh[1:])
+    fresh[1:] |= paths.text[1:] != paths.text[:-1]
+    begin = np.flatnonzero(fresh).astype(np.int32)
+    size = np.diff(np.append(begin, np.int32(n)))
+    edge = paths.edge[np.repeat(2 * begin + size - 1, size) - np.arange(n, dtype=np.int32)] if n else paths.edge
     piece = lattice.piece[edge]
-    raw = [lattice.character(c) for c in lattice.start[edge[piece < 0]].tolist()]
-    width = np.ones(n, np.int64)
-    width[piece < 0] = [len(b) for b in raw]
+    lone = np.flatnonzero(piece < 0)
+    if not len(lone):
+        return piece, np.arange(n + 1)
+    raw = [lattice.character(c) for c in lattice.start[edge[lone]].tolist()]
+    width = np.ones(n, np.int32)
+    width[lone] = [len(b) for b in raw]
     at = np.concatenate([[0], np.cumsum(width)])
     ids = np.repeat(piece, width)
     ids[ids < 0] = vocab.byte_id[np.frombuffer(b"".join(raw), np.uint8)]
@@ -410,7 +459,7 @@ def _ids(lattice: Lattice, vocab: Vocabulary, paths: Paths) -> tuple[np.ndarray,
 
 def decode(ids: list[int] | np.ndarray, vocab: Vocabulary) -> str:
     """The text that piece ids stand for: the inverse of any segmentation."""
-    raw = b"".join(map(vocab.spelled.__getitem__, np.asarray(ids).tolist()))
+    raw = b"".join(vocab.spelled[np.asarray(ids)].tolist())
     return raw.decode("utf-8", "surrogatepass")[1:]
 
 
