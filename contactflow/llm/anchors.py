@@ -36,15 +36,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def gram_hashes(units: np.ndarray, k: int) -> np.ndarray:
-    """64-bit hash of each run of k units, from 64-bit hashes of the units."""
+def _sums(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(units)
     up, down = POWERS.get(n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(units * up[:n], out=sums[1:])
+    return sums, down
+
+
+def gram_hashes(units: np.ndarray, k: int) -> np.ndarray:
+    """64-bit hash of each run of k units, from 64-bit hashes of the units."""
+    sums, down = _sums(units)
+    n = len(units)
     return _mix((sums[k:] - sums[: n - k + 1]) * down[: n - k + 1])
 
 
+def stretch_hashes(units: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the units from each begin to its end."""
+    sums, down = _sums(units)
+    return _mix((sums[end] - sums[begin]) * down[begin] + (end - begin).astype(np.uint64))
+
+
 def find(units: np.ndarray, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, hash, first, last) of each anchor; windows first..last start there and hold the anchor.
 

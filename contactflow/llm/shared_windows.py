@@ -3,18 +3,19 @@
 A window of a document is removed if its units also stand in a document with a smaller doc_id.
 How windows are compared is left to an engine; this module brings together what can be equal:
 
-1. Each window has one anchor, its smallest k-gram (anchors.py). Anchors are dealt to partitions by
-   hash, packed; an anchor that only one distinct text holds is dropped.
-2. Texts that hold shared anchors cut out the context of each: the stretch covered by the windows
-   that have this anchor. Contexts meet by anchor; equal ones of a batch travel once, with the
-   smallest id and the list of places.
-3. The engine finds, for each window of each context, the smallest id that holds it; places with a
-   larger id are removed.
-
-Equal texts are one text with the smallest id from the start; of the others nothing stays but what no
-window covers. An anchor of over CROWD places does not bring contexts together: there each window
-travels under its own hash, equal ones once per batch, and its places are streamed past its smallest
-id, so no group is ever held. All counts are of the input as it is given.
+1. Each window has one anchor, its smallest k-gram (anchors.py); the stretch covered by the windows
+   of an anchor is its context. Anchors are dealt to partitions by hash, packed, with a hash of
+   their context. Equal contexts of an anchor are one string with the smallest id; the later
+   documents lose it. What is left are the different contexts of each anchor, each at its first
+   document. An anchor with one context has nothing to compare.
+2. Texts cut out the contexts that are left, and contexts meet by anchor.
+3. The engine finds, for each window of each context, the smallest id that holds it; the context's
+   own document loses the windows that a smaller id holds.
+
+Equal texts are one text with the smallest id; of the others nothing stays but what no window covers.
+An anchor of over CROWD different contexts does not bring them together: there each window travels
+under its own hash, and its places are streamed past its smallest id, so no group is ever held. All counts are of the input as it is given. Anchors and contexts are told
+apart by 88 bits of hash, windows in the engine by their units.
 """
 
 from __future__ import annotations
@@ -26,19 +27,22 @@ from typing import Protocol
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import anchors
 from .common import materialize, order_id
 
-#: Places of an anchor beyond which its windows are compared one by one.
-CROWD = 256
+#: Different contexts of an anchor beyond which its windows are compared one by one.
+CROWD = 128
 #: Bytes of text whose anchors share a partition.
 SHARE = 24 << 20
 #: Units that are searched for anchors, and context bytes that are compared, at once.
 BATCH_UNITS, BATCH_BYTES = 4_000_000, 600_000
-HASH_BYTES = 6
+#: Bytes that are kept of an anchor's hash (beside its partition) and of its context's.
+ANCHOR_BYTES, CONTEXT_BYTES = 6, 5
+ANCHOR_MASK = np.uint64((1 << 8 * ANCHOR_BYTES) - 1)
 
 
 class Units(Protocol):
@@ -58,132 +62,177 @@ class Units(Protocol):
 Engine = Callable[[list[list[tuple[bytes, int]]]], list[list[np.ndarray]]]
 
 
+def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
+    return begin, np.diff(np.append(begin, len(key)))
+
+
+def _short(values: np.ndarray, size: int) -> np.ndarray:
+    return values.view(np.uint8).reshape(-1, 8)[:, :size]
+
+
+def _long(raw: bytes, size: int) -> np.ndarray:
+    wide = np.zeros((len(raw) // size, 8), np.uint8)
+    wide[:, :size] = np.frombuffer(raw, np.uint8).reshape(-1, size)
+    return wide.view(np.uint64).ravel()
+
+
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The last column compressed, so that texts travel and sort smaller."""
+    tool = zstandard.ZstdCompressor(level=1)
+    for batch in batches:
+        raw = pa.array([tool.compress(t) for t in batch.columns[-1].to_pylist()], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], raw], names=batch.schema.names)
+
+
 def _pack(units: Units, partitions: int):
-    def emit(keys: list[int], found: list[tuple]) -> Iterator[dict]:
+    def emit(orders: list[int], found: list[tuple]) -> Iterator[dict]:
         sizes = np.array([len(h) for h, _ in found], np.int64)
         hashes = np.concatenate([h for h, _ in found])
-        places = np.concatenate([p for _, p in found]).astype(np.uint32)
-        text = np.repeat(np.arange(len(keys)), sizes)
+        contexts = np.concatenate([c for _, c in found])
+        text = np.repeat(np.arange(len(orders)), sizes)
         part = ((hashes >> np.uint64(40)) % np.uint64(partitions)).astype(np.int32)
-        order = np.argsort(part, kind="stable")
-        hashes, places, text, part = hashes[order], places[order], text[order], part[order]
-        short = hashes.view(np.uint8).reshape(-1, 8)[:, :HASH_BYTES]
-        keys = np.array(keys, np.int64)
-        for at, size in zip(*_runs(part), strict=True):
+        by = np.argsort(part.astype(np.uint16) if partitions < 1 << 16 else part, kind="stable")
+        hashes, contexts, text, part = hashes[by], contexts[by], text[by], part[by]
+        ids = np.array(orders, np.int64)
+        for at, size in zip(*(x.tolist() for x in _runs(part)), strict=True):
             own = slice(at, at + size)
             begin, count = _runs(text[own])
             yield {
                 "part": int(part[at]),
-                "keys": keys[text[own][begin]].tobytes(),
+                "orders": ids[text[own][begin]].tobytes(),
                 "counts": count.astype(np.uint32).tobytes(),
-                "places": places[own].tobytes(),
-                "hashes": short[own].tobytes(),
+                "hashes": _short(hashes[own], ANCHOR_BYTES).tobytes(),
+                "contexts": _short(contexts[own], CONTEXT_BYTES).tobytes(),
             }
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("keys", "counts", "places", "hashes"))])
-        keys, found, size = [], [], 0
+        schema = pa.schema([("part", pa.int32()), *((c, pa.binary()) for c in ("orders", "counts", "hashes", "contexts"))])
+        orders, found, size = [], [], 0
         for batch in batches:
-            for key, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for order, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 hashed = units.hashes(units.split(raw))
-                place, value, _, _ = anchors.find(hashed, units.gram, units.window)
+                place, value, first, last = anchors.find(hashed, units.gram, units.window)
                 if len(place):
-                    keys.append(key)
-                    found.append((value, place))
+                    orders.append(order)
+                    found.append((value, anchors.stretch_hashes(hashed, first, last + units.window)))
                     size += len(hashed)
                 if size > BATCH_UNITS:
-                    yield pa.RecordBatch.from_pylist(list(emit(keys, found)), schema)
-                    keys, found, size = [], [], 0
+                    yield pa.RecordBatch.from_pylist(list(emit(orders, found)), schema)
+                    orders, found, size = [], [], 0
         if found:
-            yield pa.RecordBatch.from_pylist(list(emit(keys, found)), schema)
+            yield pa.RecordBatch.from_pylist(list(emit(orders, found)), schema)
 
     return run
 
 
-def _runs(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    begin = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-    return begin, np.diff(np.append(begin, len(key)))
+def _places(hashes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    """One number for an anchor and its context, as both are known after the exchange."""
+    low = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
+    return (hashes & ANCHOR_MASK) * np.uint64(0x9E3779B97F4A7C15) + (contexts & low)
+
+
+#: What becomes of a place of a shared anchor.
+SAME, MIXED, CROWDED = 1, 2, 3
 
 
 def _screen(table: pa.Table) -> pa.Table:
-    """Places of a partition's anchors that two texts or more share, by text; crowded ones apart."""
-    join = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-    keys, counts, places = join("keys", np.int64), join("counts", np.uint32), join("places", np.uint32)
-    wide = np.zeros((len(places), 8), np.uint8)
-    wide[:, :HASH_BYTES] = join("hashes", np.uint8).reshape(-1, HASH_BYTES)
-    hashes = wide.view(np.uint64).ravel()
-    key = np.repeat(keys, counts)
-    order = np.argsort(hashes)
-    begin, size = _runs(hashes[order])
-    ordered = key[order]
-    shared = np.minimum.reduceat(ordered, begin) != np.maximum.reduceat(ordered, begin)
+    """Per document, the anchors of a partition whose contexts it loses (SAME), must compare (MIXED) or split (CROWDED)."""
+    raw = {c: b"".join(table.column(c).to_pylist()) for c in ("orders", "counts", "hashes", "contexts")}
+    orders, counts = np.frombuffer(raw["orders"], np.int64), np.frombuffer(raw["counts"], np.uint32)
+    hashes, contexts = _long(raw["hashes"], ANCHOR_BYTES), _long(raw["contexts"], CONTEXT_BYTES)
+    text = np.repeat(np.arange(len(orders)), counts)
+    order = orders[text]
+    by = np.lexsort((contexts, hashes))
+    key, own, ids = hashes[by], contexts[by], order[by]
+    begin, size = _runs(key)
+    if not len(begin):
+        return pa.table({"order_id": pa.array([], pa.int64()), **{c: pa.array([], pa.binary()) for c in ("same", "mixed", "crowded")}})
+    # Runs of equal contexts within runs of equal anchors.
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
+    inner = np.flatnonzero(fresh)
+    least = np.repeat(np.minimum.reduceat(ids, inner), np.diff(np.append(inner, len(key))))
+    alone = np.minimum.reduceat(ids, begin) == np.maximum.reduceat(ids, begin)
+    kinds = np.add.reduceat(fresh.astype(np.int64), begin)
+    fate = np.where(alone | (kinds == 1), 0, np.where(kinds > CROWD, CROWDED, MIXED))
+    fate = np.where(ids > least, SAME, np.repeat(fate, size))
     state = np.empty(len(key), np.int8)
-    state[order] = np.repeat(np.where(shared, 1 + (size > CROWD), 0), size)
-    _, chosen = np.unique(keys, return_index=True)  # equal texts once
-    text = np.repeat(np.arange(len(keys)), counts)
-    single = np.zeros(len(keys), bool)
-    single[chosen] = True
-    use = np.flatnonzero((state > 0) & single[text])
+    state[by] = fate
+    use = np.flatnonzero(state)
     begin, size = _runs(text[use])
     rows = [use[a : a + n] for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
+    known = _places(hashes, contexts)
+    pick = lambda r, kind: known[r[state[r] == kind]].tobytes()
     return pa.table({
-        "text_key": pa.array(keys[text[use[begin]]], pa.int64()),
-        "places": pa.array([places[r[state[r] == 1]].tobytes() for r in rows], pa.binary()),
-        "crowded": pa.array([places[r[state[r] == 2]].tobytes() for r in rows], pa.binary()),
+        "order_id": pa.array(order[use[begin]] if len(use) else [], pa.int64()),
+        "same": pa.array([pick(r, SAME) for r in rows], pa.binary()),
+        "mixed": pa.array([pick(r, MIXED) for r in rows], pa.binary()),
+        "crowded": pa.array([pick(r, CROWDED) for r in rows], pa.binary()),
     })
 
 
-CONTEXT_SCHEMA = "key long, kind int, content binary, least long, orders binary, texts binary, starts binary"
-ALONE, CROWDED, PLACES = 0, 1, 2
+CONTEXT_SCHEMA = "key long, kind int, content binary, least long, orders binary, texts binary, starts binary, ends binary"
+CONTEXT_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), *[pa.binary()] * 4]
+#: Rows of a key, in the order in which they are read: contexts with their places, windows, places of windows, spans.
+CONTEXT, WINDOW, PLACES, SPANS = 0, 1, 2, 3
 
 
 def _contexts(units: Units):
-    """Contexts of shared anchors (ALONE), windows of crowded ones (CROWDED) and their PLACES."""
-
-    def emit(held: dict[tuple, list]) -> pa.RecordBatch:
-        out: list[list] = [[] for _ in range(7)]
-        for (key, crowded, content), (orders, texts, starts) in held.items():
-            packed = (np.array(orders, np.int64).tobytes(), np.array(texts, np.int64).tobytes(), np.array(starts, np.int32).tobytes())
-            rows = [(key, CROWDED, content, min(orders), None, None, None), (key, PLACES, content, None, *packed)] if crowded else [(key, ALONE, content, min(orders), *packed)]
-            for row in rows:
-                for column, value in zip(out, row, strict=True):
-                    column.append(value)
-        kinds = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds, strict=True)], names=[c.split()[0] for c in CONTEXT_SCHEMA.split(", ")])
+    def emit(held: dict[tuple, list], rows: list[tuple]) -> pa.RecordBatch:
+        for (key, kind, content), (orders, texts, starts) in held.items():
+            packed = (np.array(orders, np.int64).tobytes(), np.array(texts, np.int64).tobytes(), np.array(starts, np.int32).tobytes(), None)
+            if kind == CONTEXT:
+                rows.append((key, CONTEXT, content, min(orders), *packed))
+            else:
+                rows.append((key, WINDOW, content, min(orders), None, None, None, None))
+                rows.append((key, PLACES, content, None, *packed))
+        columns = zip(*rows, strict=True) if rows else [[]] * len(CONTEXT_KINDS)
+        arrays = [pa.array(v, k) for v, k in zip(columns, CONTEXT_KINDS, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in CONTEXT_SCHEMA.split(", ")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
         held: dict[tuple, list] = {}
+        rows: list[tuple] = []
         size = 0
 
-        def add(key: int, crowded: bool, content: bytes, order: int, text: int, start: int) -> int:
-            entry = held.get((key, crowded, content))
+        def add(key: int, kind: int, content: bytes, order: int, text: int, start: int) -> int:
+            entry = held.get((key, kind, content))
             if entry is None:
-                held[key, crowded, content] = [[order], [text], [start]]
-                return len(content) + 200
+                held[key, kind, content] = ([order], [text], [start])
+                return len(content) + 300
             for column, value in zip(entry, (order, text, start), strict=True):
                 column.append(value)
-            return 60
+            return 80
 
         for batch in batches:
-            for order, text, raw, shared, crowd in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                parts = units.split(raw)
-                place, value, first, last = anchors.find(units.hashes(parts), units.gram, units.window)
+            for order, text, raw, same, mixed, crowded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                parts = units.split(tool.decompress(raw))
+                hashed = units.hashes(parts)
+                _, value, first, last = anchors.find(hashed, units.gram, units.window)
+                place = _places(value, anchors.stretch_hashes(hashed, first, last + units.window))
                 value = value.view(np.int64)
-                for blobs, crowded in ((shared, False), (crowd, True)):
-                    at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(blobs), np.uint32).astype(np.int64)))
-                    for key, lo, hi in zip(value[at].tolist(), first[at].tolist(), last[at].tolist(), strict=True):
-                        if not crowded:
-                            size += add(key, False, units.join(parts[lo : hi + units.window]), order, text, lo)
-                            continue
-                        for start in range(lo, hi + 1):
-                            content = units.join(parts[start : start + units.window])
-                            own = xxhash.xxh64_intdigest(content)
-                            size += add(own - (1 << 64) if own >= 1 << 63 else own, True, content, order, text, start)
-                    if size > 48 << 20:
-                        yield emit(held)
-                        held, size = {}, 0
-        if held:
-            yield emit(held)
+                at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(same), np.uint64)))
+                if len(at):
+                    ends = last[at] + units.window
+                    new = np.flatnonzero(np.concatenate([[True], first[at][1:] > ends[:-1]]))
+                    starts, ends = first[at][new].astype(np.int32), ends[np.append(new[1:], len(at)) - 1].astype(np.int32)
+                    rows.append((text, SPANS, None, None, np.full(len(new), order).tobytes(), np.full(len(new), text).tobytes(), starts.tobytes(), ends.tobytes()))
+                at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(mixed), np.uint64)))
+                for key, lo, hi in zip(value[at].tolist(), first[at].tolist(), last[at].tolist(), strict=True):
+                    size += add(key, CONTEXT, units.join(parts[lo : hi + units.window]), order, text, lo)
+                at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(crowded), np.uint64)))
+                for lo, hi in zip(first[at].tolist(), last[at].tolist(), strict=True):
+                    for start in range(lo, hi + 1):
+                        content = units.join(parts[start : start + units.window])
+                        key = xxhash.xxh64_intdigest(content) - (1 << 63)
+                        size += add(key, WINDOW, content, order, text, start)
+                if size > 48 << 20 or len(rows) > 20_000:
+                    yield emit(held, rows)
+                    held, rows, size = {}, [], 0
+        if held or rows:
+            yield emit(held, rows)
 
     return run
 
@@ -236,15 +285,18 @@ def _spans(units: Units, engine: Engine):
             least: dict[bytes, int] = {}
             for row in rows:
                 content = row["content"]
-                if row["kind"] == ALONE:
+                if row["kind"] == CONTEXT:
                     if content not in group:
                         size += len(content)
                     group.setdefault(content, []).append(row)
-                elif row["kind"] == CROWDED:
+                elif row["kind"] == WINDOW:
                     least[content] = min(least.get(content, row["least"]), row["least"])
-                else:
+                elif row["kind"] == PLACES:
                     flagged(np.array([least[content]]), row, out)
-                if sum(map(len, out[0][-1:])) and len(out[0]) > 20_000:
+                else:
+                    for column, name, kind in zip(out, ("orders", "texts", "starts", "ends"), (np.int64, np.int64, np.int32, np.int32), strict=True):
+                        column.append(np.frombuffer(row[name], kind))
+                if len(out[0]) > 20_000:
                     yield result(out)
                     out = [[], [], [], []]
             if group:
@@ -264,10 +316,11 @@ def _removal(units: Units):
     """Counts, spans and digest of what stays, per text that loses something."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tool = zstandard.ZstdDecompressor()
         for batch in batches:
             out: list[list] = [[] for _ in range(6)]
             for order, text, raw, lows, highs in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                parts = units.split(raw)
+                parts = units.split(tool.decompress(raw))
                 edge = np.zeros(len(parts) + 1, np.int64)
                 np.add.at(edge, lows, 1)
                 np.add.at(edge, highs, -1)
@@ -308,17 +361,18 @@ def remove_repeats(
     size = base.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
     raw = rows.select("order_id", "text_key", F.col("text").cast("binary").alias("text"))
-    packed = raw.select("text_key", "text").mapInArrow(_pack(units, partitions), "part int, keys binary, counts binary, places binary, hashes binary")
-    shared = packed.groupBy("part").applyInArrow(_screen, "text_key long, places binary, crowded binary")
-    places = shared.groupBy("text_key").agg(F.collect_list("places").alias("places"), F.collect_list("crowded").alias("crowded"))
-    wanted = places.join(reps, "text_key")
-    cut = raw.join(wanted, ["order_id", "text_key"]).select("order_id", "text_key", "text", "places", "crowded")
+    packed = raw.select("order_id", "text").mapInArrow(_pack(units, partitions), "part int, orders binary, counts binary, hashes binary, contexts binary")
+    shared = packed.groupBy("part").applyInArrow(_screen, "order_id long, same binary, mixed binary, crowded binary")
+    lists = [F.collect_list(c).alias(c) for c in ("same", "mixed", "crowded")]
+    wanted = shared.groupBy("order_id").agg(*lists).join(reps, "order_id")
+    small = raw.mapInArrow(_squeeze, raw.schema)
+    cut = small.join(wanted, ["order_id", "text_key"]).select("order_id", "text_key", "text", "same", "mixed", "crowded")
     contexts = cut.mapInArrow(_contexts(units), CONTEXT_SCHEMA)
     dealt = contexts.repartition(partitions, "key").sortWithinPartitions("key", "kind")
     found = dealt.mapInArrow(_spans(units, engine), "order_id long, text_key long, lo int, hi int")
     found = materialize(spark, found, "spans")
     by_text = found.groupBy("order_id", "text_key").agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs"))
-    changed = raw.join(by_text, ["order_id", "text_key"]).select("order_id", "text_key", "text", "lows", "highs")
+    changed = small.join(by_text, ["order_id", "text_key"]).select("order_id", "text_key", "text", "lows", "highs")
     changed = changed.mapInArrow(
         _removal(units),
         "order_id long, text_key long, removed long, n_spans long, kept_sha256 string, spans array<struct<lo:int,hi:int>>",
