@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 
+#: Edges per file of a round.
+EDGES_PER_TASK = 200_000
+
+
 def _stamp(edges: DataFrame) -> tuple:
     row = edges.agg(
         F.count(F.lit(1)).alias("n"),
@@ -25,6 +29,12 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     execution may split. Self-loops and repeated edges are ignored; nodes without another node are
     not returned; no edges give an empty table. Nulls in either column drop the edge.
     """
+    n = None
+
+    def write(df: DataFrame, name: str) -> DataFrame:
+        # Few edges need few files; the count bounds what a task holds.
+        return materialize(spark, df if n is None else df.coalesce(1 + n // EDGES_PER_TASK), name)
+
     current = materialize(
         spark,
         edges.where(F.col("a") != F.col("b"))
@@ -34,10 +44,11 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     )
     stamp = _stamp(current)
     while stamp[0]:
+        n = stamp[0]
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = materialize(spark, large.where("a != b").distinct(), "large-star")
+        large = write(large.where("a != b").distinct(), "large-star")
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = (
             large.join(low, "a")
@@ -47,7 +58,7 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             .toDF("a", "b")
             .distinct()
         )
-        current = materialize(spark, small, "small-star")
+        current = write(small, "small-star")
         before, stamp = stamp, _stamp(current)
         if stamp == before:
             break

@@ -20,6 +20,8 @@ SEED = 42
 POSTING = 64
 #: Shingles whose bits are counted at once.
 BLOCK = 1 << 15
+#: Links that a task contracts before components are found across tasks.
+LINKS = 500_000
 
 
 def fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -120,6 +122,30 @@ def _first_of_run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield _links(fp[~first], head[~first])
 
 
+def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of a partition as stars: each node linked to the smallest it reaches inside the partition."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (up := parent.setdefault(x, x)) != x:
+            parent[x] = x = parent[up]
+        return x
+
+    for batch in batches:
+        for a, b in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    nodes = np.fromiter(parent, np.int64, len(parent))
+    roots = np.fromiter(map(root, parent), np.int64, len(parent))
+    yield _links(nodes[nodes != roots], roots[nodes != roots])
+
+
+def contracted(spark: SparkSession, edges: DataFrame) -> DataFrame:
+    """Links with the same components, at most one per node and partition of LINKS links."""
+    found = materialize(spark, edges, "links")
+    return found.coalesce(1 + found.count() // LINKS).mapInArrow(_contract, "a long, b long")
+
+
 def link_edges(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b) over distinct fps(fp): links that join every pair within max_bits.
 
@@ -160,7 +186,7 @@ def near_duplicates(
     marked = materialize(spark, fingerprints(docs, shingle), "fingerprints")
     nodes = materialize(spark, marked.groupBy("fp").agg(F.min("order_id").alias("rep")), "nodes")
     if max_bits:
-        groups = connected_components(spark, link_edges(nodes.select("fp"), max_bits))
+        groups = connected_components(spark, contracted(spark, link_edges(nodes.select("fp"), max_bits)))
         nodes = nodes.join(groups, nodes["fp"] == groups["node"], "left")
         nodes = nodes.select("fp", "rep", F.coalesce("component", "fp").alias("class"))
         classes = nodes.groupBy("class").agg(F.min("rep").alias("component"))
