@@ -114,19 +114,19 @@ def interpret_body(
 
 
 def interpret_bodies(df: DataFrame, body: str, catalogue: DataFrame | None = None) -> DataFrame:
-    """Adds resposta_id and status; the catalogue maps an id to its status.
+    """Adds resposta_id and status; the catalogue maps an id of any size to its status.
 
-    Ids are unsigned bytes, so the catalogue side cannot exceed 256 rows.
+    The catalogue is reduced to one row per id; the planner chooses the join.
     """
     if catalogue is None:
         return df.withColumn("_o", interpret_body(F.col(body))).select("*", "_o.*").drop("_o")
     known = (
-        catalogue.where(F.col("id").between(0, 255))
+        catalogue.where(F.col("id").isNotNull())
         .groupBy(F.col("id").cast("int").alias("_code"))
         .agg(F.min("status").alias("_status"))
     )
     joined = df.withColumn("_key", body_code(F.col(body))).join(
-        F.broadcast(known), F.col("_key") == F.col("_code"), "left"
+        known, F.col("_key") == F.col("_code"), "left"
     )
     outcome = interpret_body(F.col(body), F.col("_code"), F.col("_status"))
     return (

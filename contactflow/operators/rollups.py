@@ -304,7 +304,7 @@ def dashboard(
     supplier: str | None = None,
     file=None,
 ) -> dict[str, DataFrame]:
-    """Summary, distribution and top files of one dashboard request.
+    """Summary, distribution and counts of all files of one dashboard request.
 
     `kind` is "contact" (status distribution in place of messages, not
     filtered by day) or "contract".
@@ -326,6 +326,5 @@ def dashboard(
             rows.groupBy("arquivo_origem")
             .agg(_long_sum("qtd").alias("quantidade"))
             .orderBy(F.desc("quantidade"), "arquivo_origem")
-            .limit(10)
         )
     return result

@@ -186,7 +186,7 @@ INPUTS = {
     ),
     "suppliers": """
         SELECT CASE WHEN c_custkey % 3 = 0 THEN -1 - c_custkey ELSE c_custkey END AS cliente_id,
-          CASE WHEN c_custkey % 3 = 1 THEN 'contatus' ELSE 'fornecedor2' END AS fornecedor
+          CASE WHEN c_custkey % 3 = 1 THEN 'fornecedor1' ELSE 'fornecedor2' END AS fornecedor
         FROM {customer} UNION ALL
         SELECT CASE WHEN c_custkey % 30 = 1 THEN c_custkey ELSE -1 - c_custkey END, 'fornecedor2'
         FROM {customer}""",

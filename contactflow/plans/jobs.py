@@ -176,7 +176,11 @@ def _has_files(store: Store, paths: str) -> bool:
 
 
 def export_customers(store: Store, folder: str, now: dt.datetime) -> tuple[str | None, int]:
-    """Writes the unconsumed customers, then marks exactly those rows."""
+    """Writes the unconsumed customers, then marks exactly those rows.
+
+    The dated file is written over, so a run that died before the mark can be
+    repeated, and a second run on a day replaces the first one's file.
+    """
     current = store.read("state")
     selected = export.export_selection(current)
     n = selected.count()
@@ -187,7 +191,7 @@ def export_customers(store: Store, folder: str, now: dt.datetime) -> tuple[str |
         F.lit(now.date()), ["id"], ["id"],
     )
     path = files.export_path(folder, now.date())
-    files.write_delimited(rows, path, bom=True)
+    files.write_delimited(rows, path, bom=True, mode="overwrite")
     store.replace("state", state.consume(current, selected, at(now)))
     return path, n
 

@@ -426,6 +426,8 @@ ORACLES: dict[str, str] = {
     "p14_interpret_result": f"SELECT line_no, resposta_id, {status('resposta_id')} AS status FROM (SELECT line_no, {code()} AS resposta_id FROM macro_result)",
     "p15_interpret_body": body(False),
     "p15_interpret_body_catalogue": body(True),
+    "p15_interpret_body_wide_ids": """SELECT event_id, CAST(250 + event_id % 60 AS INTEGER) AS resposta_id,
+      CASE WHEN (250 + event_id % 60) % 2 = 0 THEN 'consolidado' ELSE 'excluido' END AS status FROM legacy_body""",
     "p16_catalogue_status": f"""SELECT s.id, {case('r.status', CATALOGUE_STATUS, "'reprocessar'")} AS estado
       FROM contract_state s LEFT JOIN contract_respostas r ON r.id = s.resposta_id""",
     "p17_status_label": f"SELECT id, {case('status', STATUS_LABELS, 'status')} AS rotulo FROM work_state",
@@ -451,7 +453,7 @@ ORACLES: dict[str, str] = {
     "f02_status_set": "SELECT id, status FROM work_state WHERE status NOT IN ('pendente', 'processando')",
     "f03_day_selection": f"SELECT * FROM {DAY} WHERE CAST(dia AS VARCHAR) LIKE '1997-05%' OR dia = DATE '1998-10-03'",
     "f03_month_without_days": f"SELECT * FROM {DAY}",
-    "f04_dimension_filters": f"""SELECT * FROM {CONTRACT_ROLLUP} WHERE fornecedor = 'contatus'
+    "f04_dimension_filters": f"""SELECT * FROM {CONTRACT_ROLLUP} WHERE fornecedor = 'fornecedor1'
       AND arquivo_origem IN ('Dados históricos', 'carga_3.csv') AND empresa = 'AFRICA'""",
     "f05_not_consumed": "SELECT id, cliente_id FROM work_state WHERE status = 'telefone_validado' AND extraido = 0",
     "f05_not_consumed_contracts": "SELECT id, cliente_id FROM contract_state WHERE status = 'consolidado' AND extraido = 0",
@@ -640,10 +642,10 @@ ORACLES: dict[str, str] = {
       WHERE cliente_id IN (SELECT id FROM clients) GROUP BY 1, 2""",
     "x04_dashboard_summary": both(summary(f"(SELECT * FROM {DAY} WHERE strftime(dia, '%Y-%m') IN ('1997-05', '1998-10'))", *CONTACT)),
     "x04_dashboard_distribution": distribution(
-        f"(SELECT * FROM {CONTRACT_ROLLUP} WHERE fornecedor = 'contatus' AND empresa = 'AMERICA')", "resposta_status <> 'pendente'"
+        f"(SELECT * FROM {CONTRACT_ROLLUP} WHERE fornecedor = 'fornecedor1' AND empresa = 'AMERICA')", "resposta_status <> 'pendente'"
     ),
     "x04_dashboard_files": f"""SELECT arquivo_origem, CAST(sum(qtd) AS BIGINT) AS quantidade FROM {CONTRACT_ROLLUP} WHERE fornecedor = 'fornecedor2'
-      GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""",
+      GROUP BY 1""",
 }
 
 

@@ -332,6 +332,16 @@ def p15_interpret_body_catalogue(i):
     return rows.select("event_id", "resposta_id", "status")
 
 
+@query
+def p15_interpret_body_wide_ids(i):
+    """Catalogue ids beyond one byte: one per code 250 to 309 that the events give."""
+    code = (F.lit(250) + col("event_id") % 60).cast("int")
+    bodies = i.legacy_body.select("event_id", F.concat(F.lit('{"CodigoRetorno":"'), code, F.lit('"}')).alias("body"))
+    state = F.when(code % 2 == 0, "consolidado").otherwise("excluir")
+    catalogue = i.legacy_body.select(code.alias("id"), state.alias("status")).distinct()
+    return outcome.interpret_bodies(bodies, "body", catalogue).select("event_id", "resposta_id", "status")
+
+
 @query
 def p16_catalogue_status(i):
     joined = i.contract_state.join(i.contract_respostas.select(col("id").alias("resposta_id"), col("status").alias("s")), "resposta_id", "left")
@@ -449,7 +459,7 @@ def contract_rollup(i) -> DataFrame:
 
 @query
 def f04_dimension_filters(i):
-    rows = rollups.select_dimension(contract_rollup(i), "fornecedor", "contatus")
+    rows = rollups.select_dimension(contract_rollup(i), "fornecedor", "fornecedor1")
     rows = rollups.select_dimension(rows, "arquivo_origem", ["Dados históricos", "carga_3.csv"])
     return rollups.select_dimension(rows, "empresa", ["AFRICA"])
 
@@ -1123,7 +1133,7 @@ def x04_dashboard_summary(i):
 
 @query
 def x04_dashboard_distribution(i):
-    return rollups.dashboard(contract_rollup(i), kind="contract", supplier="contatus", company="AMERICA")["distribution"]
+    return rollups.dashboard(contract_rollup(i), kind="contract", supplier="fornecedor1", company="AMERICA")["distribution"]
 
 
 @query

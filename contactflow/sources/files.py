@@ -112,12 +112,14 @@ def read_table_jdbc(
 
 
 def write_delimited(
-    df: DataFrame, path: str, encoding: str = "UTF-8", bom: bool = False, single_file: bool = False, sep: str = ";"
+    df: DataFrame, path: str, encoding: str = "UTF-8", bom: bool = False, single_file: bool = False, sep: str = ";",
+    mode: str = "error",
 ) -> str:
     """Writes text columns with a header; NULL and '' become empty fields.
 
     `bom` prefixes the header with a byte-order mark. `single_file` is for
-    files whose size is bounded by a report or a batch limit.
+    files whose size is bounded by a report or a batch limit. `mode` says
+    what happens to an earlier file of that name.
     """
     out = df.select(*(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in df.columns))
     if bom:
@@ -133,7 +135,7 @@ def write_delimited(
         .option("emptyValue", "")
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .mode("error")
+        .mode(mode)
         .csv(path)
     )
     return path

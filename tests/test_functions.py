@@ -139,6 +139,9 @@ def test_interpret_body(spark):
     assert (got[2].resposta_id, got[2].status) == (3, "excluido")
     assert (got[3].resposta_id, got[3].status) == (13, "reprocessar")
     assert (got[7].resposta_id, got[7].status) == (10, "consolidado")
+    wide = spark.createDataFrame([('{"CodigoRetorno":"300"}',)], "body string")
+    catalogue = spark.createDataFrame([(300, "consolidado")], "id int, status string")
+    assert outcome.interpret_bodies(wide, "body", catalogue).first()[1:] == (300, "consolidado")
 
 
 @pytest.mark.parametrize("body,want", [
