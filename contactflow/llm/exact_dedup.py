@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fuse_filter
-from .common import BLANKS, materialize, order_id
+from .common import BLANKS, LAST_ID, materialize, order_id
 
 #: Distinct digests per filter; the number of filters grows with the snapshot.
 FILTER_KEYS = 50_000
@@ -127,21 +127,24 @@ def ingest(
         known = known.union(found)
     known = materialize(spark, known, "known") if snapshots else known
     flagged = groups.join(known.select("digest").distinct().withColumn("hit", F.lit(True)), "digest", "left")
-    # One pass moves the texts to their digest; what follows reads only the rows that need it.
-    dealt = materialize(spark, rows.join(flagged, "digest"), "batch")
+    # One pass moves the texts to their digest, of a last batch only those that need a check.
+    wanted = flagged if archive else flagged.where("n > 1 or hit")
+    dealt = materialize(spark, rows.join(wanted, "digest"), "batch")
+    alone = flagged.where("n = 1 and hit is null")
+    single = alone.select(
+        F.col("rep").alias("order_id"), F.when(F.col("rep") != LAST_ID, F.col("rep")).alias("doc_id"), "digest", F.col("rep").alias("keep_id")
+    )
+    checkable = dealt.where("n > 1 or hit")
     old = (
-        dealt.where("hit")
+        checkable.where("hit")
         .join(known, "digest")
         .where(F.col("norm") == F.col("known_norm"))
         .select("order_id", "doc_id", "digest", F.col("known_id").alias("keep_id"))
     )
-    fresh = dealt.where("hit is null").union(
-        dealt.where("hit").join(
-            known.select("digest", F.col("known_norm").alias("norm")).distinct(), ["digest", "norm"], "left_anti"
-        ).select(dealt.columns)
+    seen = known.select("digest", F.col("known_norm").alias("norm")).distinct()
+    several = checkable.where("hit is null").union(
+        checkable.where("hit").join(seen, ["digest", "norm"], "left_anti").select(checkable.columns)
     )
-    single = fresh.where("n = 1 and hit is null").select("order_id", "doc_id", "digest", F.col("order_id").alias("keep_id"))
-    several = fresh.where("n > 1 or hit")
     firsts = several.where(F.col("order_id") == F.col("rep")).select("digest", F.col("norm").alias("first")).distinct()
     firsts = firsts.groupBy("digest").agg(F.min("first").alias("first"))
     checked = several.join(firsts, "digest", "left").withColumn("equal", F.coalesce(F.col("norm") == F.col("first"), F.lit(False)))
@@ -153,9 +156,10 @@ def ingest(
     new = single.union(equal).union(others)
     if not archive:
         return old.union(new), None
-    kept = new.where(F.col("order_id") == F.col("keep_id")).select("order_id", "digest").distinct()
-    added = dealt.join(kept, ["order_id", "digest"]).select("digest", F.col("order_id").alias("keep_id"), "norm")
-    added = materialize(spark, added.dropDuplicates(["digest", "keep_id", "norm"]), "snapshot")
+    kept = equal.union(others).where(F.col("order_id") == F.col("keep_id")).select("order_id", "digest").distinct()
+    columns = ["digest", F.col("order_id").alias("keep_id"), "norm"]
+    added = checkable.join(kept, ["order_id", "digest"]).select(*columns).dropDuplicates(["digest", "keep_id", "norm"])
+    added = dealt.where("n = 1 and hit is null").select(*columns).union(materialize(spark, added, "snapshot"))
     return old.union(new), build_snapshot(spark, added)
 
 
@@ -189,7 +193,7 @@ def deduplicate(
     return out.select(
         "order_id",
         "doc_id",
-        F.when(F.col("keep_id") != 2**63 - 1, F.col("keep_id")).alias("keep_id"),
+        F.when(F.col("keep_id") != LAST_ID, F.col("keep_id")).alias("keep_id"),
         "group_size",
         (F.col("order_id") == F.col("keep_id")).alias("kept"),
         "digest",
