@@ -25,9 +25,9 @@ ZIPF = 10.0
 #: Exponent of the piece weights: larger values favour segmentations into few, frequent pieces.
 SHARPNESS = 1.0
 #: Characters of text that are segmented at once; bounds the memory of a task.
-BATCH_CHARS = 200_000
+BATCH_CHARS = 400_000
 #: Characters of words whose lattices a worker keeps between batches.
-MAX_NODES = 1_200_000
+MAX_NODES = 2_500_000
 
 
 @dataclass(frozen=True)
@@ -36,13 +36,45 @@ class Vocabulary:
 
     spelled: np.ndarray  # piece id to text
     weight: np.ndarray
-    edge_key: np.ndarray  # node << 21 | character, sorted
+    edge_key: np.ndarray  # node << 21 | character, each at its hash or the next free place, else -1
     edge_to: np.ndarray
     piece_at: np.ndarray  # node to piece id, or -1
     byte_id: np.ndarray  # byte to piece id
     depth: int
     roots: np.ndarray  # first character to node, 0 if no piece begins with it
 
+    def follow(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of the keys that are edges, in order, and the nodes these lead to."""
+        slot = _slots(key, len(self.edge_key))
+        found = self.edge_key[slot]
+        open_ = np.flatnonzero((found != key) & (found >= 0))
+        while len(open_):
+            slot[open_] = (slot[open_] + 1) % len(self.edge_key)
+            found[open_] = self.edge_key[slot[open_]]
+            open_ = open_[(found[open_] != key[open_]) & (found[open_] >= 0)]
+        known = np.flatnonzero(found == key)
+        return known, self.edge_to[slot[known]]
+
+
+def _slots(key: np.ndarray, size: int) -> np.ndarray:
+    """Hash of keys into a table whose size is a power of two."""
+    return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
+
+
+def _edge_table(key: np.ndarray, to: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Open hash table of distinct keys, at most a quarter full."""
+    size = 1 << (4 * len(key)).bit_length()
+    keys, goals = np.full(size, -1, np.int64), np.zeros(size, np.int64)
+    slot, left = _slots(key, size), np.arange(len(key))
+    while len(left):
+        free = left[keys[slot[left]] < 0]
+        keys[slot[free]] = key[free]  # of several keys for a place one stays
+        settled = keys[slot[left]] == key[left]
+        goals[slot[left[settled]]] = to[left[settled]]
+        left = left[~settled]
+        slot[left] = (slot[left] + 1) % size
+    return keys, goals
+
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str, sharpness: float = SHARPNESS) -> Vocabulary:
@@ -67,7 +99,6 @@ def vocabulary(path: str, sharpness: float = SHARPNESS) -> Vocabulary:
             at = nodes.setdefault((at, ord(c)), len(nodes) + 1)
         ends[at] = i
     key = np.array([a << 21 | c for a, c in nodes], np.int64)
-    order = np.argsort(key)
     piece_at = np.full(len(nodes) + 1, -1)
     for at, i in ends.items():
         piece_at[at] = i
@@ -82,7 +113,7 @@ def vocabulary(path: str, sharpness: float = SHARPNESS) -> Vocabulary:
         roots[ord(pieces[i][0])] = nodes[0, ord(pieces[i][0])]
     if any("\n" in pieces[i] for i in ranked):
         raise ValueError("pieces with line breaks are not supported")
-    return Vocabulary(spelled, log_weight, key[order], to[order], piece_at, byte_id, depth, roots)
+    return Vocabulary(spelled, log_weight, *_edge_table(key, to), piece_at, byte_id, depth, roots)
 
 
 def normalise(text: str) -> str:
@@ -122,16 +153,34 @@ class Lattice(dict):
         super().__init__()
         self.vocab = vocab
         self.fresh: list[str] = []
+        #: How many words, nodes and edges are filled; the arrays have room beyond.
+        self.words = self.nodes = self.edges = 0
         self.start = self.piece = self.begin = self.end = np.empty(0, np.int32)
         self.log_q = np.empty(0)
         self.cumulative, self.first = np.empty(0, np.float32), np.zeros(1, np.int32)
         self.codes = np.empty(0, np.uint32)
 
+    def _append(self, name: str, filled: int, values: np.ndarray) -> None:
+        """Writes values behind the filled part; room doubles, so that few calls copy."""
+        array = getattr(self, name)
+        size = filled + len(values)
+        if size > len(array):
+            grown = np.empty(max(size, 2 * len(array)), array.dtype)
+            grown[:filled] = array[:filled]
+            setattr(self, name, grown)
+            array = grown
+        array[filled:size] = values
+
     def __missing__(self, word: str) -> int:
         number = self[word] = len(self)
         self.fresh.append(word)
         return number
 
+    def clear(self) -> None:
+        """Forget all words; the room stays."""
+        super().clear()
+        self.words = self.nodes = self.edges = 0
+
     def character(self, node: int) -> bytes:
         return chr(self.codes[node]).encode("utf-8", "surrogatepass")
 
@@ -139,33 +188,31 @@ class Lattice(dict):
         """Add the lattices of the words looked up since the last call."""
         if not self.fresh:
             return
-        words, vocab = [w.replace(" ", SPACE) for w in self.fresh], self.vocab
+        words, vocab = self.fresh, self.vocab
         self.fresh = []
-        text = "".join(words).encode("utf-32-le", "surrogatepass")
+        text = "".join(words).replace(" ", SPACE).encode("utf-32-le", "surrogatepass")
         codes = np.frombuffer(text, np.uint32).astype(np.int64)
         length = np.fromiter(map(len, words), np.int64, len(words))
         end = np.cumsum(length)
         begin = end - length
         word = np.repeat(np.arange(len(words)), length)
-        stop = end[word]
+        room = end[word] - np.arange(len(codes))
         # Walk the trie from every character at once; few positions survive many steps.
         starts, ids = [], []
         at, node = np.arange(len(codes)), np.zeros(len(codes), np.int64)
         for step in range(vocab.depth):
-            inside = at + step < stop[at]
-            at, node = at[inside], node[inside]
-            if not len(at):
-                break
             if step:
-                key = node << 21 | codes[at + step]
-                slot = np.minimum(np.searchsorted(vocab.edge_key, key), len(vocab.edge_key) - 1)
-                known = vocab.edge_key[slot] == key
-                at, node = at[known], vocab.edge_to[slot[known]]
+                inside = np.flatnonzero(room[at] > step)
+                at, node = at[inside], node[inside]
+                if not len(at):
+                    break
+                known, node = vocab.follow(node << 21 | codes[at + step])
+                at = at[known]
             else:
                 node = vocab.roots[np.minimum(codes, len(vocab.roots) - 1)]
                 at, node = at[node > 0], node[node > 0]
             piece = vocab.piece_at[node]
-            is_piece = piece >= 0
+            is_piece = np.flatnonzero(piece >= 0)
             starts.append(at[is_piece])
             ids.append(piece[is_piece])
         single = np.zeros(len(codes), bool)
@@ -197,18 +244,25 @@ class Lattice(dict):
             size = np.diff(np.append(run, len(e)))
             total[node[run]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, size)), run))
         log_q = np.minimum(scored - total[last], 0.0)
-        nodes, edges = len(self.codes), len(self.start)
-        self.first = np.concatenate([self.first, edges + np.cumsum(np.bincount(last, minlength=len(codes))).astype(np.int32)])
-        self.start = np.concatenate([self.start, (start + nodes).astype(np.int32)])
-        self.piece = np.concatenate([self.piece, piece.astype(np.int32)])
-        self.log_q = np.concatenate([self.log_q, log_q])
-        sums = np.cumsum(np.exp(log_q))
-        cumulative = (sums - (sums - np.exp(log_q))[np.searchsorted(last, last)]).astype(np.float32)
-        cumulative[np.cumsum(np.bincount(last, minlength=len(codes))) - 1] = np.inf  # a node's last edge takes the rest
-        self.cumulative = np.concatenate([self.cumulative, cumulative])
-        self.begin = np.concatenate([self.begin, (begin + nodes).astype(np.int32)])
-        self.end = np.concatenate([self.end, (end + nodes).astype(np.int32)])
-        self.codes = np.concatenate([self.codes, codes.astype(np.uint32)])
+        degree = np.bincount(last, minlength=len(codes))
+        behind = np.cumsum(degree)
+        # Shares are summed as integers, so that sums do not depend on the words built beside.
+        share = np.rint(np.exp(log_q) * 2.0**40).astype(np.int64)
+        sums = np.cumsum(share)
+        cumulative = (sums - np.repeat((sums - share)[behind - degree], degree)).astype(np.float32) * np.float32(2.0**-40)
+        cumulative[behind - 1] = np.inf  # a node's last edge takes the rest
+        nodes, edges = self.nodes, self.edges
+        self._append("first", nodes + 1, edges + behind)
+        self._append("start", edges, start + nodes)
+        self._append("piece", edges, piece)
+        self._append("log_q", edges, log_q)
+        self._append("cumulative", edges, cumulative)
+        self._append("begin", self.words, begin + nodes)
+        self._append("end", self.words, end + nodes)
+        self._append("codes", nodes, codes)
+        self.words += len(words)
+        self.nodes += len(codes)
+        self.edges += len(start)
 
 
 def _uniform(key: np.ndarray, a: np.ndarray | int, b: np.ndarray | int) -> np.ndarray:
@@ -469,8 +523,10 @@ LATTICES: dict[str, Lattice] = {}
 def lattice_for(path: str) -> Lattice:
     """The worker's lattice for a model; starts afresh when it has grown over MAX_NODES."""
     lattice = LATTICES.get(path)
-    if lattice is None or len(lattice.codes) > MAX_NODES:
+    if lattice is None:
         lattice = LATTICES[path] = Lattice(vocabulary(path))
+    elif lattice.nodes > MAX_NODES:
+        lattice.clear()
     return lattice
 
 
