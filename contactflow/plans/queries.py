@@ -80,12 +80,12 @@ def s02_clean_source(i):
     return files.read_customers(i.spark, path, "UTF-8").select("rut", "direccion", "comuna", "region")
 
 
-def result_files(i) -> str:
-    """Result files of three runs; returns the glob over all of them."""
+def result_files(i, mixed: bool = True) -> str:
+    """Result files of three runs, if mixed one with its columns in another order; returns the glob over all of them."""
     root, results = work_path(i.spark, "results"), i.macro_result
     for name, code in [("a", "0"), ("b", "1"), ("c", "")]:
         part = results.where(col("sucesso") == code).orderBy("line_no")
-        files.write_results(part, f"{root}/{name}_RESULTADO.csv", bom=True)
+        files.write_results(part, f"{root}/{name}_RESULTADO.csv", reverse=mixed and name == "b", bom=True)
     return f"{root}/*_RESULTADO.csv"
 
 
@@ -1035,7 +1035,7 @@ def v09_domain_check(i):
 @query
 def r01_incremental_ingest(i):
     root = work_path(i.spark, "r01")
-    streams.ingest_results(i.spark, result_files(i), f"{root}/out", f"{root}/checkpoint")
+    streams.ingest_results(i.spark, result_files(i, mixed=False), f"{root}/out", f"{root}/checkpoint")
     return i.spark.read.parquet(f"{root}/out")
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -17,14 +20,20 @@ def read_delimited(
     encoding: str = "UTF-8",
     multiline: bool = False,
     positions: bool = False,
+    header: list[str] | None = None,
 ) -> DataFrame:
     """`;` file with a header; absent fields are ''.
 
     `positions` adds the columns of LINE_ORDER, which sort lines as they
     stand in the files: rows of one block are read in order by one task.
+    `multiline` reads fields with quoted line breaks; such files are not
+    split. `header` names the columns in place of the first file's header.
     """
+    reader = spark.read
+    if header:
+        reader = reader.schema(", ".join(f"`{c}` string" for c in header))
     raw = (
-        spark.read.option("sep", ";")
+        reader.option("sep", ";")
         .option("header", True)
         .option("inferSchema", False)
         .option("encoding", encoding)
@@ -67,20 +76,50 @@ def with_line_no(df: DataFrame) -> DataFrame:
     )
 
 
-def read_customers(spark: SparkSession, path, encoding: str = "ISO-8859-1", positions: bool = False) -> DataFrame:
-    df = read_delimited(spark, path, encoding, positions=positions)
+def read_customers(
+    spark: SparkSession, path, encoding: str = "ISO-8859-1", positions: bool = False, multiline: bool = False
+) -> DataFrame:
+    df = read_delimited(spark, path, encoding, multiline, positions)
     return df.withColumnRenamed("FECHA NAC", "fecha_nac")
 
 
-def read_results(spark: SparkSession, path, positions: bool = False) -> DataFrame:
+def headers(spark: SparkSession, path) -> DataFrame:
+    """First line of each file: columns file_path and header."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.file_block_start").alias("block_start"),
+        F.monotonically_increasing_id().alias("row_seq"),
+        "value",
+    )
+    return lines.where("block_start = 0").groupBy("file_path").agg(F.min_by("value", "row_seq").alias("header"))
+
+
+def _names(header: str) -> list[str]:
+    return [c.strip().lower() for c in next(csv.reader([header.removeprefix(BOM)], delimiter=";"), [])]
+
+
+def read_results(spark: SparkSession, path, positions: bool = False, multiline: bool = False) -> DataFrame:
     """One or many result files; pass a glob or an explicit file.
 
-    A glob without files is an empty table; a missing explicit file fails.
+    Columns go by name in each file: files are read grouped by header, and a
+    column that a file lacks is ''. A glob without files is an empty table; a
+    missing explicit file fails.
     """
     if "*" in path and not matches(spark, path):
         return spark.createDataFrame([], RESULT_SCHEMA)
-    df = read_delimited(spark, path, positions=positions)
-    return df.toDF(*(c.lower() for c in df.columns))
+    first = headers(spark, path)
+    kinds = sorted(r.header for r in first.select("header").distinct().collect())
+    if len({tuple(_names(k)) for k in kinds}) < 2:
+        df = read_delimited(spark, path, multiline=multiline, positions=positions)
+        return df.toDF(*(c.lower() for c in df.columns))
+    parts = []
+    for kind in kinds:
+        files = [r.file_path for r in first.where(F.col("header") == kind).select("file_path").collect()]
+        lines = read_delimited(spark, path, multiline=multiline, positions=True, header=_names(kind))
+        parts.append(lines.where(F.col("file_path").isin(files)))
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    names = [c for c in df.columns if c not in LINE_ORDER]
+    return df.select(*(F.coalesce(c, F.lit("")).alias(c) for c in names), *(LINE_ORDER if positions else []))
 
 
 RESULT_SCHEMA = (
@@ -146,8 +185,9 @@ def write_customers(raw: DataFrame, path: str, encoding: str = "UTF-8") -> str:
     return write_delimited(df, path, encoding)
 
 
-def write_results(results: DataFrame, path: str, **options) -> str:
-    names = RESULT_SCHEMA.replace(" string", "").split(", ")
+def write_results(results: DataFrame, path: str, reverse: bool = False, **options) -> str:
+    """Result file; `reverse` writes the columns in reverse order."""
+    names = RESULT_SCHEMA.replace(" string", "").split(", ")[:: -1 if reverse else 1]
     return write_delimited(results.select(*(F.col(c).alias(c.upper()) for c in names)), path, **options)
 
 

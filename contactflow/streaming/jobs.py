@@ -39,11 +39,12 @@ def _run(writer, checkpoint: str) -> None:
 
 
 def ingest_results(spark: SparkSession, glob: str, out: str, checkpoint: str) -> None:
-    """Each result file once, appended as it arrives."""
+    """Each result file once, appended as it arrives; a file with another header fails the stream."""
     lines = (
         spark.readStream.schema(RESULT_SCHEMA)
         .option("sep", ";")
         .option("header", True)
+        .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
         .csv(glob)

@@ -40,6 +40,23 @@ def test_result_files_with_bom_and_padded_header(spark, tmp_path):
     assert df.first().erro == "x" and df.first().telefone_validado == ""
 
 
+def test_result_columns_go_by_name_in_each_file(spark, tmp_path):
+    (tmp_path / "a b_RESULTADO.csv").write_text("RUT;DV;TELEFONE_VALIDADO;EMAIL_VALIDADO;SUCESSO;ERRO\n1;2;911;a@b;1;\n")
+    (tmp_path / "b_RESULTADO.csv").write_text("\ufeffEMAIL_VALIDADO;TELEFONE_VALIDADO;RUT;SUCESSO\nc@d;922;3;1\n", encoding="utf-8")
+    (tmp_path / "c_RESULTADO.csv").write_text("")
+    df = files.read_results(spark, f"{tmp_path}/*_RESULTADO.csv")
+    got = {r.rut: (r.dv, r.telefone_validado, r.email_validado, r.erro) for r in df.collect()}
+    assert got == {"1": ("2", "911", "a@b", ""), "3": ("", "922", "c@d", "")}
+    lines = files.with_line_no(files.read_results(spark, f"{tmp_path}/*_RESULTADO.csv", positions=True))
+    assert {r.rut: r.line_no for r in lines.collect()} == {"1": 0, "3": 1}
+
+
+def test_quoted_line_breaks(spark, tmp_path):
+    (tmp_path / "c.txt").write_bytes(b'rut;direccion\n1;"a\nb"\n2;c\n')
+    got = files.read_customers(spark, str(tmp_path / "c.txt"), multiline=True).orderBy("rut").collect()
+    assert [tuple(r) for r in got] == [("1", "a\nb"), ("2", "c")]
+
+
 def test_missing_files(spark, tmp_path):
     assert files.read_results(spark, f"{tmp_path}/*_RESULTADO.csv").count() == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
