@@ -17,7 +17,7 @@ SMOOTHING = 0.5
 MAX_LANGUAGES = 1000
 UNDETERMINED = "und"
 #: Characters that are hashed at once; bounds the memory of a task.
-SLICE = 400_000
+SLICE = 1 << 18
 
 
 @dataclass(frozen=True)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactflow.llm import decontamination, exact_dedup, language_id, segmentation, simhash
-from contactflow.llm.common import LAST_ID, id_bucket, materialize, order_id, read_documents
+from contactflow.llm.common import LAST_ID, bound_batches, id_bucket, materialize, order_id, read_documents
 from contactflow.llm.queries import DRAWS, PIECES, SEED
 from contactflow.session import configure
 
@@ -32,6 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     one. Rows with a null text go; rows with a null doc_id are judged like any other; repeated rows
     stay or go together; an empty table stays empty.
     """
+    bound_batches(spark)
     model = language_id.train(docs.where(id_bucket(4) != 2))
     judged = language_id.identify(spark, docs.select(F.xxhash64("text").alias("doc_id"), "text"), model)
     good = judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE)).select(F.col("doc_id").alias(KEY)).distinct()
@@ -40,6 +41,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of equal texts; rows that repeat a doc_id and its text become one."""
+    bound_batches(spark)
     decided = exact_dedup.deduplicate(spark, docs)
     stay = decided.where("kept").select(F.col("order_id").alias(ID), F.col("digest").alias(KEY)).distinct()
     keyed = _keyed(docs, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))))
@@ -51,6 +53,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without a doc_id go where their class has one with an id, else their different texts stay.
     """
+    bound_batches(spark)
     marked = simhash.near_duplicates(spark, docs)
     first = F.col("order_id") == F.coalesce("component_id", F.lit(LAST_ID))
     stay = marked.where(first).select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
@@ -59,6 +62,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
+    bound_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contaminated(spark, docs, items)
     leak = found.select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
@@ -67,6 +71,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of what is left, one row per document and draw."""
+    bound_batches(spark)
     return segmentation.summary(segmentation.sample_segmentations(docs, PIECES, DRAWS, SEED))
 
 
