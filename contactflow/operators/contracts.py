@@ -18,8 +18,8 @@ from ..functions.outcome import supplier_or_default
 from ..functions.text import full_address
 from .keyed import first_per_key, spread_nulls
 
-# Phones per text cell; see phone_text.
-MAX_CELL = 500_000
+# Order values per piece of a joined text; the result does not depend on it.
+PIECE = 10_000
 
 
 def first_units(units: DataFrame) -> DataFrame:
@@ -92,35 +92,59 @@ def batch_composition(batch: DataFrame) -> DataFrame:
 
 
 def phone_text(
-    phones: DataFrame, separator: str = ";", order: str = "id", max_cell: int = MAX_CELL
+    phones: DataFrame, separator: str = ";", order: str = "id", max_cell: int | None = None
 ) -> DataFrame:
-    """Distinct phones per client, joined in id order.
+    """Distinct phones per client, joined in id order; one row per client, with `parte` 0.
 
-    Phones are made distinct before they are collected. A client's phones
-    fill one cell, or several (`parte` 0, 1, ...) once there are more than
-    `max_cell`; a cell stays below twice that and none is lost. The split
-    goes by id ranges, whose counts say which cell a range belongs to.
+    Phones are made distinct before they are collected, and joined in pieces
+    of an id range, so that only the last step, which writes a client's text,
+    sees all of the client. With `max_cell` the caller asks for several cells
+    instead (`parte` 0, 1, ...), each below twice that number; no job does.
     """
-    distinct = (
-        phones.groupBy("cliente_id", "numero")
-        .agg(F.min(order).alias("_at"))
-        .withColumn("_range", F.expr(f"_at div {max_cell}"))
+    distinct = phones.groupBy("cliente_id", "numero").agg(F.min(order).alias("_at"))
+    if max_cell:
+        return _cells(distinct, separator, max_cell)
+    return (
+        distinct.groupBy("cliente_id", F.expr(f"_at div {PIECE}").alias("_range"))
+        .agg(F.when(F.count("numero") > 0, _in_order(separator, "_at", "numero")).alias("_text"))
+        .groupBy("cliente_id")
+        .agg(_in_order(separator, "_range", "_text").alias("telefones"))
+        .select("cliente_id", F.lit(0).alias("parte"), "telefones")
     )
+
+
+def _in_order(separator: str, at: str, text: str) -> Column:
+    """The texts of a group, joined in the order of `at`."""
+    ordered = F.array_sort(F.collect_list(F.struct(at, text)))
+    return F.array_join(F.transform(ordered, lambda x: x[text]), separator)
+
+
+def _cells(distinct: DataFrame, separator: str, max_cell: int) -> DataFrame:
+    """Cells by id ranges, whose counts say which cell a range belongs to."""
+    ranged = distinct.withColumn("_range", F.expr(f"_at div {max_cell}"))
     before = Window.partitionBy("cliente_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     cells = (
-        distinct.groupBy("cliente_id", "_range")
+        ranged.groupBy("cliente_id", "_range")
         .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .select("cliente_id", "_range", F.expr(f"_before div {max_cell}").alias("parte"))
     )
-    ordered = F.array_sort(F.collect_list(F.struct("_at", "numero")))
     return (
-        distinct.join(cells, ["cliente_id", "_range"])
+        ranged.join(cells, ["cliente_id", "_range"])
         .groupBy("cliente_id", "parte")
-        .agg(F.array_join(F.transform(ordered, lambda x: x["numero"]), separator).alias("telefones"))
+        .agg(_in_order(separator, "_at", "numero").alias("telefones"))
     )
 
 
+def with_phone_text(rows: DataFrame, chosen: DataFrame, phones: DataFrame, separator: str = ";") -> DataFrame:
+    """Rows with their client's phones; only phones of the `chosen` clients are joined.
+
+    Comes after all other joins, so that the text does not travel through them.
+    """
+    kept = phones.join(chosen.select("cliente_id").distinct(), "cliente_id", "left_semi")
+    return rows.join(phone_text(kept, separator).drop("parte"), "cliente_id", "left")
+
+
 def active_history(history: DataFrame) -> DataFrame:
     """Distinct (client, unit, distributor) with a confirmed answer."""
     return history.where(F.col("resposta_id") == "3").select("cpf", "uc", "distribuidora_id").dropDuplicates()
@@ -156,13 +180,16 @@ def _history_tag() -> Column:
     )
 
 
+def confirmed(state: DataFrame) -> DataFrame:
+    return state.where(F.col("resposta_id") == 3)
+
+
 def confirmed_rows(
-    state: DataFrame, clients: DataFrame, companies: DataFrame, addresses: DataFrame, phones: DataFrame
+    state: DataFrame, clients: DataFrame, companies: DataFrame, addresses: DataFrame
 ) -> DataFrame:
     """Rows with a confirmed answer and the client data of the title report."""
-    tels = phone_text(phones).select("cliente_id", "telefones")
     return (
-        state.where(F.col("resposta_id") == 3)
+        confirmed(state)
         .select("id", "cliente_id", "distribuidora_id", "cliente_uc_id")
         .join(clients.select(F.col("id").alias("cliente_id"), "cpf", "nome"), "cliente_id")
         .join(companies.select(F.col("id").alias("distribuidora_id"), F.col("nome").alias("distribuidora")), "distribuidora_id")
@@ -171,7 +198,6 @@ def confirmed_rows(
             ["cliente_id", "distribuidora_id"],
             "left",
         )
-        .join(tels, "cliente_id", "left")
     )
 
 
@@ -188,7 +214,7 @@ def provenance_report(
     history: DataFrame,
 ) -> DataFrame:
     """Confirmed rows with their unit and where the unit came from."""
-    rows = confirmed_rows(state, clients, companies, addresses, phones)
+    rows = confirmed_rows(state, clients, companies, addresses)
     has_unit = F.col("cliente_uc_id").isNotNull()
     # Only rows without a unit look into the history, so one pass serves the
     # three provenances; the others get a key of their own that matches nothing.
@@ -199,14 +225,11 @@ def provenance_report(
     })
     own = units.select(F.col("id").alias("_uc_id"), F.col("uc").alias("_own"))
     both = _with_history(keyed, history).join(own, "_uc_id", "left")
-    return (
-        both.where(~has_unit | F.col("_own").isNotNull())
-        .withColumns({
-            "uc": F.coalesce("_own", "uc"),
-            "origem_uc": F.when(has_unit, "cliente_uc_id").otherwise(_history_tag()),
-        })
-        .select(*PROVENANCE_FILE)
-    )
+    found = both.where(~has_unit | F.col("_own").isNotNull()).withColumns({
+        "uc": F.coalesce("_own", "uc"),
+        "origem_uc": F.when(has_unit, "cliente_uc_id").otherwise(_history_tag()),
+    })
+    return with_phone_text(found, confirmed(state), phones).select(*PROVENANCE_FILE)
 
 
 def first_full_address(addresses: DataFrame) -> DataFrame:
@@ -229,19 +252,22 @@ def active_contract_report(
     answers = catalogue.where(F.col("mensagem") == ACTIVE_CONTRACT_MESSAGE).select(
         F.col("id").alias("resposta_id"), F.col("mensagem").alias("retorno")
     )
-    rows = (
+    active = (
         state.where(F.col("status") == "consolidado")
         .select("cliente_id", "distribuidora_id", "cliente_uc_id", "resposta_id")
         .distinct()
         .join(answers, "resposta_id")
+    )
+    rows = (
+        active
         .join(clients.select(F.col("id").alias("cliente_id"), "cpf", "nome"), "cliente_id")
         .join(units.select(F.col("id").alias("cliente_uc_id"), F.col("uc").alias("uc_ativa")), "cliente_uc_id", "left")
         .join(companies.select(F.col("id").alias("distribuidora_id"), F.col("nome").alias("distribuidora")), "distribuidora_id", "left")
         .join(first_full_address(addresses), "cliente_id", "left")
-        .join(phone_text(phones, "; ").select("cliente_id", "telefones"), "cliente_id", "left")
     )
     columns = ["uc_ativa", "cpf", "nome", "telefones", "endereco_completo", "distribuidora", "retorno"]
-    return rows.select(*columns).distinct().orderBy("cpf")
+    narrow = rows.select("cliente_id", *(c for c in columns if c != "telefones")).distinct()
+    return with_phone_text(narrow, active, phones, "; ").select(*columns).distinct().orderBy("cpf")
 
 
 def report_layout(report: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Ingest, export, report and contract rules on small tables with a hot key."""
 
 import datetime as dt
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,33 @@ def test_phone_text_splits_large_clients_and_keeps_all(spark):
     assert sum(cells, []) == [f"{i:05d}" for i in range(100)]
 
 
+def test_many_phones_do_not_multiply_report_rows(spark):
+    n = 500_001
+    phones = spark.range(n).select(
+        F.lit(1).cast("long").alias("cliente_id"), F.lpad(F.col("id").cast("string"), 6, "0").alias("numero"), "id"
+    ).union(spark.createDataFrame([(2, "8", 9), (2, "9", 7), (2, "9", 8), (3, "1", 5)], "cliente_id long, numero string, id long"))
+    clients = spark.createDataFrame([(1, "c1", "A"), (2, "c2", "B"), (3, "c3", "C")], "id long, cpf string, nome string")
+    companies = spark.createDataFrame([(0, "D0")], "id int, nome string")
+    units = spark.createDataFrame([(5, "u5", 1, 0), (6, "u6", 2, 0)], "id long, uc string, cliente_id long, distribuidora_id int")
+    addresses = spark.createDataFrame([], "id long, cliente_id long, distribuidora_id int, endereco string, numero string, complemento string, bairro string, cidade string, uf string, cep string")
+    data = [(10, 1, 0, 5, 3, "consolidado"), (11, 2, 0, 6, 3, "consolidado"), (12, 1, 0, None, 3, "pendente")]
+    state = spark.createDataFrame(data, "id long, cliente_id long, distribuidora_id int, cliente_uc_id long, resposta_id int, status string")
+    history = spark.createDataFrame([("c1", "h1", "0", "3"), ("c1", "h2", "0", "3")], "cpf string, uc string, distribuidora_id string, resposta_id string")
+    catalogue = spark.createDataFrame([(3, contracts.ACTIVE_CONTRACT_MESSAGE)], "id int, mensagem string")
+
+    size, whole = F.length("telefones"), F.sha2("telefones", 256)
+    text = "; ".join(f"{i:06d}" for i in range(n))
+    report = contracts.active_contract_report(state, clients, units, companies, addresses, phones, catalogue)
+    assert [tuple(r) for r in report.select("cpf", "uc_ativa", size, whole).collect()] == [
+        ("c1", "u5", len(text), hashlib.sha256(text.encode()).hexdigest()), ("c2", "u6", 4, hashlib.sha256(b"9; 8").hexdigest())]
+
+    title = contracts.provenance_report(state, clients, companies, units, addresses, phones, history)
+    long = 7 * n - 1
+    assert sorted(map(tuple, title.select("cpf", "uc", "origem_uc", size).collect())) == [
+        ("c1", "h1", "historico_multiplo", long), ("c1", "h2", "historico_multiplo", long),
+        ("c1", "u5", "cliente_uc_id", long), ("c2", "u6", "cliente_uc_id", 3)]
+
+
 def test_history_tags(spark):
     history = spark.createDataFrame([("1", "u1", "0", "3"), ("1", "u1", "0", "3"), ("2", "u2", "1", "3"), ("2", "u3", "1", "3"), ("3", "u4", "0", "4")], "cpf string, uc string, distribuidora_id string, resposta_id string")
     data = spark.createDataFrame([(10, "1", 0), (20, "2", 1), (30, "3", 0), (40, "1", 1)], "id long, cpf string, distribuidora_id int")
