@@ -1035,8 +1035,8 @@ def v09_domain_check(i):
 @query
 def r01_incremental_ingest(i):
     root = work_path(i.spark, "r01")
-    streams.ingest_results(i.spark, result_files(i, mixed=False), f"{root}/out", f"{root}/checkpoint")
-    return i.spark.read.parquet(f"{root}/out")
+    streams.ingest_results(i.spark, result_files(i), f"{root}/out", f"{root}/checkpoint")
+    return streams.read_ingested(i.spark, f"{root}/out")
 
 
 @query

@@ -99,16 +99,18 @@ def _names(header: str) -> list[str]:
 
 
 def read_results(spark: SparkSession, path, positions: bool = False, multiline: bool = False) -> DataFrame:
-    """One or many result files; pass a glob or an explicit file.
+    """One or many result files; pass a glob, an explicit file or a list of files.
 
     Columns go by name in each file: files are read grouped by header, and a
-    column that a file lacks is ''. A glob without files is an empty table; a
-    missing explicit file fails.
+    column that a file lacks is ''. A glob without files is an empty table, as
+    are files without any line; a missing explicit file fails.
     """
     if "*" in path and not matches(spark, path):
         return spark.createDataFrame([], RESULT_SCHEMA)
     first = headers(spark, path)
     kinds = sorted(r.header for r in first.select("header").distinct().collect())
+    if not kinds:
+        return spark.createDataFrame([], RESULT_SCHEMA)
     if len({tuple(_names(k)) for k in kinds}) < 2:
         df = read_delimited(spark, path, multiline=multiline, positions=positions)
         return df.toDF(*(c.lower() for c in df.columns))

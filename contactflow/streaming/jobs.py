@@ -6,6 +6,8 @@ batch that runs again after a failure leaves the same result.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,9 +16,14 @@ from ..functions.outcome import FINAL_OUTCOMES, code_status, result_code
 from ..functions.text import trim_ws
 from ..operators.keyed import first_per_key, insert_ignore, last_per_key
 from ..operators.state import apply_results
-from ..sources.files import RESULT_SCHEMA
+from ..sources.files import RESULT_SCHEMA, matches, read_results
 from ..sources.snapshots import read_snapshot
 
+#: Signs in a file's name that a reader would take as a pattern.
+GLOB_SIGNS = re.compile(r"[\\{}\[\]*?]")
+
+FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
+
 
 def land(df: DataFrame, path: str) -> tuple[str, StructType]:
     """Writes a stream's source files; returns their path and schema."""
@@ -39,18 +46,26 @@ def _run(writer, checkpoint: str) -> None:
 
 
 def ingest_results(spark: SparkSession, glob: str, out: str, checkpoint: str) -> None:
-    """Each result file once, appended as it arrives; a file with another header fails the stream."""
-    lines = (
-        spark.readStream.schema(RESULT_SCHEMA)
-        .option("sep", ";")
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .csv(glob)
-    )
-    filled = lines.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in lines.columns))
-    _run(filled.writeStream.format("parquet").option("path", out), checkpoint)
+    """Each result file once, a folder per batch; columns go by name in each file, as in read_results.
+
+    The stream finds the files and only takes their paths; the lines are read per batch.
+    """
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        paths = [GLOB_SIGNS.sub(r"\\\g<0>", r.path) for r in batch.select("path").distinct().collect()]
+        if paths:
+            read_results(spark, paths).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    found = spark.readStream.format("binaryFile").schema(FILE_SCHEMA).load(glob).select("path")
+    _run(found.writeStream.foreachBatch(step), checkpoint)
+
+
+def read_ingested(spark: SparkSession, out: str) -> DataFrame:
+    """All ingested lines; a column that a batch lacks is ''."""
+    if not matches(spark, f"{out}/batch=*"):
+        return spark.createDataFrame([], RESULT_SCHEMA)
+    lines = spark.read.option("mergeSchema", True).parquet(f"{out}/batch=*")
+    return lines.select(*(F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in lines.columns))
 
 
 def apply_stream(

@@ -40,6 +40,25 @@ def test_key_states_in_two_runs(spark, sf_dir, tmp_path):
     assert got.agg(F.sum("tentativas")).first()[0] == results.count()
 
 
+def test_result_files_with_other_columns_do_not_stop_the_ingest(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+
+    def run(name, *lines):
+        (folder / name).write_text("\n".join(lines) + "\n" if lines else "", encoding="utf-8")
+        jobs.ingest_results(spark, f"{folder}/*_RESULTADO.csv", out, str(tmp_path / "cp"))
+        names = ["rut", "telefone_validado", "email_validado", "sucesso"]
+        return sorted(tuple(r) for r in jobs.read_ingested(spark, out).select(*names).collect())
+
+    assert run("0_RESULTADO.csv") == []
+    first = [("1", "56911111111", "a@x.cl", "1")]
+    assert run("a_RESULTADO.csv", "RUT;DV;TELEFONE_VALIDADO;EMAIL_VALIDADO;SUCESSO;ERRO", "1;9;56911111111;a@x.cl;1;") == first
+    (folder / "c [1]_RESULTADO.csv").write_text("RUT;SUCESSO\n3;0\n", encoding="utf-8")
+    second = [*first, ("2", "56922222222", "b@x.cl", "1"), ("3", "", "", "0")]
+    assert run("b_RESULTADO.csv", "\ufeffERRO;SUCESSO;EMAIL_VALIDADO;TELEFONE_VALIDADO;DV;RUT", ";1;b@x.cl;56922222222;7;2") == second
+    assert run("d_RESULTADO.csv", "RUT;DV;TELEFONE_VALIDADO;EMAIL_VALIDADO;SUCESSO;ERRO", "4;1;;;0;x") == [*second, ("4", "", "", "0")]
+
+
 def test_first_wins_in_two_runs(spark, tmp_path):
     df = spark.range(100).select((F.col("id") % 30).alias("k"), F.col("id").alias("line_no"))
     for half in halves(df, "line_no"):
