@@ -43,6 +43,23 @@ def _grams(codes: np.ndarray) -> Iterator[np.ndarray]:
         yield ((rolled + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)
 
 
+_PLAIN = np.zeros(0, bool)
+
+
+def _plain(codes: np.ndarray) -> Iterator[np.ndarray]:
+    """For each n-gram of _grams, whether it holds only letters and spaces."""
+    global _PLAIN
+    if not len(_PLAIN):
+        _PLAIN = np.fromiter((c == 32 or chr(c).isalpha() for c in range(0x110000)), bool, 0x110000)
+    one = _PLAIN[codes.astype(np.int64)]
+    rolled = np.ones(len(codes), bool)
+    for n in ORDERS:
+        if len(codes) < n:
+            return
+        rolled = rolled[: len(codes) - n + 1] & one[n - 1 :]
+        yield rolled
+
+
 def _slices(text: str) -> Iterator[np.ndarray]:
     """Buckets of all n-grams of a whole text; slices overlap so that no n-gram is lost."""
     for at in range(0, len(text), SLICE):
@@ -103,10 +120,10 @@ def train(rows: DataFrame) -> Model:
     return Model(languages, likelihood.astype(np.float32), prior)
 
 
-def score(model: Model, text: str | None) -> tuple[str, float]:
-    """Most probable language and its posterior probability."""
+def score(model: Model, text: str | None) -> tuple[str, float, float, int]:
+    """Most probable language, its posterior probability, the mean log-likelihood per plain n-gram and their number."""
     if not has_letter(text) or not model.languages:
-        return UNDETERMINED, 0.0
+        return UNDETERMINED, 0.0, 0.0, 0
     # The text as a sparse count vector: only the buckets that occur meet the matrix.
     counts = np.zeros(2**BITS, np.int64)
     for grams in _slices(text):
@@ -114,15 +131,25 @@ def score(model: Model, text: str | None) -> tuple[str, float]:
     at = np.flatnonzero(counts)
     joint = model.log_prior + model.log_likelihood[:, at].astype(np.float64) @ counts[at]
     best = int(np.argmax(joint))
-    return model.languages[best], float(1.0 / np.exp(joint - joint[best]).sum())
+    total, size = 0.0, 0
+    for at in range(0, len(text), SLICE):
+        codes = _codes(text[max(0, at - max(ORDERS) + 1) : at + SLICE])
+        lead = min(at, max(ORDERS) - 1)
+        for n, grams, plain in zip(ORDERS, _grams(codes), _plain(codes), strict=False):
+            own = slice(max(0, lead - n + 1), None)
+            use = grams[own][plain[own]].astype(np.int64)
+            total += float(model.log_likelihood[best][use].sum(dtype=np.float64))
+            size += len(use)
+    return model.languages[best], float(1.0 / np.exp(joint - joint[best]).sum()), total / max(size, 1), size
 
 
-def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, list[bool]]:
+def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, list[bool], np.ndarray, np.ndarray]:
     """Score short texts together; long ones go through score() by themselves."""
     langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
+    fits, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
     lettered = [has_letter(t) for t in texts]
     if not model.languages:
-        return langs, scores, lettered
+        return langs, scores, lettered, fits, sizes
     group: list[int] = []
     size = 0
 
@@ -133,23 +160,33 @@ def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.n
         lengths = np.array([len(c) for c in codes])
         ends = np.cumsum(lengths)
         joint = np.repeat(model.log_prior[:, None], len(group), axis=1)
-        for n, grams in zip(ORDERS, _grams(np.concatenate(codes)), strict=False):
+        joined = np.concatenate(codes)
+        for n, grams in zip(ORDERS, _grams(joined), strict=False):
             at = grams.astype(np.int64)
             stop = np.maximum(ends - n + 1, ends - lengths)
             for c in range(len(model.languages)):
                 sums = np.concatenate([[0.0], np.cumsum(model.log_likelihood[c][at], dtype=np.float64)])
                 joint[c] += sums[np.minimum(stop, len(at))] - sums[np.minimum(ends - lengths, len(at))]
         best = joint.argmax(axis=0)
+        owner = np.repeat(best, lengths)
+        fit, count = np.zeros(len(group)), np.zeros(len(group), np.int64)
+        for n, grams, plain in zip(ORDERS, _grams(joined), _plain(joined), strict=False):
+            stop, begin = np.minimum(np.maximum(ends - n + 1, ends - lengths), len(grams)), np.minimum(ends - lengths, len(grams))
+            sums = np.concatenate([[0.0], np.cumsum(np.where(plain, model.log_likelihood[owner[: len(grams)], grams.astype(np.int64)], 0.0), dtype=np.float64)])
+            seen = np.concatenate([[0], np.cumsum(plain)])
+            fit += sums[stop] - sums[begin]
+            count += seen[stop] - seen[begin]
+        fit /= np.maximum(count, 1)
         top = 1.0 / np.exp(joint - joint.max(axis=0)).sum(axis=0)
         for k, i in enumerate(group):
-            langs[i], scores[i] = model.languages[best[k]], top[k]
+            langs[i], scores[i], fits[i], sizes[i] = model.languages[best[k]], top[k], fit[k], count[k]
         group.clear()
 
     for i, text in enumerate(texts):
         if not lettered[i]:
             continue
         if len(text) > SLICE:
-            langs[i], scores[i] = score(model, text)
+            langs[i], scores[i], fits[i], sizes[i] = score(model, text)
             continue
         if size + len(text) > SLICE:
             flush()
@@ -157,11 +194,14 @@ def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.n
         group.append(i)
         size += len(text)
     flush()
-    return langs, scores, lettered
+    return langs, scores, lettered, fits, sizes
+
 
+def identify(spark: SparkSession, docs: DataFrame, model: Model, label: str | None = None) -> DataFrame:
+    """(doc_id, lang_pred, score, has_letter, fit, grams[, label]) for each row of docs(doc_id, text, ...).
 
-def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score, has_letter) for each row of docs(doc_id, text, ...).
+    fit is the mean log-likelihood under lang_pred of the text's n-grams of letters and spaces, so
+    that numbers, links and codes do not count against a text; grams is their number.
 
     The matrix is broadcast; it has at most MAX_LANGUAGES x 2**BITS floats. A null text or one
     without a letter gets "und" and 0, as does every text under a model without languages. Ties go
@@ -172,19 +212,52 @@ def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores, lettered = _score_batch(shared.value, batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_pydict({
+            langs, scores, lettered, fits, sizes = _score_batch(shared.value, batch.column(1).to_pylist())
+            columns = {
                 "doc_id": batch.column(0),
                 "lang_pred": pa.array(langs, pa.string()),
                 "score": pa.array(np.clip(scores, 0.0, 1.0), pa.float64()),
                 "has_letter": pa.array(lettered, pa.bool_()),
-            })
+                "fit": pa.array(fits, pa.float64()),
+                "grams": pa.array(sizes, pa.int64()),
+            }
+            if label:
+                columns["label"] = batch.column(2)
+            yield pa.RecordBatch.from_pydict(columns)
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double, has_letter boolean")
+    carried = [F.col(label).cast("string").alias("label")] if label else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
+    schema = "doc_id long, lang_pred string, score double, has_letter boolean, fit double, grams long"
+    return rows.mapInArrow(run, schema + (", label string" if label else ""))
 
 
 def rejected(model: Model, least: float) -> Column:
     """Texts without a letter, and those whose language is unsure; the latter only if languages were learned."""
     unsure = F.col("score") < least if model.languages else F.lit(False)
     return ~F.col("has_letter") | unsure
+
+
+def _gram_variance(model: Model) -> dict[str, float]:
+    """Variance of the log-likelihood of one n-gram drawn from each language."""
+    out = {}
+    for lang, row in zip(model.languages, model.log_likelihood.astype(np.float64), strict=True):
+        p = np.exp(row)
+        out[lang] = float((p * row**2).sum() - (p * row).sum() ** 2)
+    return out
+
+
+def foreign(spark: SparkSession, judged: DataFrame, model: Model, deviations: float) -> DataFrame:
+    """judged(..., label) with `foreign`: the text fits its predicted language worse than that language's rows do.
+
+    The spread of a language is that of the fit over all rows with its label that are predicted so;
+    rows without a label do not widen it. As the n-grams of the ORDERS overlap, a text of n of them
+    is taken for n / len(ORDERS) draws, so short texts have more room. At most MAX_LANGUAGES rows
+    are broadcast.
+    """
+    own = judged.where((F.col("label") == F.col("lang_pred")) & F.col("has_letter"))
+    spread = own.groupBy("lang_pred").agg(F.avg("fit").alias("_mean"), F.var_pop("fit").alias("_var"))
+    one = spark.createDataFrame(list(_gram_variance(model).items()), "lang_pred string, _one double")
+    limits = F.broadcast(spread.join(one, "lang_pred"))
+    room = F.lit(deviations) * F.sqrt(F.col("_var") + F.lit(float(len(ORDERS))) * F.col("_one") / F.col("grams"))
+    far = F.coalesce(F.col("has_letter") & (F.col("fit") < F.col("_mean") - room), F.lit(False))
+    return judged.join(limits, "lang_pred", "left").withColumn("foreign", far).drop("_mean", "_var", "_one")

@@ -10,12 +10,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactflow.llm import decontamination, exact_dedup, language_id, segmentation, simhash
-from contactflow.llm.common import LAST_ID, bound_batches, id_bucket, materialize, order_id, read_documents
+from contactflow.llm.common import LAST_ID, bound_batches, materialize, order_id, read_documents
 from contactflow.llm.queries import DRAWS, PIECES, SEED
 from contactflow.session import configure
 
 #: Least posterior probability of the predicted language.
 LEAST_LANGUAGE_SCORE = 0.5
+#: Deviations below the mean fit of a language's own rows from which a text counts as foreign to it.
+FOREIGN_DEVIATIONS = 12.0
 
 #: Names of helper columns; documents may have columns of any other name.
 ID, KEY = "__row_id", "__row_key"
@@ -26,16 +28,17 @@ def _keyed(docs: DataFrame, key) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter and those whose language is unsure; the model learns from the stage's own rows.
+    """Drops documents without a letter, in no learned language or of an unsure one; the model learns from all rows of the stage.
 
     Predictions depend on the text alone, so they are joined back by text key and equal texts share
     one. Rows with a null text go; rows with a null doc_id are judged like any other; repeated rows
     stay or go together; an empty table stays empty.
     """
     bound_batches(spark)
-    model = language_id.train(docs.where(id_bucket(4) != 2))
-    judged = language_id.identify(spark, docs.select(F.xxhash64("text").alias("doc_id"), "text"), model)
-    good = judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE)).select(F.col("doc_id").alias(KEY)).distinct()
+    model = language_id.train(docs)
+    judged = language_id.identify(spark, docs.select(F.xxhash64("text").alias("doc_id"), "text", "lang"), model, "lang")
+    judged = language_id.foreign(spark, materialize(spark, judged, "judged"), model, FOREIGN_DEVIATIONS)
+    good = judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE) & ~F.col("foreign")).select(F.col("doc_id").alias(KEY)).distinct()
     return docs.withColumn(KEY, F.xxhash64("text")).where("text is not null").join(good, KEY, "left_semi").select(docs.columns)
 
 
