@@ -14,8 +14,13 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A hot client must be split even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Arrow batches end by bytes, so that rows of any length fit a worker.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
+#: Folder of a local session whose configuration names none.
+_local_root: str | None = None
+
 
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in RUNTIME_CONF.items():
@@ -47,9 +52,9 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="contactflow-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    global _local_root
+    _local_root = _local_root or tempfile.mkdtemp(prefix="contactflow-")
+    return _local_root
 
 
 def work_path(spark: SparkSession, name: str) -> str:
