@@ -12,7 +12,9 @@ from ..session import configure
 from . import (
     decontamination,
     exact_dedup,
+    filter_audit,
     language_id,
+    prefix_trie,
     quality,
     segmentation,
     simhash,
@@ -20,6 +22,7 @@ from . import (
     suffix_dedup,
     token_counts,
     url_filter,
+    warc,
 )
 from .common import id_bucket, read_documents
 
@@ -128,6 +131,26 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(read_documents(spark, sf_dir), TOKENIZER, TOKEN_LIMIT)
 
 
+@query
+def op11_filter_audit(spark, sf_dir):
+    """Outcome of every step of all orders of five filters, per language."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return filter_audit.audit(spark, read_documents(spark, sf_dir), labels)
+
+
+@query
+def op12_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of the rebuilt conversations."""
+    return prefix_trie.prefix_trie(spark, spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+@query
+def op13_warc(spark, sf_dir):
+    """Record of each page, as read back from the archives."""
+    found = warc.archive_pages(spark, spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 OP2 = r"""
 WITH d AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
@@ -238,7 +261,100 @@ SELECT page_id, p.host, p.path, best.rule AS rule,
 FROM parts p LEFT JOIN ruled r ON p.host = r.host AND p.path = r.path LEFT JOIN blocked b ON b.a = p.host || p.tail
 """
 
+OP11 = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    coalesce((SELECT bool_or(quality = 1) FROM labels l WHERE l.doc_id = documents.doc_id), false) AS good,
+    coalesce((SELECT bool_or(toxic = 1) FROM labels l WHERE l.doc_id = documents.doc_id), false) AS toxic
+  FROM documents),
+failed AS (
+  SELECT part, good, toxic, CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(t) - length(regexp_replace(t, '[A-Z]', '', 'g'))) > 10 * length(t) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM d),
+masks AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY ALL),
+letter(x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+steps AS (
+  SELECT filter_order, i AS step, substr(filter_order, i, 1) AS f, substr(filter_order, 1, i - 1) AS earlier
+  FROM orders, range(1, 6) r(i)),
+outcome AS (
+  SELECT part, filter_order, step, f, n, good, toxic, fails = f AS only_this, contains(fails, f) AS fails_here,
+    earlier <> '' AND translate(fails, earlier, '') <> fails AS gone
+  FROM steps, masks),
+counted AS (
+  SELECT part, filter_order, step, f,
+    coalesce(sum(n) FILTER (NOT gone AND NOT fails_here), 0) AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails_here), 0) AS removed,
+    coalesce(sum(n) FILTER (gone AND fails_here), 0) AS redundant,
+    coalesce(sum(n) FILTER (only_this), 0) AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND fails_here), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND fails_here), 0) AS toxic_lost
+  FROM outcome GROUP BY ALL)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM counted
+"""
+
+#: DuckDB has no crc32: it is a fold over the bits of the id's digits (fixed value: the reversed polynomial of CRC-32).
+OP12 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id FROM conversations),
+convs AS (
+  SELECT conv_id, list(id ORDER BY turn NULLS FIRST, id) AS ids, list(length(text) ORDER BY turn NULLS FIRST, id) AS sizes
+  FROM turns GROUP BY conv_id),
+crc AS (
+  SELECT conv_id, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ord(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS x
+  FROM convs),
+opened AS (
+  SELECT c.conv_id, c.ids, c.sizes, coalesce(xor(x, 4294967295) % 6, 0) AS h,
+    coalesce(b.ids, []) AS base_ids, coalesce(b.sizes, []) AS base_sizes
+  FROM convs c JOIN crc ON c.conv_id IS NOT DISTINCT FROM crc.conv_id LEFT JOIN convs b ON b.conv_id = c.conv_id - c.conv_id % 100),
+built AS (
+  SELECT conv_id, list_slice(base_ids, 1, h) || list_slice(ids, h + 1, len(ids)) AS ids,
+    list_slice(base_sizes, 1, h) || list_slice(sizes, h + 1, len(sizes)) AS sizes
+  FROM opened),
+pre AS (
+  SELECT conv_id, d, list_slice(ids, 1, d) AS p, list_slice(ids, 1, d - 1) AS up, len(ids) = d AS ended,
+    CASE WHEN d = 0 THEN 0 ELSE sizes[d] END AS size
+  FROM (SELECT *, unnest(range(0, len(ids) + 1)) AS d FROM built)),
+nodes AS (
+  SELECT p, d, any_value(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+    sha256(coalesce(string_agg(coalesce(CAST(conv_id AS VARCHAR), ''), ',' ORDER BY conv_id NULLS LAST) FILTER (ended), '')) AS ends_sha256
+  FROM pre GROUP BY p, d),
+kids AS (SELECT up AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up),
+paths AS (
+  SELECT n.p, (n.n_convs - 1) * n.size AS saved, CASE WHEN k.p IS NULL THEN 1 ELSE 0 END AS leaf, unnest(range(0, n.d + 1)) AS a
+  FROM nodes n LEFT JOIN kids k USING (p)),
+sums AS (SELECT list_slice(p, 1, a) AS p, sum(saved) AS saved_tokens, sum(leaf) AS n_leaves FROM paths GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children,
+  CAST(s.n_leaves AS BIGINT) AS n_leaves, CAST(s.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n LEFT JOIN nodes u ON n.d > 0 AND u.p = n.up LEFT JOIN kids k ON k.p = n.p JOIN sums s ON s.p = n.p
+"""
+
+OP13 = r"""
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN n >= 100 AND first < coalesce(page_id, 9223372036854775807) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND first < coalesce(page_id, 9223372036854775807) THEN first END AS refers_to
+FROM f
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_filter_audit": OP11,
+    "op12_prefix_trie": OP12,
+    "op13_warc": OP13,
     "op2_substring_dedup": OP2,
     "op4_suffix_array_dedup": OP4,
     "op7_benchmark_decontamination": OP7,
