@@ -11,8 +11,6 @@ from ..session import work_path
 LAST_ID = 2**63 - 1
 #: White space between words, as a Java and DuckDB character class.
 BLANKS = "[\\x20\\x09-\\x0D]+"
-#: Rows of an Arrow batch that carries texts.
-TEXT_ROWS = 1000
 
 
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,11 +29,6 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bound_batches(spark: SparkSession) -> None:
-    """Arrow batches of at most TEXT_ROWS rows: those of whole texts weigh by their bytes, on both sides of the pipe."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
-
-
 def id_bucket(modulus: int, name: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo modulus; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % modulus

@@ -18,6 +18,8 @@ MAX_LANGUAGES = 1000
 UNDETERMINED = "und"
 #: Characters that are hashed at once; bounds the memory of a task.
 SLICE = 1 << 18
+#: Languages whose counts a training task holds at a time.
+HELD_LANGUAGES = 64
 
 
 @dataclass(frozen=True)
@@ -28,8 +30,8 @@ class Model:
     log_prior: np.ndarray
 
 
-def _codes(text: str) -> np.ndarray:
-    return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+def _codes(lowered: str) -> np.ndarray:
+    return np.frombuffer(lowered.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
 def _grams(codes: np.ndarray) -> Iterator[np.ndarray]:
@@ -61,7 +63,11 @@ def _plain(codes: np.ndarray) -> Iterator[np.ndarray]:
 
 
 def _slices(text: str) -> Iterator[np.ndarray]:
-    """Buckets of all n-grams of a whole text; slices overlap so that no n-gram is lost."""
+    """Buckets of all n-grams of a whole text; slices overlap so that no n-gram is lost.
+
+    The text is made lower case before it is cut, as that may lengthen it.
+    """
+    text = text.lower()
     for at in range(0, len(text), SLICE):
         codes = _codes(text[max(0, at - max(ORDERS) + 1) : at + SLICE])
         lead = min(at, max(ORDERS) - 1)
@@ -76,37 +82,45 @@ def has_letter(text: str | None) -> bool:
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: dict[str, np.ndarray] = {}
     sizes: dict[str, int] = {}
+
+    def out() -> Iterator[pa.RecordBatch]:
+        for lang, have in totals.items():
+            at = np.flatnonzero(have)
+            yield pa.RecordBatch.from_pydict({
+                "lang": pa.array([lang] * (len(at) + 1), pa.string()),
+                "bucket": pa.array(np.append(at, -1), pa.int32()),
+                "n": pa.array(np.append(have[at], sizes[lang]), pa.int64()),
+            })
+        totals.clear()
+        sizes.clear()
+
     for batch in batches:
         for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if not has_letter(text):
                 continue
-            have = totals.setdefault(lang, np.zeros(2**BITS, np.int64))
-            sizes[lang] = sizes.get(lang, 0) + 1
+            if lang not in totals:
+                if len(totals) == HELD_LANGUAGES:
+                    yield from out()
+                totals[lang], sizes[lang] = np.zeros(2**BITS, np.int64), 0
+            sizes[lang] += 1
             for grams in _slices(text):
-                have += np.bincount(grams, minlength=2**BITS)
-    for lang, have in totals.items():
-        at = np.flatnonzero(have)
-        yield pa.RecordBatch.from_pydict({
-            "lang": pa.array([lang] * (len(at) + 1), pa.string()),
-            "bucket": pa.array(np.append(at, -1), pa.int32()),
-            "n": pa.array(np.append(have[at], sizes[lang]), pa.int64()),
-        })
+                totals[lang] += np.bincount(grams, minlength=2**BITS)
+    yield from out()
 
 
 def train(rows: DataFrame) -> Model:
     """Fit on every row of rows(text, lang) with a letter and a lang; counts cover all rows.
 
-    Map tasks add up their own counts, so at most languages x 2**BITS rows leave each of them and
-    as many reach the driver. No usable row gives a model without languages.
+    The languages are counted first, from the lang column alone, and more than MAX_LANGUAGES are an
+    error before any text is read. Map tasks add up their own counts, so at most languages x 2**BITS
+    rows reach the driver. No usable row gives a model without languages.
     """
     rows = rows.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    if (several := rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()) > MAX_LANGUAGES:
+        raise ValueError(f"at least {several} languages, more than {MAX_LANGUAGES}")
     counts = rows.mapInArrow(_count, "lang string, bucket int, n long")
-    total = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    names = total.select("lang").distinct().limit(MAX_LANGUAGES + 1)
-    table = total.where(F.col("bucket") >= -1).toPandas()
+    table = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(set(table["lang"])))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages: {names.count()}")
     row = {lang: i for i, lang in enumerate(languages)}
     counted = np.zeros((len(languages), 2**BITS))
     docs = np.zeros(len(languages))
@@ -120,8 +134,8 @@ def train(rows: DataFrame) -> Model:
     return Model(languages, likelihood.astype(np.float32), prior)
 
 
-def score(model: Model, text: str | None) -> tuple[str, float, float, int]:
-    """Most probable language, its posterior probability, the mean log-likelihood per plain n-gram and their number."""
+def score(model: Model, text: str | None, fit: bool = True) -> tuple[str, float, float, int]:
+    """Most probable language, its posterior probability; with fit, the mean log-likelihood per plain n-gram and their number."""
     if not has_letter(text) or not model.languages:
         return UNDETERMINED, 0.0, 0.0, 0
     # The text as a sparse count vector: only the buckets that occur meet the matrix.
@@ -132,6 +146,7 @@ def score(model: Model, text: str | None) -> tuple[str, float, float, int]:
     joint = model.log_prior + model.log_likelihood[:, at].astype(np.float64) @ counts[at]
     best = int(np.argmax(joint))
     total, size = 0.0, 0
+    text = text.lower() if fit else ""
     for at in range(0, len(text), SLICE):
         codes = _codes(text[max(0, at - max(ORDERS) + 1) : at + SLICE])
         lead = min(at, max(ORDERS) - 1)
@@ -143,7 +158,22 @@ def score(model: Model, text: str | None) -> tuple[str, float, float, int]:
     return model.languages[best], float(1.0 / np.exp(joint - joint[best]).sum()), total / max(size, 1), size
 
 
-def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray, list[bool], np.ndarray, np.ndarray]:
+def _fits(model: Model, codes: np.ndarray, best: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Mean log-likelihood of the plain n-grams of texts that stand one behind the other, and their numbers."""
+    ends = np.cumsum(lengths)
+    owner = np.repeat(best, lengths)
+    fit, count = np.zeros(len(lengths)), np.zeros(len(lengths), np.int64)
+    for n, grams, plain in zip(ORDERS, _grams(codes), _plain(codes), strict=False):
+        stop, begin = np.minimum(np.maximum(ends - n + 1, ends - lengths), len(grams)), np.minimum(ends - lengths, len(grams))
+        own = np.where(plain, model.log_likelihood[owner[: len(grams)], grams.astype(np.int64)], 0.0)
+        sums = np.concatenate([[0.0], np.cumsum(own, dtype=np.float64)])
+        seen = np.concatenate([[0], np.cumsum(plain)])
+        fit += sums[stop] - sums[begin]
+        count += seen[stop] - seen[begin]
+    return fit / np.maximum(count, 1), count
+
+
+def _score_batch(model: Model, texts: list[str | None], fit: bool) -> tuple[list[str], np.ndarray, list[bool], np.ndarray, np.ndarray]:
     """Score short texts together; long ones go through score() by themselves."""
     langs, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
     fits, sizes = np.zeros(len(texts)), np.zeros(len(texts), np.int64)
@@ -156,7 +186,7 @@ def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.n
     def flush() -> None:
         if not group:
             return
-        codes = [_codes(texts[i]) for i in group]
+        codes = [_codes(texts[i].lower()) for i in group]
         lengths = np.array([len(c) for c in codes])
         ends = np.cumsum(lengths)
         joint = np.repeat(model.log_prior[:, None], len(group), axis=1)
@@ -168,25 +198,18 @@ def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.n
                 sums = np.concatenate([[0.0], np.cumsum(model.log_likelihood[c][at], dtype=np.float64)])
                 joint[c] += sums[np.minimum(stop, len(at))] - sums[np.minimum(ends - lengths, len(at))]
         best = joint.argmax(axis=0)
-        owner = np.repeat(best, lengths)
-        fit, count = np.zeros(len(group)), np.zeros(len(group), np.int64)
-        for n, grams, plain in zip(ORDERS, _grams(joined), _plain(joined), strict=False):
-            stop, begin = np.minimum(np.maximum(ends - n + 1, ends - lengths), len(grams)), np.minimum(ends - lengths, len(grams))
-            sums = np.concatenate([[0.0], np.cumsum(np.where(plain, model.log_likelihood[owner[: len(grams)], grams.astype(np.int64)], 0.0), dtype=np.float64)])
-            seen = np.concatenate([[0], np.cumsum(plain)])
-            fit += sums[stop] - sums[begin]
-            count += seen[stop] - seen[begin]
-        fit /= np.maximum(count, 1)
+        if fit:
+            fits[group], sizes[group] = _fits(model, joined, best, lengths)
         top = 1.0 / np.exp(joint - joint.max(axis=0)).sum(axis=0)
         for k, i in enumerate(group):
-            langs[i], scores[i], fits[i], sizes[i] = model.languages[best[k]], top[k], fit[k], count[k]
+            langs[i], scores[i] = model.languages[best[k]], top[k]
         group.clear()
 
     for i, text in enumerate(texts):
         if not lettered[i]:
             continue
         if len(text) > SLICE:
-            langs[i], scores[i], fits[i], sizes[i] = score(model, text)
+            langs[i], scores[i], fits[i], sizes[i] = score(model, text, fit)
             continue
         if size + len(text) > SLICE:
             flush()
@@ -197,44 +220,50 @@ def _score_batch(model: Model, texts: list[str | None]) -> tuple[list[str], np.n
     return langs, scores, lettered, fits, sizes
 
 
-def identify(spark: SparkSession, docs: DataFrame, model: Model, label: str | None = None) -> DataFrame:
-    """(doc_id, lang_pred, score, has_letter, fit, grams[, label]) for each row of docs(doc_id, text, ...).
+VERDICT = "struct<lang_pred: string, score: double, has_letter: boolean, fit: double, grams: bigint>"
 
-    fit is the mean log-likelihood under lang_pred of the text's n-grams of letters and spaces, so
-    that numbers, links and codes do not count against a text; grams is their number.
 
-    The matrix is broadcast; it has at most MAX_LANGUAGES x 2**BITS floats. A null text or one
-    without a letter gets "und" and 0, as does every text under a model without languages. Ties go
-    to the language that sorts first. A null doc_id stays null, repeated rows are scored each, and
-    other columns are not read. An empty table gives an empty table.
+def verdict(spark: SparkSession, model: Model, text: Column, fit: bool = False) -> Column:
+    """Struct column (lang_pred, score, has_letter, fit, grams) of a text; only the text goes to Python.
+
+    fit is the mean log-likelihood under lang_pred of the text's n-grams of letters and spaces, so
+    that numbers, links and codes do not count against a text; grams is their number. Both are 0
+    unless asked for. The matrix is broadcast; it has at most MAX_LANGUAGES x 2**BITS floats.
     """
     shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs, scores, lettered, fits, sizes = _score_batch(shared.value, batch.column(1).to_pylist())
-            columns = {
-                "doc_id": batch.column(0),
-                "lang_pred": pa.array(langs, pa.string()),
-                "score": pa.array(np.clip(scores, 0.0, 1.0), pa.float64()),
-                "has_letter": pa.array(lettered, pa.bool_()),
-                "fit": pa.array(fits, pa.float64()),
-                "grams": pa.array(sizes, pa.int64()),
-            }
-            if label:
-                columns["label"] = batch.column(2)
-            yield pa.RecordBatch.from_pydict(columns)
-
-    carried = [F.col(label).cast("string").alias("label")] if label else []
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *carried)
-    schema = "doc_id long, lang_pred string, score double, has_letter boolean, fit double, grams long"
-    return rows.mapInArrow(run, schema + (", label string" if label else ""))
-
-
-def rejected(model: Model, least: float) -> Column:
-    """Texts without a letter, and those whose language is unsure; the latter only if languages were learned."""
-    unsure = F.col("score") < least if model.languages else F.lit(False)
-    return ~F.col("has_letter") | unsure
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            langs, scores, lettered, fits, sizes = _score_batch(shared.value, texts.to_pylist(), fit)
+            yield pa.StructArray.from_arrays(
+                [
+                    pa.array(langs, pa.string()), pa.array(np.clip(scores, 0.0, 1.0), pa.float64()), pa.array(lettered, pa.bool_()),
+                    pa.array(fits, pa.float64()), pa.array(sizes, pa.int64()),
+                ],
+                names=["lang_pred", "score", "has_letter", "fit", "grams"],
+            )
+
+    # The type hints are names here, which the evaluation of string annotations cannot see in a task.
+    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(run, VERDICT)(text.cast("string"))
+
+
+def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, lang_pred, score) for each row of docs(doc_id, text, ...).
+
+    A null text or one without a letter gets "und" and 0, as does every text under a model without
+    languages. Ties go to the language that sorts first. Very long texts are hashed in slices. A
+    null doc_id stays null, repeated rows are scored each, and other columns are not read, whatever
+    their names. An empty table gives an empty table.
+    """
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), verdict(spark, model, F.col("text")).alias("verdict"))
+    return found.select("doc_id", "verdict.lang_pred", "verdict.score")
+
+
+def rejected(model: Model, least: float, name: str) -> Column:
+    """By the verdict column of that name: texts without a letter, and those whose language is unsure; the latter only if languages were learned."""
+    unsure = F.col(f"{name}.score") < least if model.languages else F.lit(False)
+    return ~F.col(f"{name}.has_letter") | unsure
 
 
 def _gram_variance(model: Model) -> dict[str, float]:
@@ -246,18 +275,20 @@ def _gram_variance(model: Model) -> dict[str, float]:
     return out
 
 
-def foreign(spark: SparkSession, judged: DataFrame, model: Model, deviations: float) -> DataFrame:
-    """judged(..., label) with `foreign`: the text fits its predicted language worse than that language's rows do.
+def drop_foreign(spark: SparkSession, judged: DataFrame, model: Model, deviations: float, name: str, label: str) -> DataFrame:
+    """Rows of judged, with a verdict column of that name, whose text fits its predicted language as that language's rows do.
 
     The spread of a language is that of the fit over all rows with its label that are predicted so;
     rows without a label do not widen it. As the n-grams of the ORDERS overlap, a text of n of them
     is taken for n / len(ORDERS) draws, so short texts have more room. At most MAX_LANGUAGES rows
     are broadcast.
     """
-    own = judged.where((F.col("label") == F.col("lang_pred")) & F.col("has_letter"))
-    spread = own.groupBy("lang_pred").agg(F.avg("fit").alias("_mean"), F.var_pop("fit").alias("_var"))
-    one = spark.createDataFrame(list(_gram_variance(model).items()), "lang_pred string, _one double")
-    limits = F.broadcast(spread.join(one, "lang_pred"))
-    room = F.lit(deviations) * F.sqrt(F.col("_var") + F.lit(float(len(ORDERS))) * F.col("_one") / F.col("grams"))
-    far = F.coalesce(F.col("has_letter") & (F.col("fit") < F.col("_mean") - room), F.lit(False))
-    return judged.join(limits, "lang_pred", "left").withColumn("foreign", far).drop("_mean", "_var", "_one")
+    own = judged.select(F.col(label).cast("string").alias("label"), f"{name}.*").where((F.col("label") == F.col("lang_pred")) & F.col("has_letter"))
+    spread = own.groupBy("lang_pred").agg(F.avg("fit").alias("mean"), F.var_pop("fit").alias("var"))
+    one = spark.createDataFrame(list(_gram_variance(model).items()), "lang_pred string, one double")
+    limits = spread.join(one, "lang_pred").select("lang_pred", F.struct("mean", "var", "one").alias("__limit"))
+    joined = judged.join(F.broadcast(limits.withColumnRenamed("lang_pred", "__lang")), F.col(f"{name}.lang_pred") == F.col("__lang"), "left")
+    own_variance = F.lit(float(len(ORDERS))) * F.col("__limit.one") / F.col(f"{name}.grams")
+    room = F.lit(deviations) * F.sqrt(F.col("__limit.var") + own_variance)
+    far = F.coalesce(F.col(f"{name}.fit") < F.col("__limit.mean") - room, F.lit(False))
+    return joined.where(~far).drop("__lang", "__limit")

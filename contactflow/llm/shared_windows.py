@@ -15,7 +15,7 @@ How windows are compared is left to an engine; this module brings together what
 Equal texts are one text with the smallest id; of the others nothing stays but what no window covers.
 An anchor of over CROWD different contexts does not bring them together: there each window travels
 under its own hash, and its places are streamed past its smallest id, so no group is ever held. All counts are of the input as it is given. Anchors and contexts are told
-apart by 88 bits of hash, windows in the engine by their units.
+apart by 112 bits of hash, windows in the engine by their units.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import materialize, order_id
+from .common import LAST_ID, materialize, order_id
 
 #: Different contexts of an anchor beyond which its windows are compared one by one.
 CROWD = 128
@@ -41,8 +41,10 @@ SHARE = 24 << 20
 #: Units that are searched for anchors, and context bytes that are compared, at once.
 BATCH_UNITS, BATCH_BYTES = 4_000_000, 600_000
 #: Bytes that are kept of an anchor's hash (beside its partition) and of its context's.
-ANCHOR_BYTES, CONTEXT_BYTES = 6, 5
+ANCHOR_BYTES, CONTEXT_BYTES = 6, 8
 ANCHOR_MASK = np.uint64((1 << 8 * ANCHOR_BYTES) - 1)
+#: Rows without an id are told apart by this many numbers below LAST_ID while anchors meet.
+NAMELESS = 1 << 40
 
 
 class Units(Protocol):
@@ -128,8 +130,7 @@ def _pack(units: Units, partitions: int):
 
 def _places(hashes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
     """One number for an anchor and its context, as both are known after the exchange."""
-    low = np.uint64((1 << 8 * CONTEXT_BYTES) - 1)
-    return (hashes & ANCHOR_MASK) * np.uint64(0x9E3779B97F4A7C15) + (contexts & low)
+    return (hashes & ANCHOR_MASK) * np.uint64(0x9E3779B97F4A7C15) + contexts
 
 
 #: What becomes of a place of a shared anchor.
@@ -144,7 +145,7 @@ def _screen(table: pa.Table) -> pa.Table:
     text = np.repeat(np.arange(len(orders)), counts)
     order = orders[text]
     by = np.lexsort((contexts, hashes))
-    key, own, ids = hashes[by], contexts[by], order[by]
+    key, own, ids = hashes[by], contexts[by], np.where(order >= LAST_ID - NAMELESS, LAST_ID, order)[by]
     begin, size = _runs(key)
     if not len(begin):
         return pa.table({"order_id": pa.array([], pa.int64()), **{c: pa.array([], pa.binary()) for c in ("same", "mixed", "crowded")}})
@@ -337,6 +338,12 @@ def _removal(units: Units):
     return run
 
 
+def _named(order: str, text: str) -> Column:
+    """The id; for rows without one a number by their text, so that they are not gathered as one document."""
+    nameless = F.lit(LAST_ID) - F.pmod(text, F.lit(NAMELESS))
+    return F.when(F.col(order) == LAST_ID, nameless).otherwise(F.col(order))
+
+
 def remove_repeats(
     spark: SparkSession, docs: DataFrame, units: Units, engine: Engine, total: Column, digest: Column, nothing: str
 ) -> DataFrame:
@@ -361,10 +368,11 @@ def remove_repeats(
     size = base.agg(F.sum(F.col("size").cast("long"))).first()[0] or 0
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
     raw = rows.select("order_id", "text_key", F.col("text").cast("binary").alias("text"))
-    packed = raw.select("order_id", "text").mapInArrow(_pack(units, partitions), "part int, orders binary, counts binary, hashes binary, contexts binary")
+    packed = raw.select(_named("order_id", "text_key").alias("name"), "text").mapInArrow(_pack(units, partitions), "part int, orders binary, counts binary, hashes binary, contexts binary")
     shared = packed.groupBy("part").applyInArrow(_screen, "order_id long, same binary, mixed binary, crowded binary")
     lists = [F.collect_list(c).alias(c) for c in ("same", "mixed", "crowded")]
-    wanted = shared.groupBy("order_id").agg(*lists).join(reps, "order_id")
+    named = reps.withColumn("name", _named("order_id", "text_key"))
+    wanted = shared.groupBy(F.col("order_id").alias("name")).agg(*lists).join(named, "name")
     small = raw.mapInArrow(_squeeze, raw.schema)
     cut = small.join(wanted, ["order_id", "text_key"]).select("order_id", "text_key", "text", "same", "mixed", "crowded")
     contexts = cut.mapInArrow(_contexts(units), CONTEXT_SCHEMA)

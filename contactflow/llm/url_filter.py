@@ -59,17 +59,16 @@ def link_edges(pages: DataFrame) -> DataFrame:
     return found.select("a", node_of(F.col("rest")).alias("b"))
 
 
-def _suffixes(host: Column) -> Column:
-    """The host and each of its parent domains."""
+def _suffixes(host: Column, labels: int) -> Column:
+    """The host's endings of at most that many labels, which are all that a rule can name."""
     parts = F.split(host, r"\.")
-    return F.transform(
-        F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), ".")
-    )
+    first = F.greatest(F.lit(1), F.size(parts) - labels + 1)
+    return F.transform(F.sequence(first, F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
 
 
-def _with_rule(df: DataFrame, rules: DataFrame) -> DataFrame:
+def _with_rule(df: DataFrame, rules: DataFrame, labels: int) -> DataFrame:
     """df(host, path, ...) with rule and action of the longest rule that fits, else null."""
-    hosts = df.select("host").distinct().select("host", F.explode(_suffixes(F.col("host"))).alias("rule_host"))
+    hosts = df.select("host").distinct().select("host", F.explode(_suffixes(F.col("host"), labels)).alias("rule_host"))
     fitting = (
         hosts.join(rules, "rule_host")
         .groupBy("host")
@@ -97,7 +96,8 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, redirects: Da
     A null url or one without "://" has an empty host and path, joins no class and is allowed. Null
     html declares no link. Null or repeated page ids are judged row by row; other columns are not
     read. An empty table gives an empty table. A host's rules are gathered per host, which the size
-    of the rule table bounds; pages are never gathered.
+    of the rule table bounds; pages are never gathered. Urls may be of any length: of a host only the
+    endings that a rule could name are compared.
     """
     pages = pages.select("page_id", "url", "html")
     rules = rules.select(
@@ -106,6 +106,7 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, redirects: Da
         F.col("action"),
         F.concat("host", "path").alias("rule"),
     )
+    labels = rules.agg(F.max(F.size(F.split("rule_host", r"\.")))).first()[0] or 1
     edges = link_edges(pages)
     if redirects is not None:
         edges = edges.union(
@@ -116,7 +117,7 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, redirects: Da
         "node", "component", host_of(F.col("node")).alias("host"), path_of(F.col("node")).alias("path")
     )
     blocked = (
-        _with_rule(node_parts, rules).where("action = 'block'").select("component").distinct()
+        _with_rule(node_parts, rules, labels).where("action = 'block'").select("component").distinct()
     )
     inherited = materialize(
         spark, classes.join(blocked, "component", "left_semi").select("node", F.lit(True).alias("inherited")), "blocked"
@@ -125,7 +126,7 @@ def judge(spark: SparkSession, pages: DataFrame, rules: DataFrame, redirects: Da
     parts = pages.select(
         "page_id", host_of(rest).alias("host"), path_of(rest).alias("path"), node_of(rest).alias("node")
     ).fillna("", ["host", "path", "node"])
-    judged = _with_rule(parts, rules).join(inherited, "node", "left")
+    judged = _with_rule(parts, rules, labels).join(inherited, "node", "left")
     return judged.select(
         "page_id",
         "host",

@@ -75,7 +75,9 @@ def test_substring_dedup(spark, make, sha, monkeypatch, crowd):
     assert substring_dedup.deduplicate(spark, make([])).count() == 0
 
 
-def test_suffix_dedup(spark, make, sha):
+@pytest.mark.parametrize("crowd", [128, 1])
+def test_suffix_dedup(spark, make, sha, monkeypatch, crowd):
+    monkeypatch.setattr(shared_windows, "CROWD", crowd)
     rows = shared_passages()
     got = suffix_dedup.deduplicate(spark, make(rows)).collect()
     want = expected_removal(rows, list, bytes)
@@ -83,6 +85,17 @@ def test_suffix_dedup(spark, make, sha):
     assert suffix_dedup.deduplicate(spark, make([])).count() == 0
 
 
+def test_rows_without_id_are_not_one_document(spark, make, sha):
+    own = random.Random(23)
+    passages = [" ".join(own.choice(VOCAB) for _ in range(55)) for _ in range(6)]
+    rows = [(None if i % 3 == 0 else i, f"{own.choice(VOCAB)} {i} {own.choice(passages)} {own.choice(passages)}") for i in range(90)]
+    rows += [(None, rows[0][1]), (None, rows[1][1])]
+    for operator, split, join in ((substring_dedup, lambda raw: raw.split(), lambda u: b" ".join(u)), (suffix_dedup, list, bytes)):
+        got = operator.deduplicate(spark, make(rows)).collect()
+        want = expected_removal(rows, split, join)
+        assert Counter((r.doc_id, r.total, r.removed, r.kept_sha256) for r in got) == Counter((d, n, g, sha(k)) for d, n, g, _, k in want)
+
+
 def test_suffix_groups_sort():
     strings = [[rng.randint(1, k) for _ in range(rng.randint(0, 30))] for k in (1, 2, 3, 9) for _ in range(60)]
     width = max(map(len, strings)) + 1
@@ -207,25 +220,105 @@ def test_language_id(spark):
         [(1, "the mat", "zz"), (2, "und die katze", None), (3, None, None), (4, "", None), (5, "123 !", None), (None, english * 40_000, None), (1, "the mat", "zz")],
         "doc_id long, text string, lang string",
     )
-    got = [(r.doc_id, r.lang_pred) for r in language_id.identify(spark, probe, model).collect()]
+    clashing = probe.selectExpr("*", "1 AS score", "'x' AS verdict", "'y' AS lang_pred", "'z' AS has_letter")
+    got = [(r.doc_id, r.lang_pred) for r in language_id.identify(spark, clashing, model).collect()]
     assert Counter(got) == Counter([(1, "en"), (2, "de"), (3, "und"), (4, "und"), (5, "und"), (None, "en"), (1, "en")])
     assert language_id.score(model, "the mat")[0] == "en"
     empty = language_id.train(docs.limit(0))
     assert {r.lang_pred for r in language_id.identify(spark, probe, empty).collect()} == {"und"}
     assert language_id.identify(spark, probe.limit(0), model).count() == 0
-
-
-def test_quality(spark, make):
-    rows = [(i, prose(40)) for i in range(120)] + [(200 + i, "$$$ ### " * 20) for i in range(40)] + [(None, None), (300, ""), (0, prose(40))]
-    labels = spark.createDataFrame([(i, 1) for i in range(60)] + [(200 + i, 0) for i in range(20)] + [(None, 1), (5, None)], "doc_id long, quality int")
+    # A tie goes to the language that sorts first.
+    even = language_id.train(spark.createDataFrame([("same words", "b"), ("same words", "a")], "text string, lang string"))
+    assert {(r.lang_pred, round(r.score, 6)) for r in language_id.identify(spark, probe.where("doc_id = 1"), even).collect()} == {("a", 0.5)}
+
+
+def test_language_counts_are_whole(spark, monkeypatch):
+    """Counts of lower-cased n-grams by hand, across slices and with few languages held at a time."""
+    monkeypatch.setattr(language_id, "SLICE", 7)
+    monkeypatch.setattr(language_id, "HELD_LANGUAGES", 2)
+    texts = ["İstanbul'da BİR gün " * 3, "Grüße aus Köln", "a"]
+    for text in texts:
+        codes = language_id._codes(text.lower())
+        whole = Counter(int(g) for grams in language_id._grams(codes) for g in grams)
+        assert Counter(int(g) for grams in language_id._slices(text) for g in grams) == whole
+    rows = [(t, f"l{i}") for t in texts for i in range(5)]
+    model = language_id.train(spark.createDataFrame(rows, "text string, lang string").coalesce(1))
+    assert model.languages == tuple(f"l{i}" for i in range(5))
+    assert np.allclose(model.log_likelihood, model.log_likelihood[0]) and np.allclose(model.log_prior, np.log(0.2))
+
+
+def test_too_many_languages_are_refused_before_texts_are_read(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "_count", lambda batches: 1 / 0)
+    many = spark.range(language_id.MAX_LANGUAGES + 1).selectExpr("'a' AS text", "concat('l', id) AS lang")
+    with pytest.raises(ValueError, match="languages"):
+        language_id.train(many)
+
+
+def quality_rows(seed):
+    """Prose and junk from a generator of the test's own."""
+    own = random.Random(seed)
+    words = lambda n: " ".join(own.choice(VOCAB) for _ in range(n))
+    rows = [(i, words(40)) for i in range(120)] + [(200 + i, "$$$ ### " * 20) for i in range(40)] + [(None, None), (300, ""), (0, words(40))]
+    return rows, [(i, 1) for i in range(60)] + [(200 + i, 0) for i in range(20)] + [(None, 1), (5, None)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_quality(spark, make, seed):
+    rows, known = quality_rows(seed)
+    labels = spark.createDataFrame(known, "doc_id long, quality int")
     scored, _ = quality.score_quality(spark, make(rows), labels)
     score = {r.doc_id: r.score for r in scored.collect()}
     assert scored.count() == len(rows) and all(0 <= s <= 1 for s in score.values())
     wins = [score[i] > score[200 + j] for i in range(120) for j in range(40)]
     assert sum(wins) / len(wins) > 0.98
-    plain, _ = quality.score_quality(spark, make(rows), labels.limit(0))
-    assert {r.score for r in plain.collect()} == {0.5}
-    assert quality.score_quality(spark, make([]), labels)[0].count() == 0
+    if seed == 1:
+        plain, _ = quality.score_quality(spark, make(rows), labels.limit(0))
+        assert {r.score for r in plain.collect()} == {0.5}
+        assert quality.score_quality(spark, make([]), labels)[0].count() == 0
+
+
+def test_quality_weights_minimise_the_risk(spark):
+    """The fitted weights against the risk written out plainly, its slope by differences."""
+    own = np.random.default_rng(5)
+    n = 400
+    table = own.normal(size=(n, len(quality.FIGURES)))
+    good = table[:, 0] + 0.5 * table[:, 1] + own.normal(size=n) > 0
+    trusted = good & (own.random(n) < 0.5)
+    rows = spark.createDataFrame([(*map(float, t), bool(p)) for t, p in zip(table, trusted, strict=True)], ", ".join(f"{f} double" for f in quality.FIGURES) + ", trusted boolean")
+    edges = quality.bin_edges(rows, n)
+    x = quality._design(table, edges)
+    prior = 0.5
+
+    def parts(w):
+        z = x @ w
+        loss_1, loss_0 = np.logaddexp(0, -z), np.logaddexp(0, z)
+        return prior * loss_1[trusted].mean(), loss_0.mean() - prior * loss_0[trusted].mean()
+
+    risk = lambda w: parts(w)[0] + max(0.0, parts(w)[1])
+    penalty = quality.RIDGE + quality.RIDGE_ROWS / n
+    weights = quality.fit(rows, edges, prior)
+    assert risk(weights) < risk(np.zeros(quality.SIZE)) - 0.05
+    if parts(weights)[1] > 0.01:
+        for i in np.flatnonzero(np.abs(weights) > 0.1)[:20]:
+            e = np.zeros(quality.SIZE)
+            e[i] = 1e-4
+            slope = (risk(weights + e) - risk(weights - e)) / 2e-4 + penalty * weights[i]
+            assert abs(slope) < 5e-3
+    z = x @ weights
+    assert (z[good].mean() - z[~good].mean()) > 0.5
+
+
+def test_class_prior_needs_no_negatives():
+    """Where some bins hold positives alone or nearly so, their share tells the prior."""
+    own = np.random.default_rng(6)
+    for share in (0.2, 0.5, 0.9):
+        good = own.random(20_000) < share
+        table = own.normal(size=(len(good), len(quality.FIGURES)))
+        table[:, 0] += np.where(good, 2.0, -2.0)
+        trusted = good & (own.random(len(good)) < 0.3)
+        x = quality._design(table, [np.quantile(table[:, i], quality.QUANTILES) for i in range(len(quality.FIGURES))])
+        found = quality.class_prior(len(good), x.sum(axis=0), trusted.sum(), x[trusted].sum(axis=0))
+        assert abs(found - share) < 0.1
 
 
 def test_token_counts(spark, make, monkeypatch):
