@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contactflow.llm import decontamination, exact_dedup, language_id, segmentation, simhash
-from contactflow.llm.common import LAST_ID, bound_batches, materialize, order_id, read_documents
+from contactflow.llm.common import LAST_ID, materialize, order_id, read_documents
 from contactflow.llm.queries import DRAWS, PIECES, SEED
 from contactflow.session import configure
 
@@ -20,7 +20,7 @@ LEAST_LANGUAGE_SCORE = 0.5
 FOREIGN_DEVIATIONS = 12.0
 
 #: Names of helper columns; documents may have columns of any other name.
-ID, KEY = "__row_id", "__row_key"
+ID, KEY, VERDICT = "__row_id", "__row_key", "__verdict"
 
 
 def _keyed(docs: DataFrame, key) -> DataFrame:
@@ -30,21 +30,19 @@ def _keyed(docs: DataFrame, key) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, in no learned language or of an unsure one; the model learns from all rows of the stage.
 
-    Predictions depend on the text alone, so they are joined back by text key and equal texts share
-    one. Rows with a null text go; rows with a null doc_id are judged like any other; repeated rows
-    stay or go together; an empty table stays empty.
+    Verdicts are a column beside the text, so no text is moved and rows are judged each. Rows with a
+    null text go; rows with a null doc_id are judged like any other; repeated rows stay or go
+    together; an empty table stays empty.
     """
-    bound_batches(spark)
     model = language_id.train(docs)
-    judged = language_id.identify(spark, docs.select(F.xxhash64("text").alias("doc_id"), "text", "lang"), model, "lang")
-    judged = language_id.foreign(spark, materialize(spark, judged, "judged"), model, FOREIGN_DEVIATIONS)
-    good = judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE) & ~F.col("foreign")).select(F.col("doc_id").alias(KEY)).distinct()
-    return docs.withColumn(KEY, F.xxhash64("text")).where("text is not null").join(good, KEY, "left_semi").select(docs.columns)
+    judged = docs.withColumn(VERDICT, language_id.verdict(spark, model, F.col("text"), fit=True))
+    judged = materialize(spark, judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE, VERDICT)), "judged")
+    kept = language_id.drop_foreign(spark, judged, model, FOREIGN_DEVIATIONS, VERDICT, "lang")
+    return kept.select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of equal texts; rows that repeat a doc_id and its text become one."""
-    bound_batches(spark)
     decided = exact_dedup.deduplicate(spark, docs)
     stay = decided.where("kept").select(F.col("order_id").alias(ID), F.col("digest").alias(KEY)).distinct()
     keyed = _keyed(docs, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))))
@@ -56,7 +54,6 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Rows without a doc_id go where their class has one with an id, else their different texts stay.
     """
-    bound_batches(spark)
     marked = simhash.near_duplicates(spark, docs)
     first = F.col("order_id") == F.coalesce("component_id", F.lit(LAST_ID))
     stay = marked.where(first).select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
@@ -65,7 +62,6 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents that hold a benchmark item."""
-    bound_batches(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contaminated(spark, docs, items)
     leak = found.select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
@@ -74,7 +70,6 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of what is left, one row per document and draw."""
-    bound_batches(spark)
     return segmentation.summary(segmentation.sample_segmentations(docs, PIECES, DRAWS, SEED))
 
 
