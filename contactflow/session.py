@@ -15,7 +15,7 @@ RUNTIME_CONF = {
     # A hot client must be split even where that costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Arrow batches end by bytes, so that rows of any length fit a worker.
-    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "1m",
 }
 
 #: Folder of a local session whose configuration names none.

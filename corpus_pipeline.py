@@ -27,6 +27,21 @@ def _keyed(docs: DataFrame, key) -> DataFrame:
     return docs.withColumns({ID: order_id(), KEY: key})
 
 
+def _staying(spark: SparkSession, docs: DataFrame, key, decided: DataFrame) -> DataFrame:
+    """The rows of docs that decided(ID, KEY, stays), a row per document, lets stay; equal ID and KEY stay once.
+
+    Only keys that go or repeat meet the texts, which are sorted no more than once; what repeats, if anything, is a second pass.
+    """
+    odd = decided.groupBy(ID, KEY).agg(F.max("stays").alias("__stays"), F.count("*").alias("__n"))
+    odd = materialize(spark, odd.where("not __stays or __n > 1"), "odd")
+    keyed = _keyed(docs, key)
+    once = keyed.join(odd.select(ID, KEY), [ID, KEY], "left_anti").select(docs.columns)
+    repeated = odd.where("__stays").select(ID, KEY)
+    if repeated.isEmpty():
+        return once
+    return once.unionByName(keyed.join(repeated, [ID, KEY], "left_semi").dropDuplicates([ID, KEY]).select(docs.columns))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter, in no learned language or of an unsure one; the model learns from all rows of the stage.
 
@@ -35,33 +50,40 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     together; an empty table stays empty.
     """
     model = language_id.train(docs)
-    judged = docs.withColumn(VERDICT, language_id.verdict(spark, model, F.col("text"), fit=True))
-    judged = materialize(spark, judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE, VERDICT)), "judged")
+    judged = materialize(spark, docs.withColumn(VERDICT, language_id.verdict(spark, model, F.col("text"), fit=True)), "judged")
+    judged = judged.where(~language_id.rejected(model, LEAST_LANGUAGE_SCORE, VERDICT))
     kept = language_id.drop_foreign(spark, judged, model, FOREIGN_DEVIATIONS, VERDICT, "lang")
     return kept.select(docs.columns)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of equal texts; rows that repeat a doc_id and its text become one."""
+    """Keeps the smallest doc_id of equal texts; rows that repeat a doc_id and its text become one.
+
+    A null text counts as empty, a null doc_id as larger than any other. An empty table stays empty.
+    """
     decided = exact_dedup.deduplicate(spark, docs)
-    stay = decided.where("kept").select(F.col("order_id").alias(ID), F.col("digest").alias(KEY)).distinct()
-    keyed = _keyed(docs, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))))
-    return keyed.join(stay, [ID, KEY], "left_semi").dropDuplicates([ID, KEY]).select(docs.columns)
+    decided = decided.select(F.col("order_id").alias(ID), F.col("digest").alias(KEY), F.col("kept").alias("stays"))
+    return _staying(spark, docs, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))), decided)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the smallest doc_id of each class of near copies; rows that repeat it and its text become one.
 
     Rows without a doc_id go where their class has one with an id, else their different texts stay.
+    A null or empty text has fingerprint zero, linked like any other. An empty table stays empty.
     """
     marked = simhash.near_duplicates(spark, docs)
     first = F.col("order_id") == F.coalesce("component_id", F.lit(LAST_ID))
-    stay = marked.where(first).select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
-    return _keyed(docs, F.xxhash64("text")).join(stay, [ID, KEY], "left_semi").dropDuplicates([ID, KEY]).select(docs.columns)
+    decided = marked.select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY), first.alias("stays"))
+    return _staying(spark, docs, F.xxhash64("text"), decided)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold a benchmark item."""
+    """Drops documents that hold a benchmark item.
+
+    Null and empty texts hold none and stay, rows that repeat go or stay together, rows without a
+    doc_id are judged by their text. Without documents or items the table stays as it is.
+    """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contaminated(spark, docs, items)
     leak = found.select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
@@ -69,7 +91,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sampled segmentations of what is left, one row per document and draw."""
+    """Sampled segmentations of what is left, one row per document and draw.
+
+    A null or empty text has one segmentation, repeated rows have equal ones, a null doc_id stays
+    null. An empty table gives no rows.
+    """
     return segmentation.summary(segmentation.sample_segmentations(docs, PIECES, DRAWS, SEED))
 
 
