@@ -25,9 +25,9 @@ ZIPF = 10.0
 #: Exponent of the piece weights: larger values favour segmentations into few, frequent pieces.
 SHARPNESS = 1.0
 #: Characters of text that are segmented at once; bounds the memory of a task.
-BATCH_CHARS = 400_000
+BATCH_CHARS = 150_000
 #: Characters of words whose lattices a worker keeps between batches.
-MAX_NODES = 2_500_000
+MAX_NODES = 800_000
 
 
 @dataclass(frozen=True)
