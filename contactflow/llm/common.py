@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,6 +34,24 @@ def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def released(run: Callable[[Iterable], Iterator]) -> Callable[[Iterable], Iterator]:
+    """The task function run, which gives free memory back at its end.
+
+    Python workers serve one task after another; what one leaves is missing to the next.
+    """
+
+    def task(batches: Iterable) -> Iterator:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+                trim(0)
+
+    return task
+
+
 def id_bucket(modulus: int, name: str = "doc_id") -> Column:
     """crc32 of the id as text, modulo modulus; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary")) % modulus

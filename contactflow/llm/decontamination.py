@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, order_id
+from .common import materialize, order_id, released
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -132,6 +132,7 @@ def _scan(shared, spans: list[int]):
                 "hits": pa.array(hits, pa.list_(pa.int64())),
                 "shingles": pa.array(found, pa.list_(pa.string())),
             })
+        HASHES.clear()
 
     return run
 
@@ -160,7 +161,7 @@ def contaminated(
     maps = tuple(np.packbits(_bitmap(t.select("hash"))) for t in (sketch, table))
     shared = spark.sparkContext.broadcast(maps)
     rows = docs.select(order_id().alias("order_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    scanned = rows.mapInArrow(_scan(shared, spans), "order_id long, doc_id long, text_key long, hits array<long>, shingles array<string>")
+    scanned = rows.mapInArrow(released(_scan(shared, spans)), "order_id long, doc_id long, text_key long, hits array<long>, shingles array<string>")
     scanned = materialize(spark, scanned, "hits")
     key = ["order_id", "text_key"]
     pairs = (

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import released
+
 ORDERS = (1, 2, 3)
 BITS = 15
 SMOOTHING = 0.5
@@ -118,7 +120,7 @@ def train(rows: DataFrame) -> Model:
     rows = rows.select("text", "lang").where(F.col("lang").isNotNull() & F.col("text").isNotNull())
     if (several := rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()) > MAX_LANGUAGES:
         raise ValueError(f"at least {several} languages, more than {MAX_LANGUAGES}")
-    counts = rows.mapInArrow(_count, "lang string, bucket int, n long")
+    counts = rows.mapInArrow(released(_count), "lang string, bucket int, n long")
     table = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     languages = tuple(sorted(set(table["lang"])))
     row = {lang: i for i, lang in enumerate(languages)}
@@ -244,8 +246,9 @@ def verdict(spark: SparkSession, model: Model, text: Column, fit: bool = False)
             )
 
     # The type hints are names here, which the evaluation of string annotations cannot see in a task.
-    run.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
-    return F.arrow_udf(run, VERDICT)(text.cast("string"))
+    task = released(run)
+    task.__annotations__ = {"batches": Iterator[pa.Array], "return": Iterator[pa.Array]}
+    return F.arrow_udf(task, VERDICT)(text.cast("string"))
 
 
 def identify(spark: SparkSession, docs: DataFrame, model: Model) -> DataFrame:

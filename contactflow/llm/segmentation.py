@@ -19,6 +19,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import released
+
 SPACE = "▁"
 #: A piece of rank r has weight 1 / (r + ZIPF) before sharpening.
 ZIPF = 10.0
@@ -568,21 +570,25 @@ def sample_segmentations(docs: DataFrame, model: str, k: int, seed: int = 0, wit
             names=[c.split()[0] for c in SCHEMA.split(", ")],
         )
 
+    def segment(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        group: list[tuple] = []
+        size = 0
+        for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if group and size + len(row[1] or "") > BATCH_CHARS:
+                yield flush(group, lattice_for(model))
+                group, size = [], 0
+            group.append(row)
+            size += len(row[1] or "")
+        if group:
+            yield flush(group, lattice_for(model))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            group: list[tuple] = []
-            size = 0
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if group and size + len(row[1] or "") > BATCH_CHARS:
-                    yield flush(group, lattice_for(model))
-                    group, size = [], 0
-                group.append(row)
-                size += len(row[1] or "")
-            if group:
-                yield flush(group, lattice_for(model))
+            yield from segment(batch)
+        LATTICES.clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(released(run), SCHEMA)
 
 
 def summary(found: DataFrame) -> DataFrame:

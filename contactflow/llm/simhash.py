@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, order_id
+from .common import materialize, order_id, released
 from .components import connected_components
 
 SHINGLE = 3
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         F.xxhash64("text").alias("text_key"),
         F.col("text").cast("string").cast("binary").alias("text"),
     )
-    return rows.mapInArrow(run, "order_id long, doc_id long, text_key long, fp long")
+    return rows.mapInArrow(released(run), "order_id long, doc_id long, text_key long, fp long")
 
 
 def _postings(fps: DataFrame) -> DataFrame:
