@@ -18,24 +18,35 @@ from contactflow.session import configure
 LEAST_LANGUAGE_SCORE = 0.5
 #: Deviations below the mean fit of a language's own rows from which a text counts as foreign to it.
 FOREIGN_DEVIATIONS = 12.0
+#: Keys of documents that a stage drops up to which they are broadcast: about 10 MB.
+SMALL_KEYS = 200_000
 
 #: Names of helper columns; documents may have columns of any other name.
 ID, KEY, VERDICT = "__row_id", "__row_key", "__verdict"
 
 
 def _keyed(docs: DataFrame, key) -> DataFrame:
-    return docs.withColumns({ID: order_id(), KEY: key})
+    return docs.withColumns({ID: order_id(), KEY: F.xxhash64(key)})
+
+
+def _without(keyed: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of keyed whose (ID, KEY) is not in keys, which are written and distinct.
+
+    Up to SMALL_KEYS of them, 16 bytes each, are broadcast, so that no text is moved; beyond that both sides are sorted.
+    """
+    small = keys.count() <= SMALL_KEYS
+    return keyed.join(F.broadcast(keys) if small else keys, [ID, KEY], "left_anti")
 
 
 def _staying(spark: SparkSession, docs: DataFrame, key, decided: DataFrame) -> DataFrame:
     """The rows of docs that decided(ID, KEY, stays), a row per document, lets stay; equal ID and KEY stay once.
 
-    Only keys that go or repeat meet the texts, which are sorted no more than once; what repeats, if anything, is a second pass.
+    Only keys that go or repeat meet the texts; what repeats, if anything, is a second pass.
     """
     odd = decided.groupBy(ID, KEY).agg(F.max("stays").alias("__stays"), F.count("*").alias("__n"))
     odd = materialize(spark, odd.where("not __stays or __n > 1"), "odd")
     keyed = _keyed(docs, key)
-    once = keyed.join(odd.select(ID, KEY), [ID, KEY], "left_anti").select(docs.columns)
+    once = _without(keyed, odd.select(ID, KEY)).select(docs.columns)
     repeated = odd.where("__stays").select(ID, KEY)
     if repeated.isEmpty():
         return once
@@ -62,7 +73,7 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text counts as empty, a null doc_id as larger than any other. An empty table stays empty.
     """
     decided = exact_dedup.deduplicate(spark, docs)
-    decided = decided.select(F.col("order_id").alias(ID), F.col("digest").alias(KEY), F.col("kept").alias("stays"))
+    decided = decided.select(F.col("order_id").alias(ID), F.xxhash64("digest").alias(KEY), F.col("kept").alias("stays"))
     return _staying(spark, docs, exact_dedup.sha256(exact_dedup.normalised(F.col("text"))), decided)
 
 
@@ -74,7 +85,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     marked = simhash.near_duplicates(spark, docs)
     first = F.col("order_id") == F.coalesce("component_id", F.lit(LAST_ID))
-    decided = marked.select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY), first.alias("stays"))
+    decided = marked.select(F.col("order_id").alias(ID), F.xxhash64("text_key").alias(KEY), first.alias("stays"))
     return _staying(spark, docs, F.xxhash64("text"), decided)
 
 
@@ -86,8 +97,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = decontamination.contaminated(spark, docs, items)
-    leak = found.select(F.col("order_id").alias(ID), F.col("text_key").alias(KEY)).distinct()
-    return _keyed(docs, F.xxhash64("text")).join(leak, [ID, KEY], "left_anti").select(docs.columns)
+    leak = materialize(spark, found.select(F.col("order_id").alias(ID), F.xxhash64("text_key").alias(KEY)).distinct(), "leak")
+    return _without(_keyed(docs, F.xxhash64("text")), leak).select(docs.columns)
 
 
 def segment(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
