@@ -46,7 +46,9 @@ def prints_of(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_run_against_brute_force_stage_by_stage(spark, tmp_path, monkeypatch):
+@pytest.mark.parametrize("small", [corpus_pipeline.SMALL_KEYS, 0])
+def test_run_against_brute_force_stage_by_stage(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr(corpus_pipeline, "SMALL_KEYS", small)
     rng = random.Random(5)
     texts = [(i, " ".join(rng.choice(EN if i % 3 else ES) for _ in range(rng.randint(40, 120))), "en" if i % 3 else "es") for i in range(40)]
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
