@@ -40,11 +40,6 @@ def customer_lines(raw: DataFrame, clean: bool = False) -> DataFrame:
     )
 
 
-def normalize_customers(raw: DataFrame, clean: bool = False) -> DataFrame:
-    """Typed customer lines, rut NULL where there is no key."""
-    return customer_lines(raw, clean).withColumn("rut", text.blank_to_null(F.col("rut")))
-
-
 def stage_rows(raw: DataFrame, existing: DataFrame | None = None) -> DataFrame:
     """One ledger row per input line with a status and a reason.
 
@@ -253,17 +248,27 @@ def cleaning_counters(raw: DataFrame) -> DataFrame:
     )
 
 
-def replace_addresses(addresses: DataFrame, clients: DataFrame, raw: DataFrame) -> DataFrame:
-    """Addresses overwritten by key from a cleaned file; the last line wins."""
+ADDRESS_FIELDS = ["direccion", "comuna", "region"]
+
+
+def address_changes(clients: DataFrame, raw: DataFrame) -> DataFrame:
+    """(cliente_id, address fields) of known clients from a cleaned file; the last line wins."""
     rows = raw.select(
         "line_no",
         rut_digits(F.col("rut")).alias("rut"),
-        *(text.blank_to_null(F.col(c)).alias(c) for c in ("direccion", "comuna", "region")),
+        *(text.blank_to_null(F.col(c)).alias(c) for c in ADDRESS_FIELDS),
     ).where(F.col("rut") != "")
-    delta = last_per_key(rows, ["rut"], ["line_no"]).join(
-        clients.select("rut", F.col("id").alias("cliente_id")), "rut"
-    )
-    return update_join(addresses, delta, ["cliente_id"], ["direccion", "comuna", "region"])
+    matched = last_per_key(rows, ["rut"], ["line_no"]).join(clients.select("rut", F.col("id").alias("cliente_id")), "rut")
+    return matched.select("cliente_id", *ADDRESS_FIELDS)
+
+
+def put_addresses(addresses: DataFrame, delta: DataFrame) -> DataFrame:
+    return update_join(addresses, delta, ["cliente_id"], ADDRESS_FIELDS)
+
+
+def replace_addresses(addresses: DataFrame, clients: DataFrame, raw: DataFrame) -> DataFrame:
+    """Addresses overwritten by key from a cleaned file; the last line wins."""
+    return put_addresses(addresses, address_changes(clients, raw))
 
 
 def validated_contacts(

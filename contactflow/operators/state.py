@@ -66,6 +66,30 @@ def claim(state: DataFrame, batch: DataFrame) -> DataFrame:
     return mark_ids(state, batch, {"status": F.lit(CLAIMED)})
 
 
+def changed_rows(state: DataFrame, batch: DataFrame, columns: dict[str, Column], guard: Column | None = None) -> DataFrame:
+    """The rows of a batch of ids that pass `guard`, with `columns` set: what a change log stores of `mark_ids`."""
+    rows = state.join(batch.select("id").distinct(), "id", "left_semi")
+    if guard is not None:
+        rows = rows.where(guard)
+    return rows.withColumns(columns).select(*state.columns)
+
+
+def claimed_rows(state: DataFrame, batch: DataFrame) -> DataFrame:
+    return changed_rows(state, batch, {"status": F.lit(CLAIMED)})
+
+
+def reverted_rows(state: DataFrame, batch: DataFrame | None = None) -> DataFrame:
+    """Claimed rows, of a batch or all, as they are back in the queue."""
+    claimed = F.col("status") == CLAIMED
+    if batch is None:
+        return state.where(claimed).withColumn("status", F.lit(PENDING)).select(*state.columns)
+    return changed_rows(state, batch, {"status": F.lit(PENDING)}, claimed)
+
+
+def consumed_rows(state: DataFrame, selected: DataFrame, now: Column) -> DataFrame:
+    return changed_rows(state, selected, {"extraido": F.lit(1), "data_extracao": now})
+
+
 def claim_contracts(state: DataFrame, batch: DataFrame, now: Column) -> DataFrame:
     """Guarded claim of the older model: only open rows, and it stamps them."""
     return mark_ids(
@@ -125,13 +149,26 @@ def apply_results(
     return apply_outcomes(state, outcomes, now)
 
 
-def apply_outcomes(state: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
-    """One outcome per client merged into the state in a single join."""
+def result_rows(
+    state: DataFrame, results: DataFrame, clients: DataFrame, order: list[str], now: Column
+) -> DataFrame:
+    """The rows that a result file changes or adds: what a change log stores of `apply_results`."""
+    outcomes = client_outcomes(results, clients, order).select("cliente_id", "resposta_id", "status")
+    touched = state.join(outcomes.select("cliente_id"), "cliente_id", "left_semi").select(*state.columns)
+    return apply_outcomes(touched, outcomes, now, next_id(state))
+
+
+def apply_outcomes(state: DataFrame, outcomes: DataFrame, now: Column, first_id: Column | None = None) -> DataFrame:
+    """One outcome per client merged into the state in a single join.
+
+    New rows get ids from `first_id` on, the next free id of `state` unless given.
+    """
     is_open = F.col("status").isin(OPEN_STATES)
     update = {
         c: F.when(is_open, F.col(f"new_{c}")).otherwise(F.col(c)) for c in ("resposta_id", "status")
     }
-    insert = {"id": next_id(state) + F.col("cliente_id"), "extraido": F.lit(0), "data_criacao": now}
+    first_id = next_id(state) if first_id is None else first_id
+    insert = {"id": first_id + F.col("cliente_id"), "extraido": F.lit(0), "data_criacao": now}
     update["data_update"] = insert["data_update"] = now
     return upsert(state, outcomes, ["cliente_id"], update, insert)
 
@@ -213,6 +250,15 @@ def close_import(imports: DataFrame, import_id: Column, counters: DataFrame, fai
     )
 
 
+def fail_open(imports: DataFrame, now: Column) -> DataFrame:
+    """Ledger in which imports that are still open are closed as failed."""
+    is_open = F.col("status") == "processing"
+    return imports.withColumns({
+        "finished_at": F.when(is_open, now).otherwise(F.col("finished_at")),
+        "status": F.when(is_open, F.lit("failed")).otherwise(F.col("status")),
+    })
+
+
 def ledger_totals(counters: DataFrame) -> DataFrame:
     """Accumulated totals per import over all of its files."""
     return counters.groupBy("staging_id").agg(

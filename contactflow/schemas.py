@@ -21,5 +21,7 @@ TABLES = {
     ),
 }
 
-# Tables that only ever grow; the others are replaced as whole snapshots.
-GROWING = {"clients", "phones", "emails", "import_rows"}
+#: Tables kept as a base and a log of changed rows, by this key.
+LOGGED = {"state": "id"}
+#: Tables kept in hash buckets: key and number of buckets.
+BUCKETED = {"addresses": (["cliente_id"], 64)}

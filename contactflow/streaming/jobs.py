@@ -14,14 +14,18 @@ from pyspark.sql.types import StructType
 
 from ..functions.outcome import FINAL_OUTCOMES, code_status, result_code
 from ..functions.text import trim_ws
-from ..operators.keyed import first_per_key, insert_ignore, last_per_key
-from ..operators.state import apply_results
+from ..operators.keyed import insert_ignore, last_per_key
+from ..operators.state import result_rows
+from ..schemas import LOGGED
+from ..sources.catalog import BUCKET_PARTS, LOG_PARTS, Catalog
 from ..sources.files import RESULT_SCHEMA, matches, read_results
-from ..sources.snapshots import read_snapshot
 
 #: Signs in a file's name that a reader would take as a pattern.
 GLOB_SIGNS = re.compile(r"[\\{}\[\]*?]")
 
+#: Buckets of the keys that a first-wins stream remembers.
+KEY_BUCKETS = 256
+
 FILE_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
@@ -79,26 +83,31 @@ def apply_stream(
     now: str,
     files_per_batch: int | None = None,
 ) -> None:
-    """Result lines applied to the state, one snapshot per batch.
+    """Result lines applied to the state: a batch writes the rows that it changes or adds.
 
-    Batch n reads snapshot n and writes snapshot n + 1.
+    The commit of a batch carries its number, so one that runs again finds itself applied.
     """
-    session = state.sparkSession
-    path = session._jvm.org.apache.hadoop.fs.Path(f"{base}/v=0/_SUCCESS")
-    if not path.getFileSystem(session._jsc.hadoopConfiguration()).exists(path):
-        state.write.mode("overwrite").parquet(f"{base}/v=0")
+    catalog = Catalog(state.sparkSession, base)
+    schema = state.schema
+    if not catalog.holds("state"):
+        with catalog.commit() as c:
+            c.replace("state", state, LOGGED["state"])
     stamp = F.lit(now).cast("timestamp_ntz")
 
     def step(batch: DataFrame, batch_id: int) -> None:
-        current = session.read.parquet(f"{base}/v={batch_id}")
-        nxt = apply_results(current, batch, clients, order, stamp)
-        nxt.write.mode("overwrite").parquet(f"{base}/v={batch_id + 1}")
+        with catalog.commit("results", batch_id) as c:
+            if not c.replayed:
+                rows = result_rows(catalog.read("state", schema, c.before), batch, clients, order, stamp)
+                c.change("state", rows, LOGGED["state"])
+        if len(catalog.version()["tables"]["state"]["log"]) > LOG_PARTS:
+            catalog.fold("state", schema)
 
     _run(_source(spark, source, files_per_batch).writeStream.foreachBatch(step), checkpoint)
 
 
 def read_state(spark: SparkSession, base: str) -> DataFrame:
-    return read_snapshot(spark, base)
+    catalog = Catalog(spark, base)
+    return catalog.read("state", catalog.schema("state"))
 
 
 def first_wins(
@@ -109,19 +118,32 @@ def first_wins(
     keys: list[str],
     order: list[str],
     files_per_batch: int | None = None,
+    buckets: int = KEY_BUCKETS,
 ) -> None:
     """Rows whose key no earlier line or batch has stored.
 
-    The stored rows are the memory, so nothing grows in a state store.
+    The memory is a table of keys in hash buckets, of which a batch opens those that its own keys
+    fall into; stored rows are not read again. A batch writes its rows, then publishes its keys with
+    its number: one that died in between has published no key and writes the same rows once more.
     """
+    _, schema = source
+    known = ", ".join(f"`{k}` {schema[k].dataType.simpleString()}" for k in keys)
+    memory = Catalog(spark, f"{checkpoint}-keys")
+
     def step(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        if batch_id == 0:
-            fresh = first_per_key(batch, keys, order)
-        else:
-            earlier = [f"{out}/batch={n}" for n in range(batch_id)]
-            fresh = insert_ignore(session.read.parquet(*earlier), batch, keys, order)
-        fresh.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        with memory.commit("rows", batch_id) as c:
+            if c.replayed:
+                return
+            touched = c.buckets_of(batch, keys, buckets)
+            stored = memory.read_buckets("keys", known, touched, c.before)
+            path = f"{out}/batch={batch_id}"
+            insert_ignore(stored, batch, keys, order).write.mode("overwrite").parquet(path)
+            fresh = batch.sparkSession.read.schema(schema).parquet(path).select(*keys)
+            held = c.before["tables"].get("keys", {}).get("buckets", {})
+            long = [n for n in touched if len(held.get(str(n), [])) >= BUCKET_PARTS]
+            if long:  # buckets of many small files are written anew with what is added
+                fresh = fresh.unionByName(memory.read_buckets("keys", known, long, c.before))
+            c.put_buckets("keys", fresh, keys, buckets, long)
 
     _run(_source(spark, source, files_per_batch).writeStream.foreachBatch(step), checkpoint)
 
