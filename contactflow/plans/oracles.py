@@ -624,6 +624,11 @@ ORACLES: dict[str, str] = {
     "r03_first_wins_contacts": f"SELECT cliente_id, valor AS endereco, line_no FROM {resolved(EMAIL_LINES, 'line_no')}",
     "r04_daily_rollup": "SELECT CAST(ts AS DATE) AS dia, event_type, count(*) AS qtd FROM events GROUP BY 1, 2",
     "r05_key_state": f"SELECT o.*, n.tentativas FROM {outcomes()} o JOIN (SELECT rut, count(*) AS tentativas FROM macro_result GROUP BY 1) n ON n.rut = o.rut",
+    "r05_key_transitions": f"""WITH l AS (SELECT {trim('rut')} AS rut, line_no, {code()} AS c FROM macro_result WHERE {trim('rut')} <> ''),
+      taken AS (SELECT l.*, row_number() OVER (PARTITION BY rut ORDER BY line_no) AS k FROM l
+        WHERE line_no <= coalesce((SELECT min(f.line_no) FROM l f WHERE f.rut = l.rut AND f.c IN {FINAL}), line_no))
+      SELECT rut, 2 * k - 1 AS n, line_no, 'pendente' AS de, 'processando' AS para, CAST(NULL AS INTEGER) AS resposta_id FROM taken
+      UNION ALL SELECT rut, 2 * k, line_no, 'processando', {status('c')}, c FROM taken""",
     # --- function and API surface
     "x01_sql_functions": f"SELECT line_no, {rut('rut')} AS rut, {region('region')} AS region, limpa AS comuna FROM {with_commune()}",
     "x01_sql_interpret": f"""SELECT line_no, resposta_id, {status('resposta_id')} AS status, numero FROM (
@@ -669,6 +674,19 @@ DATES = {
 }
 
 
+# The same tables, reached through change logs and buckets.
+SAME = {
+    "m02_claim_log": "m02_claim",
+    "m03_apply_results_log": "m03_apply_results",
+    "m05_revert_batch_log": "m05_revert_batch",
+    "m06_consume_log": "m06_consume",
+    "m09_update_buckets": "m09_replace_addresses",
+    "s11_update_buckets": "s11_update_join",
+}
+ORACLES |= {new: ORACLES[old] for new, old in SAME.items()}
+DATES |= {new: DATES[old] for new, old in SAME.items() if old in DATES}
+
+
 def _final(name: str) -> str:
     sql, day = ORACLES[name], DATES.get(name)
     return f"SELECT * REPLACE (CAST({day} AS VARCHAR) AS {day}) FROM ({sql})" if day else sql

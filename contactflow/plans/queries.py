@@ -26,7 +26,9 @@ from ..operators import contracts, export, ingest, quality, report, rollups, sta
 from ..operators.keyed import first_per_key, rank_by_id, update_join
 from ..session import configure, work_path
 from ..sources import files
+from ..sources.catalog import Catalog
 from ..streaming import jobs as streams
+from ..streaming import key_machine
 from .fixtures import PHONE_ORDER, TABLES, Inputs
 
 TODAY = dt.date(2026, 2, 28)
@@ -896,6 +898,39 @@ def m06_consume(i):
     return state.consume(i.work_state_u, selected, now()).select("id", "extraido", "data_extracao")
 
 
+def logged(i, name: str, table: DataFrame, change) -> DataFrame:
+    """A table after change(table), which gives the rows that differ, went through a change log."""
+    catalog = Catalog(i.spark, work_path(i.spark, name))
+    with catalog.commit() as c:
+        c.replace("state", table, "id")
+    with catalog.commit() as c:
+        c.change("state", change(c.read("state", table.schema)), "id")
+    return catalog.read("state", table.schema)
+
+
+@query
+def m02_claim_log(i):
+    found = logged(i, "m02", i.work_state, lambda t: state.claimed_rows(t, state.claimable(t, i.clients, 500)))
+    return found.select("id", "cliente_id", "status", "data_update")
+
+
+@query
+def m03_apply_results_log(i):
+    return logged(i, "m03", i.work_state_u, lambda t: state.result_rows(t, i.macro_result, i.clients, LINE, now()))
+
+
+@query
+def m05_revert_batch_log(i):
+    found = logged(i, "m05", i.work_state, lambda t: state.reverted_rows(t, t.select("id").orderBy("id").limit(500)))
+    return found.select("id", "status")
+
+
+@query
+def m06_consume_log(i):
+    found = logged(i, "m06", i.work_state_u, lambda t: state.consumed_rows(t, export.export_selection(t), now()))
+    return found.select("id", "extraido", "data_extracao")
+
+
 @query
 def m07_paged_consume(i):
     selected = state.unconsumed(i.contract_state, "consolidado")
@@ -930,6 +965,29 @@ def m09_replace_addresses(i):
     return ingest.replace_addresses(i.addresses, i.clients, ingest.clean_customer_file(i.raw_clients))
 
 
+def bucketed(i, name: str, table: DataFrame, delta: DataFrame, key: str, step) -> DataFrame:
+    """A table in hash buckets after the buckets of delta's keys were written anew by step(their rows, delta)."""
+    catalog = Catalog(i.spark, work_path(i.spark, name))
+    with catalog.commit() as c:
+        c.put_buckets("t", table, [key], 16)
+    with catalog.commit() as c:
+        c.update("t", table.schema, delta, [key], 16, step)
+    return catalog.read("t", table.schema)
+
+
+@query
+def m09_update_buckets(i):
+    delta = ingest.address_changes(i.clients, ingest.clean_customer_file(i.raw_clients))
+    return bucketed(i, "m09", i.addresses, delta, "cliente_id", ingest.put_addresses)
+
+
+@query
+def s11_update_buckets(i):
+    rows = ingest.customer_lines(i.raw_clients).where(col("rut") != "")
+    delta = first_per_key(rows.select("rut", "line_no", "nome", "sexo"), ["rut"], LINE)
+    return bucketed(i, "s11", i.clients, delta, "rut", lambda t, d: update_join(t, d, ["rut"], ["nome", "sexo"]))
+
+
 @query
 def m10_repair_unresolved(i):
     return state.repair_unresolved(i.contract_state).select("id", "status")
@@ -1072,6 +1130,14 @@ def r05_key_state(i):
     return streams.read_key_states(i.spark, f"{root}/out")
 
 
+@query
+def r05_key_transitions(i):
+    root = work_path(i.spark, "r05t")
+    source = streams.land(i.macro_result, f"{root}/in")
+    key_machine.key_transitions(i.spark, source, f"{root}/out", f"{root}/checkpoint")
+    return key_machine.read_transitions(i.spark, f"{root}/out")
+
+
 # --- function and API surface ------------------------------------------------
 @query
 def x01_sql_functions(i):
