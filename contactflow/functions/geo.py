@@ -41,15 +41,17 @@ def commune_value(raw: Column) -> Column:
     return F.regexp_replace(single_spaced(raw), r"(?s)^(.{2,}[^.])\.+$", "$1")
 
 
-def _commune_pick(raw: Column, value: Column, key: Column, fold_keys: bool = False) -> Column:
+def _targets(fold_keys: bool) -> dict[str, str]:
+    """Corrected commune by folded key; a blank target means "not a commune"."""
     corrections = dict.fromkeys(REGION_PREFIXES) | COMMUNE_CORRECTIONS
     if fold_keys:
         table = str.maketrans(FOLD_FROM[: len(FOLD_TO)], FOLD_TO)
         corrections = {k.translate(table).upper(): v for k, v in corrections.items()}
-    # A blank target means "not a commune"; NULL from the map means no entry.
-    targets = literal_map({k: v or "" for k, v in corrections.items()})
-    fixed = F.coalesce(F.try_element_at(targets, key), value)
-    return blank_to_null(F.when(raw.rlike(_USABLE), fixed))
+    return {k: v or "" for k, v in corrections.items()}
+
+
+def _commune_pick(raw: Column, value: Column, target: Column) -> Column:
+    return blank_to_null(F.when(raw.rlike(_USABLE), F.coalesce(target, value)))
 
 
 def clean_commune(c: Column, fold_keys: bool = False) -> Column:
@@ -59,16 +61,20 @@ def clean_commune(c: Column, fold_keys: bool = False) -> Column:
     """
     raw = trim_ws(c)
     value = commune_value(raw)
-    return _commune_pick(raw, value, fold_accents(value), fold_keys)
+    return _commune_pick(raw, value, F.try_element_at(literal_map(_targets(fold_keys)), fold_accents(value)))
 
 
 def with_clean_commune(df: DataFrame, source: str, target: str, fold_keys: bool = False) -> DataFrame:
-    """`clean_commune` in steps, so that no step is computed twice per row."""
+    """`clean_commune` in steps, so that no step is computed twice per row.
+
+    The corrections, a fixed list of a few hundred, are a broadcast table that rows meet by hash.
+    """
+    table = df.sparkSession.createDataFrame(list(_targets(fold_keys).items()), "_key string, _target string")
     steps = df.withColumn("_raw", trim_ws(F.col(source)))
     steps = steps.withColumn("_value", commune_value(F.col("_raw")))
-    steps = steps.withColumn("_key", fold_accents(F.col("_value")))
-    picked = _commune_pick(F.col("_raw"), F.col("_value"), F.col("_key"), fold_keys)
-    return steps.withColumn(target, picked).drop("_raw", "_value", "_key")
+    steps = steps.withColumn("_key", fold_accents(F.col("_value"))).join(F.broadcast(table), "_key", "left")
+    picked = steps.withColumn(target, _commune_pick(F.col("_raw"), F.col("_value"), F.col("_target")))
+    return picked.select(*(c for c in df.columns if c != target), target)
 
 
 def report_region(c: Column) -> Column:

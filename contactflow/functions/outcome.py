@@ -32,6 +32,7 @@ from .fixed_values import (
 )
 from .geo import literal_map
 from .identity import phone_digits
+from .pages import scanned
 from .text import trim_ws
 
 FINAL_OUTCOMES = [1, 2, 3, 6, 7, 8]
@@ -190,45 +191,15 @@ def is_unresolved(status: Column, resposta_id: Column) -> Column:
 def landed_fields(body: Column) -> Column:
     """Result fields of a stored answer page: JSON reason, form inputs or alert."""
     reason = F.get_json_object(body, "$.motivoRetorno")
-
-    def tag(dom_id):
-        return F.regexp_extract(
-            body, rf"(?is)<[a-z][^>]*\sid\s*=\s*[\"']{dom_id}[\"'][^>]*>", 0
-        )
-
-    def value(t):
-        return F.coalesce(
-            unescape(F.nullif(F.regexp_extract(t, r"(?is)\svalue\s*=\s*\"([^\"]*)\"", 1), F.lit(""))),
-            unescape(F.regexp_extract(t, r"(?is)\svalue\s*=\s*'([^']*)'", 1)),
-        )
-
-    phone_tag, email_tag = tag("telefono"), tag("correoElectronico")
-    found = (phone_tag != "") & (email_tag != "") & reason.isNull()
-    alert = F.regexp_extract(
-        body,
-        r"(?is)<([a-z0-9]+)[^>]*\sclass\s*=\s*[\"'](?=[^\"']*\balerta\b)(?=[^\"']*\berror\b)[^\"']*[\"'][^>]*>(.*?)</\1\s*>",
-        2,
-    )
-    alert_text = trim_ws(unescape(F.regexp_replace(alert, "<[^>]*>", "")))
-    has_alert = body.rlike(
-        r"(?is)<[a-z0-9]+[^>]*\sclass\s*=\s*[\"'](?=[^\"']*\balerta\b)(?=[^\"']*\berror\b)"
-    )
+    page = scanned(body)
+    found = page["fone"].isNotNull() & page["email"].isNotNull() & reason.isNull()
     empty = F.lit("")
     return F.struct(
-        F.when(found, value(phone_tag)).otherwise(empty).alias("telefone_validado"),
-        F.when(found, value(email_tag)).otherwise(empty).alias("email_validado"),
+        F.when(found, page["fone"]).otherwise(empty).alias("telefone_validado"),
+        F.when(found, page["email"]).otherwise(empty).alias("email_validado"),
         F.when(found, F.lit("1")).otherwise(F.lit("0")).alias("sucesso"),
         F.when(reason.isNotNull(), reason)
         .when(found, empty)
-        .when(has_alert, alert_text)
-        .otherwise(F.lit(UNKNOWN_ERROR))
+        .otherwise(F.coalesce(page["alerta"], F.lit(UNKNOWN_ERROR)))
         .alias("erro"),
     )
-
-
-def unescape(c: Column) -> Column:
-    for entity, char in [
-        ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
-    ]:
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c

@@ -6,12 +6,17 @@ from pyspark.sql import SparkSession
 
 from .fixed_values import (
     BAD_FIRST_CHARS,
+    BODY_TEXT_RULES,
+    CATALOGUE_STATUS,
     COMMUNE_CORRECTIONS,
     CONNECTION_ERRORS,
+    CONTRACT_OUTCOMES,
+    EMPTY_BODY_OUTCOME,
     INVALID_REGIONS,
     REGION_PREFIXES,
     REGISTERED_USER_ERRORS,
     TRUNCATED_REGIONS,
+    UNKNOWN_BODY_OUTCOME,
     VALID_REGIONS,
 )
 from .text import FOLD_FROM, FOLD_TO, WHITESPACE
@@ -77,9 +82,28 @@ def definitions() -> dict[str, str]:
         "limpar_comuna(v STRING) RETURNS STRING": commune,
         "interpretar(s STRING, t STRING, m STRING, x STRING) "
         "RETURNS STRUCT<resposta_id: INT, status: STRING>": result,
+        "interpretar_corpo(v STRING) RETURNS STRUCT<resposta_id: INT, status: STRING>": _interpret_body(),
     }
 
 
+def _interpret_body() -> str:
+    """The outcome of a stored response body, as `outcome.interpret_body` reads it."""
+    known = {str(i): CATALOGUE_STATUS[s] for i, _, s in CONTRACT_OUTCOMES}
+    texts = " ".join(f"WHEN contains(lower(t), {_q(fragment)}) THEN {_outcome(i, s)}" for fragment, i, s in BODY_TEXT_RULES)
+    code = f"{_trim("get_json_object(t, '$.CodigoRetorno')")}"
+    return f"""(SELECT CASE WHEN t = '' THEN {_outcome(*EMPTY_BODY_OUTCOME)}
+          WHEN try_element_at({_map(known)}, k) IS NOT NULL
+            THEN named_struct('resposta_id', CAST(k AS INT), 'status', try_element_at({_map(known)}, k))
+          {texts} ELSE {_outcome(*UNKNOWN_BODY_OUTCOME)} END
+        FROM (SELECT t, CASE WHEN startswith(t, '{{') AND endswith(t, '}}') AND c RLIKE '^[0-9]+$'
+            THEN CAST(try_cast(c AS INT) AS STRING) END AS k
+        FROM (SELECT t, {code} AS c FROM (SELECT {_trim("coalesce(v, '')")} AS t))))"""
+
+
+def _outcome(code: int | None, status: str) -> str:
+    return f"named_struct('resposta_id', CAST({'NULL' if code is None else code} AS INT), 'status', {_q(status)})"
+
+
 def register(spark: SparkSession) -> None:
     for signature, body in definitions().items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURN {body}")

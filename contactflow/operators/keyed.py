@@ -42,9 +42,10 @@ def top_per_key(df: DataFrame, keys: list[str], order: list, k: int, rank: str =
 
 
 def rank_by_id(
-    df: DataFrame, id_col: str, rank: str = "rank", keys: tuple[str, ...] = (), span: int = RANK_SPAN
+    df: DataFrame, id_col: str, rank: str = "rank", keys: tuple[str, ...] = (), span: int = RANK_SPAN,
+    ties: tuple[str, ...] = (),
 ) -> DataFrame:
-    """1-based rank by a unique integer id, without one task per key.
+    """1-based rank by an integer id, without one task per key; `ties` order equal ids.
 
     Rows are ranked inside id ranges of `span`; the range counts give each
     range its starting rank.
@@ -59,7 +60,7 @@ def rank_by_id(
         .withColumn("_start", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .drop("_n")
     )
-    inside = Window.partitionBy(*keys, "_range").orderBy(id_col)
+    inside = Window.partitionBy(*keys, "_range").orderBy(id_col, *ties)
     return (
         tagged.join(starts, [*keys, "_range"])
         .withColumn(rank, F.col("_start") + F.row_number().over(inside))

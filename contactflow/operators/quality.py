@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.outcome import is_unresolved
@@ -54,28 +54,43 @@ def reconcile(left: DataFrame, right: DataFrame, keys: list[str], check: str) ->
 
 def reconcile_rollup(state: DataFrame, catalogue: DataFrame, rollup: DataFrame) -> DataFrame:
     """Rollup against direct counts: total, status, message, day, and the
-    invariant that every resolved row has an outcome."""
-    resolved = state.where((F.col("status") != "pendente") & F.col("resposta_id").isNotNull())
-    base = (
-        resolved.groupBy("status", "resposta_id", F.to_date("data_update").alias("dia"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .join(catalogue.select(F.col("id").alias("resposta_id"), "mensagem"), "resposta_id", "left")
-        .withColumn("todos", F.lit("todos"))
+    invariant that every resolved row has an outcome.
+
+    Both sides are one stream of counts, summed over all four groupings in one pass, so each is read once.
+    """
+    counts = state.groupBy("status", "resposta_id", F.to_date("data_update").alias("dia")).agg(F.count(F.lit(1)).alias("n"))
+    resolved = (F.col("status") != "pendente") & F.col("resposta_id").isNotNull()
+    none = F.lit(None).cast("long")
+    keys = ["status", "mensagem", "dia"]
+    base = counts.join(catalogue.select(F.col("id").alias("resposta_id"), "mensagem"), "resposta_id", "left").select(
+        *keys,
+        F.when(resolved, F.col("n")).alias("a"),
+        none.alias("b"),
+        F.col("n").alias("rows"),
+        F.when(is_unresolved(F.col("status"), F.col("resposta_id")), F.col("n")).alias("open"),
     )
-    rolled = rollup.withColumn("n", F.col("qtd")).withColumn("todos", F.lit("todos"))
-    checks = [("total", "todos"), ("status", "status"), ("mensagem", "mensagem"), ("dia", "dia")]
-    result = None
-    for name, key in checks:
-        part = reconcile(base, rolled, [key], name)
-        result = part if result is None else result.unionByName(part)
-    invalid = state.agg(
-        F.lit("sem_resposta").alias("verificacao"),
-        F.count(F.lit(1)).alias("n_chaves"),
-        F.count(F.lit(1)).alias("n_base"),
-        F.count_if(~is_unresolved(F.col("status"), F.col("resposta_id"))).alias("n_rollup"),
-        F.count_if(is_unresolved(F.col("status"), F.col("resposta_id"))).alias("n_diff"),
+    rolled = rollup.select(*keys, none.alias("a"), F.col("qtd").cast("long").alias("b"), none.alias("rows"), none.alias("open"))
+    sums = base.unionByName(rolled).groupingSets([[], ["status"], ["mensagem"], ["dia"]], *keys).agg(
+        F.grouping_id().alias("g"), *(F.sum(c).alias(c) for c in ("a", "b", "rows", "open"))
     )
-    return result.unionByName(invalid)
+
+    def check(name: str, bits: int) -> Column:
+        mine = (F.col("g") == bits) & (F.col("a").isNotNull() | F.col("b").isNotNull())
+        total = {c: F.coalesce(F.sum(F.when(mine, F.col(c))), F.lit(0)).cast("long") for c in ("a", "b")}
+        differs = mine & ~F.coalesce(F.col("a") == F.col("b"), F.lit(False))
+        return F.struct(
+            F.lit(name).alias("verificacao"), F.count_if(mine).alias("n_chaves"), total["a"].alias("n_base"),
+            total["b"].alias("n_rollup"), F.count_if(differs).alias("n_diff"),
+        )
+
+    all_rows, left_open = (F.coalesce(F.sum(F.when(F.col("g") == 7, F.col(c))), F.lit(0)).cast("long") for c in ("rows", "open"))
+    invalid = F.struct(
+        F.lit("sem_resposta").alias("verificacao"), all_rows.alias("n_chaves"), all_rows.alias("n_base"),
+        (all_rows - left_open).alias("n_rollup"), left_open.alias("n_diff"),
+    )
+    # A grouping's bits tell the columns that it leaves out, the first of keys being the highest.
+    checks = [check("total", 7), check("status", 3), check("mensagem", 5), check("dia", 6), invalid]
+    return sums.agg(F.array(*checks).alias("c")).select(F.inline("c"))
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

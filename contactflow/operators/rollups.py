@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +20,7 @@ from ..functions.identity import month_key, month_label
 from ..functions.outcome import origin_file, supplier_or_default
 from ..functions.text import percent_text, trim_ws
 from .keyed import last_per_key
+from .report import file_statistics
 
 
 def _long_sum(c) -> Column:
@@ -92,22 +96,63 @@ def build_rollups(
     return {name: df.withColumn("atualizado_em", now) for name, df in rollups.items()}
 
 
+#: The stored daily rollup lies in a folder per month, of rows in the order of their days: a folder
+#: per day would hold some ten rows.
+DAY_SCHEMA = "dia date, status string, mensagem string, qtd long, atualizado_em timestamp_ntz, mes date"
+
+
+def _write_days(days: DataFrame, path: str, only_its_months: bool = False) -> None:
+    rows = days.withColumn("mes", F.trunc("dia", "month")).repartition("mes").sortWithinPartitions("mes", "dia")
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic" if only_its_months else "static")
+    writer.partitionBy("mes").parquet(path)
+
+
 def refresh(path: str, **tables) -> dict[str, str]:
     """Rewrites the rollup tables below `path`; returns where each one is."""
     written = {}
     for name, df in build_rollups(**tables).items():
         written[name] = f"{path}/{name}"
-        df.write.mode("overwrite").parquet(written[name])
+        if name == "day":
+            _write_days(df, written[name])
+        else:
+            df.write.mode("overwrite").parquet(written[name])
     return written
 
 
+def refresh_days(path: str, state: DataFrame, catalogue: DataFrame, days: list[dt.date], now: Column) -> None:
+    """Counts the months of these days anew and overwrites their folders alone.
+
+    A month without any row left keeps what it had; the next full refresh takes it out.
+    """
+    months = sorted({d.replace(day=1) for d in days})
+    rows = state.where(F.trunc(F.to_date("data_update"), "month").isin(months))
+    fresh = day_status_message(rows, catalogue).withColumn("atualizado_em", now)
+    _write_days(fresh, f"{path}/day", only_its_months=True)
+
+
+def read_days(spark, path: str) -> DataFrame:
+    """The stored daily rollup; conditions on `mes` select folders, those on `dia` parts of files."""
+    return spark.read.schema(DAY_SCHEMA).parquet(f"{path}/day").select("dia", "status", "mensagem", "qtd", "mes")
+
+
+def stored_days(spark, path: str, selection: list[str] | None) -> DataFrame:
+    """`select_days` on the stored daily rollup: only files of months with a chosen day are read."""
+    rows = read_days(spark, path)
+    wanted, explicit = _wanted_days(selection or [])
+    if wanted is None:
+        return rows.drop("mes")
+    months = _wanted_months(selection)
+    chosen = rows.where(wanted if months is None else wanted & F.col("mes").isin(months))
+    return (rows if not explicit and chosen.isEmpty() else chosen).drop("mes")
+
+
 def as_count(c: str) -> Column:
     return F.coalesce(F.col(c).try_cast("long"), F.lit(0)).alias(c)
 
 
 def read_rollups(spark, path: str) -> dict[str, DataFrame]:
     """Stored rollups in display order, counts made whole."""
-    day = spark.read.parquet(f"{path}/day").select("dia", "status", "mensagem", "qtd")
+    day = read_days(spark, path).drop("mes")
     status = spark.read.parquet(f"{path}/status").select("status", "qtd")
     counts = ["clientes_no_banco", "processados", "pendentes", "com_telefone", "sem_telefone"]
     staging = spark.read.parquet(f"{path}/staging")
@@ -126,22 +171,55 @@ def select_days(rollup: DataFrame, selection: list[str] | None) -> DataFrame:
     A selection of months without any day in the data filters nothing; an
     explicit day always filters.
     """
-    if not selection:
+    wanted, explicit = _wanted_days(selection or [])
+    if wanted is None:
         return rollup
-    picks = [str(s) for s in selection]
-    months = [s[4:] for s in picks if s.startswith("mes:")]
-    days = [s for s in picks if not s.startswith("mes:")]
-    day = F.col("dia").cast("string")
-    wanted = day.isin(days)
-    for prefix in months:
-        wanted = wanted | day.startswith(prefix)
-    wanted = F.coalesce(wanted, F.lit(False))
-    if days:
+    if explicit:
         return rollup.where(wanted)
+    wanted = F.coalesce(wanted, F.lit(False))
     matched = rollup.agg(F.coalesce(F.bool_or(wanted), F.lit(False))).scalar()
     return rollup.where(wanted | ~matched)
 
 
+MONTH = re.compile(r"(\d{4})-(\d{2})")
+
+
+def _wanted_months(selection: list[str]) -> list[dt.date] | None:
+    """First days of the months that a selection can meet; None if that cannot be told."""
+    months = set()
+    for pick in map(str, selection):
+        try:
+            months.add(dt.date.fromisoformat(pick.removeprefix("mes:") + "-01" * pick.startswith("mes:")).replace(day=1))
+        except ValueError:
+            return None
+    return sorted(months)
+
+
+def _wanted_days(selection: list[str]) -> tuple[Column | None, bool]:
+    """Condition on `dia` for days and months, and whether it names a day; None for no selection.
+
+    Days and whole months are compared as dates, which reach the files; other texts as text.
+    """
+    wanted, explicit = None, False
+    for pick in map(str, selection):
+        explicit |= not pick.startswith("mes:")
+        prefix = pick.removeprefix("mes:")
+        month = MONTH.fullmatch(prefix)
+        if pick.startswith("mes:") and month and 1 <= int(month[2]) <= 12:
+            first = dt.date(int(month[1]), int(month[2]), 1)
+            after = (first + dt.timedelta(days=31)).replace(day=1)
+            this = (F.col("dia") >= F.lit(first)) & (F.col("dia") < F.lit(after))
+        elif pick.startswith("mes:"):
+            this = F.col("dia").cast("string").startswith(prefix)
+        else:
+            try:
+                this = F.col("dia") == F.lit(dt.date.fromisoformat(pick))
+            except ValueError:
+                this = F.col("dia").cast("string") == pick
+        wanted = this if wanted is None else wanted | this
+    return wanted, explicit
+
+
 def select_dimension(rollup: DataFrame, column: str, value) -> DataFrame:
     """Equality with one value or a list, compared as text; no value, no filter."""
     if not value or column not in rollup.columns:
@@ -185,6 +263,26 @@ def summary_with_total(summary: DataFrame) -> DataFrame:
     return summary.unionByName(summary_total(summary))
 
 
+def summary_and_total(
+    rollup: DataFrame, active: list[str] | None = None, inactive: list[str] | None = None
+) -> DataFrame:
+    """`summary_with_total` of the daily summary in one pass: days and grand total are groupings of the same scan."""
+    parts = {"ativos": active or [PHONE_OK], "inativos": inactive or [PHONE_NOT_OK]}
+    sums = {n: F.sum(F.when(F.col("status").isin(states), F.col("qtd"))) for n, states in parts.items()}
+    rows = rollup.where(F.col("dia").isNotNull()).withColumn("dia", F.col("dia").cast("string"))
+    found = rows.rollup("dia").agg(
+        F.grouping("dia").alias("_all"),
+        (F.min("dia") != F.max("dia")).alias("_several"),
+        _long_sum("qtd").alias("total"),
+        *(F.coalesce(s.cast("long"), F.lit(0)).alias(n) for n, s in sums.items()),
+    )
+    whole = F.col("_all") == 1
+    shown = found.where(~whole | F.col("_several"))
+    text = {f"pct_{n}": F.when(whole, percent_text(F.col(n), F.col("total"), "0%")).otherwise(percent_text(F.col(n), F.col("total"), "-")) for n in parts}
+    ordered = shown.withColumns({**text, "dia": F.when(whole, F.lit("Total")).otherwise(F.col("dia"))}).orderBy("_all", "dia")
+    return ordered.select("dia", "total", "ativos", "inativos", "pct_ativos", "pct_inativos")
+
+
 def message_distribution(rollup: DataFrame) -> DataFrame:
     rows = rollup.where(F.col("mensagem").isNotNull())
     if "resposta_status" in rollup.columns:
@@ -303,24 +401,30 @@ def dashboard(
     company=None,
     supplier: str | None = None,
     file=None,
+    file_stats: DataFrame | None = None,
+    granularity: str = "combo",
 ) -> dict[str, DataFrame]:
     """Summary, distribution and counts of all files of one dashboard request.
 
     `kind` is "contact" (status distribution in place of messages, not
-    filtered by day) or "contract".
+    filtered by day) or "contract". A selection without any row has an empty
+    distribution. `file_stats` adds the statistics per file, whatever is
+    selected; their counts are of combinations, the one granularity there is.
     """
+    if granularity != "combo":
+        raise ValueError(f"no file statistics by {granularity}")
     rows = select_dimension(rollup, "fornecedor", supplier)
     rows = select_dimension(rows, "arquivo_origem", file)
     rows = select_days(rows, days)
     rows = select_dimension(rows, "empresa", company)
-    if kind == "contact":
-        summary = daily_summary(rows)
-    else:
-        summary = daily_summary(rows, CONTRACT_ACTIVE, CONTRACT_INACTIVE)
+    states = () if kind == "contact" else (CONTRACT_ACTIVE, CONTRACT_INACTIVE)
     distribution = message_distribution(rows)
     if kind == "contact" and status_rollup is not None:
-        distribution = status_as_messages(status_rollup)
-    result = {"summary": summary_with_total(summary), "distribution": distribution}
+        selected = rows.limit(1).agg(F.count(F.lit(1))).scalar()
+        distribution = status_as_messages(status_rollup.where(selected > 0))
+    result = {"summary": summary_and_total(rows, *states), "distribution": distribution}
+    if file_stats is not None:
+        result["file_statistics"] = file_statistics(file_stats)
     if "arquivo_origem" in rows.columns:
         result["files"] = (
             rows.groupBy("arquivo_origem")

@@ -26,8 +26,9 @@ def finished_rows(state: DataFrame, clients: DataFrame, phones: DataFrame, email
         .join(phones.select(F.col("id").alias("_p"), F.col("numero").alias("telefone_extraido")), "_p", "left")
         .join(emails.select(F.col("id").alias("_e"), F.col("endereco").alias("email_extraido")), "_e", "left")
     )
+    created = [c for c in ("data_criacao",) if c in state.columns]
     return linked.select(
-        "id", "rut", "dv", "nome", "telefone_extraido", "email_extraido", "status", "data_update"
+        "id", "rut", "dv", "nome", "telefone_extraido", "email_extraido", "status", *created, "data_update"
     )
 
 

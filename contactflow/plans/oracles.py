@@ -447,6 +447,9 @@ ORACLES: dict[str, str] = {
     "p29_landed_fields": """SELECT line_no, rut, CASE WHEN sucesso = '1' THEN telefone_validado ELSE '' END AS telefone_validado,
       CASE WHEN sucesso = '1' THEN email_validado ELSE '' END AS email_validado, CASE WHEN sucesso = '1' THEN '1' ELSE '0' END AS sucesso,
       CASE WHEN sucesso = '1' THEN '' WHEN erro = '' THEN 'Erro ou retorno desconhecido' ELSE erro END AS erro FROM macro_result""",
+    "p29_landed_pages": """SELECT line_no, CASE WHEN sucesso = '1' THEN telefone_validado ELSE '' END AS telefone_validado,
+      CASE WHEN sucesso = '1' THEN email_validado ELSE '' END AS email_validado, CASE WHEN sucesso = '1' THEN '1' ELSE '0' END AS sucesso,
+      CASE WHEN sucesso = '1' THEN '' ELSE 'La póliza nº ' || line_no || ' <no> existe' END AS erro FROM macro_result""",
     # --- filters
     "f01_rejected_rows": f"""SELECT line_no, rut, CASE WHEN trim(rut) = '' THEN 'blank key' WHEN n IS NULL THEN 'key is not numeric' ELSE 'key is too long' END AS reason
       FROM (SELECT *, {rut('rut')} AS n FROM raw_clients) WHERE n IS NULL OR length(n) > 8""",
@@ -471,6 +474,10 @@ ORACLES: dict[str, str] = {
     "j04_finished_contacts": """SELECT w.id, c.rut, c.dv, c.nome, p.numero AS telefone_extraido, e.endereco AS email_extraido, w.status, w.data_update
       FROM work_state w JOIN clients c ON c.id = w.cliente_id LEFT JOIN linked_phones p ON p.id = w.telefone_id LEFT JOIN emails e ON e.id = w.email_id
       WHERE w.status IN ('telefone_validado', 'telefone_nao_validado')""",
+    "j04_finished_contacts_created": """SELECT w.id, c.rut, c.dv, c.nome, p.numero AS telefone_extraido, e.endereco AS email_extraido, w.status,
+        w.data_update - INTERVAL 1 DAY AS data_criacao, w.data_update
+      FROM work_state w JOIN clients c ON c.id = w.cliente_id LEFT JOIN linked_phones p ON p.id = w.telefone_id LEFT JOIN emails e ON e.id = w.email_id
+      WHERE w.status IN ('telefone_validado', 'telefone_nao_validado')""",
     "j05_client_contacts": """SELECT c.id AS cliente_id, c.rut, c.dv, c.nome, c.sexo, c.data_nascimento, x.tipo, x.valor, x.comuna, x.region, x.origem
       FROM clients c LEFT JOIN (
         SELECT cliente_id, 'endereco' AS tipo, direccion AS valor, comuna, region, NULL AS origem FROM addresses
@@ -507,6 +514,8 @@ ORACLES: dict[str, str] = {
     "a11_report_summary": f"""SELECT unnest(['Total clientes únicos', 'Cidades (comunas)', 'Regiões (inc. sem região)', 'Arquivo base', 'Data de geração']) AS informacao,
       unnest([CAST(sum(total) AS VARCHAR), CAST(count(*) AS VARCHAR), CAST(count(DISTINCT region) AS VARCHAR), 'clientes.txt', '07/04/2026 12:00:00']) AS valor FROM {BY_COMMUNE}""",
     "a12_phone_text": f"SELECT cliente_id, 0 AS parte, telefones FROM {tels(';')}",
+    "a12_phone_rows": """SELECT cliente_id, row_number() OVER (PARTITION BY cliente_id ORDER BY first_line, numero) AS posicao, numero
+      FROM (SELECT cliente_id, numero, min(line_no) AS first_line FROM phones WHERE numero IS NOT NULL GROUP BY 1, 2)""",
     "a13_contract_report": f"SELECT * FROM {CONTRACT_REPORT}",
     "a14_batch_composition": f"SELECT status_atual, fornecedor, count(*) AS qtd FROM {batch(2000)} GROUP BY 1, 2",
     "a15_import_counters": import_counters("(SELECT * FROM clients WHERE sexo = 'F')"),
@@ -556,6 +565,9 @@ ORACLES: dict[str, str] = {
     # --- set operations
     "u01_provenance_union": f"""SELECT {PROV} FROM (SELECT x.*, u.uc, 'cliente_uc_id' AS origem_uc FROM {CONFIRMED} x JOIN units u ON u.id = x.cliente_uc_id)
       UNION ALL SELECT {PROV} FROM {by_history(f'(SELECT * FROM {CONFIRMED} WHERE cliente_uc_id IS NULL)')}""",
+    "u01_provenance_phones": """SELECT cliente_id, row_number() OVER (PARTITION BY cliente_id ORDER BY first_line, numero) AS posicao, numero
+      FROM (SELECT cliente_id, numero, min(line_no) AS first_line FROM phones WHERE numero IS NOT NULL
+        AND cliente_id IN (SELECT cliente_id FROM contract_state WHERE resposta_id = 3) GROUP BY 1, 2)""",
     "u02_total_row": f"SELECT * FROM {total_row(summary(CONTRACT_ROLLUP, *CONTRACT))}",
     "u03_distinct_history": f"SELECT * FROM {HISTORY}",
     "u04_multi_file_precedence": f"""SELECT * FROM {outcomes('o', f'''(SELECT rut, {code()} AS code,
@@ -645,6 +657,7 @@ ORACLES: dict[str, str] = {
         UNION ALL SELECT 'email', origem, cliente_id FROM emails
         UNION ALL SELECT NULL, NULL, id FROM clients WHERE id NOT IN (SELECT cliente_id FROM addresses UNION SELECT cliente_id FROM linked_phones UNION SELECT cliente_id FROM emails)) x
       WHERE cliente_id IN (SELECT id FROM clients) GROUP BY 1, 2""",
+    "x04_dashboard_nothing_selected": "SELECT '' AS mensagem, CAST(0 AS BIGINT) AS quantidade WHERE false",
     "x04_dashboard_summary": both(summary(f"(SELECT * FROM {DAY} WHERE strftime(dia, '%Y-%m') IN ('1997-05', '1998-10'))", *CONTACT)),
     "x04_dashboard_distribution": distribution(
         f"(SELECT * FROM {CONTRACT_ROLLUP} WHERE fornecedor = 'fornecedor1' AND empresa = 'AMERICA')", "resposta_status <> 'pendente'"
@@ -682,8 +695,15 @@ SAME = {
     "m06_consume_log": "m06_consume",
     "m09_update_buckets": "m09_replace_addresses",
     "s11_update_buckets": "s11_update_join",
+    "f03_stored_days": "f03_day_selection",
+    "x01_sql_interpret_body": "p15_interpret_body",
+    "x03_rows_pending": "w01_latest_pending",
+    "x03_rows_finished": "j04_finished_contacts_created",
+    "x04_dashboard_file_statistics": "a19_file_statistics",
 }
 ORACLES |= {new: ORACLES[old] for new, old in SAME.items()}
+ORACLES["x03_rows_client_contacts"] = ORACLES["j05_client_contacts"].replace("FROM phones", "FROM linked_phones")
+DATES["x03_rows_client_contacts"] = "data_nascimento"
 DATES |= {new: DATES[old] for new, old in SAME.items() if old in DATES}
 
 

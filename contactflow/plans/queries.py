@@ -207,7 +207,7 @@ def written_rollups(i, name) -> str:
 @query
 def s12_full_refresh(i):
     path = written_rollups(i, "refresh")
-    return i.spark.read.parquet(f"{path}/day")
+    return i.spark.read.parquet(f"{path}/day").drop("mes")
 
 
 @query
@@ -281,12 +281,12 @@ def p07_clean_region(i):
 
 @query
 def p08_clean_commune(i):
-    return i.raw_clients.select("line_no", geo.clean_commune(col("comuna")).alias("comuna"))
+    return geo.with_clean_commune(i.raw_clients.select("line_no", "comuna"), "comuna", "comuna")
 
 
 @query
 def p08_clean_commune_folded_keys(i):
-    return i.raw_clients.select("line_no", geo.clean_commune(col("comuna"), fold_keys=True).alias("comuna"))
+    return geo.with_clean_commune(i.raw_clients.select("line_no", "comuna"), "comuna", "comuna", fold_keys=True)
 
 
 @query
@@ -428,6 +428,21 @@ def p29_landed_fields(i):
     return rows.select("line_no", "rut", "r.*")
 
 
+@query
+def p29_landed_pages(i):
+    """Pages as forms are written by hand: bare and single quotes, nested tags, named and numeric entities."""
+    ok = F.concat(
+        F.lit("<FORM><p>T&eacute;l<INPUT class=x id=telefono VALUE='"), "telefone_validado", F.lit("'><br><input value=\""),
+        F.replace("email_validado", F.lit("@"), F.lit("&#64;")), F.lit("\" id='correoElectronico' disabled></form>"),
+    )
+    bad = F.concat(
+        F.lit("<ul><li>a<li>b</ul><div class=\"error x alerta\"> La <b>p&oacute;liza <i>n&#xBA;</i></b> <span>"),
+        "line_no", F.lit("<script>var x = '</b>';</script></span><br/> &lt;no&gt; existe </div> fin"),
+    )
+    rows = i.macro_result.select("line_no", F.when(col("sucesso") == "1", ok).otherwise(bad).alias("body"))
+    return rows.select("line_no", outcome.landed_fields(col("body")).alias("r")).select("line_no", "r.*")
+
+
 # --- filters -----------------------------------------------------------------
 @query
 def f01_rejected_rows(i):
@@ -453,6 +468,14 @@ def f03_month_without_days(i):
     return rollups.select_days(day_rollup(i), ["mes:2031-01"])
 
 
+@query
+def f03_stored_days(i):
+    """The selection on the stored rollup, two of whose days were written anew by themselves."""
+    path = written_rollups(i, "days")
+    rollups.refresh_days(path, i.work_state, i.respostas, [dt.date(1997, 5, 3), dt.date(1998, 10, 3)], now())
+    return rollups.stored_days(i.spark, path, ["mes:1997-05", "1998-10-03"])
+
+
 def contract_rollup(i) -> DataFrame:
     return rollups.contract_rollup(
         i.contract_state, i.contract_respostas, i.companies, i.suppliers, i.contract_clients, i.staging_rows, i.imports
@@ -531,6 +554,15 @@ def j04_finished_contacts(i):
     return views.finished_rows(i.work_state, i.clients, i.linked_phones, i.emails)
 
 
+def with_creation(i) -> DataFrame:
+    return i.work_state.withColumn("data_criacao", col("data_update") - F.expr("INTERVAL 1 DAY"))
+
+
+@query
+def j04_finished_contacts_created(i):
+    return views.finished_rows(with_creation(i), i.clients, i.linked_phones, i.emails)
+
+
 @query
 def j05_client_contacts(i):
     return export.client_contacts(i.clients, i.addresses, i.phones, i.emails)
@@ -628,7 +660,7 @@ def a04_daily_summary(i):
 
 @query
 def a05_summary_with_total(i):
-    return rollups.summary_with_total(rollups.daily_summary(day_rollup(i)))
+    return rollups.summary_and_total(day_rollup(i))
 
 
 @query
@@ -683,6 +715,11 @@ def a12_phone_text(i):
     return contracts.phone_text(i.phones, order="line_no")
 
 
+@query
+def a12_phone_rows(i):
+    return contracts.phone_rows(i.phones, order="line_no")
+
+
 @query
 def a13_contract_report(i):
     return contract_report(i)
@@ -831,6 +868,12 @@ def u01_provenance_union(i):
     )
 
 
+@query
+def u01_provenance_phones(i):
+    """The phone lists of the provenance report, one number per row."""
+    return contracts.phones_of(contracts.confirmed(i.contract_state), i.phones, "line_no")
+
+
 @query
 def u02_total_row(i):
     return rollups.summary_total(rollups.daily_summary(contract_rollup(i), CONTRACT_ACTIVE, CONTRACT_INACTIVE))
@@ -1157,6 +1200,13 @@ def x01_sql_interpret(i):
         FROM (SELECT *, interpretar(sucesso, telefone_validado, email_validado, erro) AS o FROM x01_results)""")
 
 
+@query
+def x01_sql_interpret_body(i):
+    registry.register(i.spark)
+    i.legacy_body.createOrReplaceTempView("x01_bodies")
+    return i.spark.sql("SELECT event_id, o.* FROM (SELECT event_id, interpretar_corpo(body) AS o FROM x01_bodies)")
+
+
 @query
 def x02_claimable(i):
     return state.claimable(i.work_state, i.clients).select("id", "cliente_id", "rut")
@@ -1192,6 +1242,38 @@ def x03_view_client_contacts(i):
         FROM view_client_contacts GROUP BY tipo, origem""")
 
 
+def registered_whole(i) -> SparkSession:
+    views.register_views(i.spark, with_creation(i), i.clients, i.addresses, i.linked_phones, i.emails)
+    return i.spark
+
+
+@query
+def x03_rows_pending(i):
+    return registered_whole(i).sql("SELECT id, cliente_id, rut, data_update FROM view_pending")
+
+
+@query
+def x03_rows_finished(i):
+    return registered_whole(i).sql("SELECT * FROM view_finished")
+
+
+@query
+def x03_rows_client_contacts(i):
+    return registered_whole(i).sql("SELECT * FROM view_client_contacts")
+
+
+@query
+def x04_dashboard_file_statistics(i):
+    stats = i.file_stats.withColumn("data_carga", F.to_date("data_carga"))
+    return rollups.dashboard(contract_rollup(i), kind="contract", supplier="fornecedor2", file_stats=stats)["file_statistics"]
+
+
+@query
+def x04_dashboard_nothing_selected(i):
+    found = rollups.dashboard(day_rollup(i), rollups.status_distribution(i.work_state), days=["2031-01-01"])
+    return found["distribution"].unionByName(found["summary"].select(col("dia").alias("mensagem"), col("total").alias("quantidade")))
+
+
 @query
 def x04_dashboard_summary(i):
     return rollups.dashboard(day_rollup(i), rollups.status_distribution(i.work_state), days=["mes:1997-05", "mes:1998-10"])["summary"]
