@@ -118,7 +118,7 @@ def ingest(
     groups = materialize(
         spark, rows.groupBy("digest").agg(F.min("order_id").alias("rep"), F.count(F.lit(1)).alias("n")), "digests"
     )
-    known = spark.createDataFrame([], "digest string, known_id long, known_norm string")
+    known = spark.range(0).selectExpr("CAST(id AS STRING) AS digest", "id AS known_id", "CAST(id AS STRING) AS known_norm")
     for snapshot in snapshots:
         maybe = screen(groups, snapshot)
         found = snapshot.rows.join(maybe, "digest").select(

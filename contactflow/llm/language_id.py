@@ -288,7 +288,10 @@ def drop_foreign(spark: SparkSession, judged: DataFrame, model: Model, deviation
     """
     own = judged.select(F.col(label).cast("string").alias("label"), f"{name}.*").where((F.col("label") == F.col("lang_pred")) & F.col("has_letter"))
     spread = own.groupBy("lang_pred").agg(F.avg("fit").alias("mean"), F.var_pop("fit").alias("var"))
-    one = spark.createDataFrame(list(_gram_variance(model).items()), "lang_pred string, one double")
+    pairs = [F.struct(F.lit(lang).alias("lang_pred"), F.lit(v).alias("one")) for lang, v in _gram_variance(model).items()]
+    if not pairs:
+        return judged
+    one = spark.range(1).select(F.inline(F.array(*pairs)))
     limits = spread.join(one, "lang_pred").select("lang_pred", F.struct("mean", "var", "one").alias("__limit"))
     joined = judged.join(F.broadcast(limits.withColumnRenamed("lang_pred", "__lang")), F.col(f"{name}.lang_pred") == F.col("__lang"), "left")
     own_variance = F.lit(float(len(ORDERS))) * F.col("__limit.one") / F.col(f"{name}.grams")

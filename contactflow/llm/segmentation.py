@@ -586,6 +586,7 @@ def sample_segmentations(docs: DataFrame, model: str, k: int, seed: int = 0, wit
         for batch in batches:
             yield from segment(batch)
         LATTICES.clear()
+        vocabulary.cache_clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(released(run), SCHEMA)
