@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.fixed_values import (
@@ -106,14 +106,20 @@ def phones_of(chosen: DataFrame, phones: DataFrame, order: str = "id") -> DataFr
     return phone_rows(phones.join(chosen.select("cliente_id").distinct(), "cliente_id", "left_semi"), order)
 
 
-def phone_text(phones: DataFrame, separator: str = ";", order: str = "id") -> DataFrame:
+def phone_text(
+    phones: DataFrame, separator: str = ";", order: str = "id", max_cell: int | None = None
+) -> DataFrame:
     """Distinct phones per client, joined in id order; one row per client, with `parte` 0.
 
     Phones are made distinct before they are collected, and joined in pieces
     of an id range, so that only the last step, which writes a client's text,
-    sees all of the client. `phone_rows` gives the same list without such a text.
+    sees all of the client. With `max_cell` the caller asks for several cells
+    instead (`parte` 0, 1, ...), each below twice that number; no job does.
+    `phone_rows` gives the same list without a text per client.
     """
     distinct = phones.groupBy("cliente_id", "numero").agg(F.min(order).alias("_at"))
+    if max_cell:
+        return _cells(distinct, separator, max_cell)
     return (
         distinct.groupBy("cliente_id", F.expr(f"_at div {PIECE}").alias("_range"))
         .agg(F.when(F.count("numero") > 0, _in_order(separator, "_at", "numero")).alias("_text"))
@@ -129,6 +135,23 @@ def _in_order(separator: str, at: str, text: str) -> Column:
     return F.array_join(F.transform(ordered, lambda x: x[text]), separator)
 
 
+def _cells(distinct: DataFrame, separator: str, max_cell: int) -> DataFrame:
+    """Cells by id ranges, whose counts say which cell a range belongs to."""
+    ranged = distinct.withColumn("_range", F.expr(f"_at div {max_cell}"))
+    before = Window.partitionBy("cliente_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    cells = (
+        ranged.groupBy("cliente_id", "_range")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .select("cliente_id", "_range", F.expr(f"_before div {max_cell}").alias("parte"))
+    )
+    return (
+        ranged.join(cells, ["cliente_id", "_range"])
+        .groupBy("cliente_id", "parte")
+        .agg(_in_order(separator, "_at", "numero").alias("telefones"))
+    )
+
+
 def with_phone_text(rows: DataFrame, chosen: DataFrame, phones: DataFrame, separator: str = ";") -> DataFrame:
     """Rows with their client's phones; only phones of the `chosen` clients are joined.
 
