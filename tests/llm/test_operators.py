@@ -361,6 +361,16 @@ def test_segmentation_draws_follow_the_lattice():
         assert draws[1][path] / 3000 == pytest.approx(second, abs=0.04)
 
 
+def test_url_filter_takes_long_hosts(spark):
+    """A host of 100,000 labels: only the endings that a rule could name are made."""
+    long = ".".join(["a"] * 100_000)
+    pages = spark.createDataFrame([(1, f"http://{long}.Example.com/x", None), (2, f"http://{long}/", "")], "page_id long, url string, html string")
+    rules = spark.createDataFrame([("example.com", "/", "block"), ("org", "/fr/", "allow")], "host string, path string, action string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(spark, pages, rules).collect()}
+    assert got == {1: ("example.com/", "block"), 2: (None, "allow")}
+    assert url_filter.judge(spark, pages, rules.limit(0)).count() == 2
+
+
 def test_url_filter(spark):
     link = '<link rel="canonical" href="{}">'
     pages = spark.createDataFrame(
