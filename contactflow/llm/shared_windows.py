@@ -9,24 +9,25 @@ How windows are compared is left to an engine; this module brings together what
    documents lose it. What is left are the different contexts of each anchor, each at its first
    document. An anchor with one context has nothing to compare.
 2. Texts cut out the contexts that are left, and contexts meet by anchor.
-3. The engine finds, for each window of each context, the smallest id that holds it; the context's
-   own document loses the windows that a smaller id holds.
+3. Of each context the stretches stay whose windows have a hash that another document's context of
+   the anchor has too. The engine finds, for each window of them, the smallest id that holds it;
+   the context's own document loses the windows that a smaller id holds.
 
 Equal texts are one text with the smallest id; of the others nothing stays but what no window covers.
 An anchor of over CROWD different contexts does not bring them together: there each window travels
-under its own hash, and its places are streamed past its smallest id, so no group is ever held. All counts are of the input as it is given. Anchors and contexts are told
-apart by 112 bits of hash, windows in the engine by their units.
+under its own hash, and its places are streamed past its smallest id, so no group is ever held. All
+counts are of the input as it is given. Anchors and contexts are told apart by 112 bits of hash,
+windows by their units, in the engine and in the stream.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import groupby
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ CROWD = 128
 #: Bytes of text whose anchors share a partition.
 SHARE = 24 << 20
 #: Units that are searched for anchors, and context bytes that are compared, at once.
-BATCH_UNITS, BATCH_BYTES = 4_000_000, 600_000
+BATCH_UNITS, BATCH_BYTES = 4_000_000, 2_400_000
 #: Bytes that are kept of an anchor's hash (beside its partition) and of its context's.
 ANCHOR_BYTES, CONTEXT_BYTES = 6, 8
 ANCHOR_MASK = np.uint64((1 << 8 * ANCHOR_BYTES) - 1)
@@ -173,24 +174,31 @@ def _screen(table: pa.Table) -> pa.Table:
     })
 
 
-CONTEXT_SCHEMA = "key long, kind int, content binary, least long, orders binary, texts binary, starts binary, ends binary"
-CONTEXT_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), *[pa.binary()] * 4]
-#: Rows of a key, in the order in which they are read: contexts with their places, windows, places of windows, spans.
-CONTEXT, WINDOW, PLACES, SPANS = 0, 1, 2, 3
+CONTEXT_SCHEMA = "key long, kind int, content binary, least long, text long, start int, orders binary, texts binary, starts binary, ends binary"
+CONTEXT_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+CONTEXT_NAMES = [c.split()[0] for c in CONTEXT_SCHEMA.split(", ")]
+#: Kinds of rows: contexts with their places, windows with one place each, spans.
+CONTEXT, WINDOW, SPANS = 0, 1, 2
 
 
 def _contexts(units: Units):
     def emit(held: dict[tuple, list], rows: list[tuple]) -> pa.RecordBatch:
-        for (key, kind, content), (orders, texts, starts) in held.items():
+        for (key, content), (orders, texts, starts) in held.items():
             packed = (np.array(orders, np.int64).tobytes(), np.array(texts, np.int64).tobytes(), np.array(starts, np.int32).tobytes(), None)
-            if kind == CONTEXT:
-                rows.append((key, CONTEXT, content, min(orders), *packed))
-            else:
-                rows.append((key, WINDOW, content, min(orders), None, None, None, None))
-                rows.append((key, PLACES, content, None, *packed))
+            rows.append((key, CONTEXT, content, min(orders), None, None, *packed))
         columns = zip(*rows, strict=True) if rows else [[]] * len(CONTEXT_KINDS)
         arrays = [pa.array(v, k) for v, k in zip(columns, CONTEXT_KINDS, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in CONTEXT_SCHEMA.split(", ")])
+        return pa.RecordBatch.from_arrays(arrays, names=CONTEXT_NAMES)
+
+    def windows(parts, hashed: np.ndarray, order: int, text: int, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(starts), 100_000):
+            some = starts[at : at + 100_000]
+            keys = anchors.stretch_hashes(hashed, some, some + units.window).view(np.int64)
+            content = [units.join(parts[a : a + units.window]) for a in some.tolist()]
+            n = len(some)
+            columns = [keys, np.full(n, WINDOW), content, np.full(n, order), np.full(n, text), some]
+            arrays = [pa.array(v, k) for v, k in zip(columns, CONTEXT_KINDS, strict=False)]
+            yield pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(n, pa.binary())] * 4], names=CONTEXT_NAMES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = zstandard.ZstdDecompressor()
@@ -198,10 +206,10 @@ def _contexts(units: Units):
         rows: list[tuple] = []
         size = 0
 
-        def add(key: int, kind: int, content: bytes, order: int, text: int, start: int) -> int:
-            entry = held.get((key, kind, content))
+        def add(key: int, content: bytes, order: int, text: int, start: int) -> int:
+            entry = held.get((key, content))
             if entry is None:
-                held[key, kind, content] = ([order], [text], [start])
+                held[key, content] = ([order], [text], [start])
                 return len(content) + 300
             for column, value in zip(entry, (order, text, start), strict=True):
                 column.append(value)
@@ -219,16 +227,15 @@ def _contexts(units: Units):
                     ends = last[at] + units.window
                     new = np.flatnonzero(np.concatenate([[True], first[at][1:] > ends[:-1]]))
                     starts, ends = first[at][new].astype(np.int32), ends[np.append(new[1:], len(at)) - 1].astype(np.int32)
-                    rows.append((text, SPANS, None, None, np.full(len(new), order).tobytes(), np.full(len(new), text).tobytes(), starts.tobytes(), ends.tobytes()))
+                    rows.append((text, SPANS, None, None, None, None, np.full(len(new), order).tobytes(), np.full(len(new), text).tobytes(), starts.tobytes(), ends.tobytes()))
                 at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(mixed), np.uint64)))
                 for key, lo, hi in zip(value[at].tolist(), first[at].tolist(), last[at].tolist(), strict=True):
-                    size += add(key, CONTEXT, units.join(parts[lo : hi + units.window]), order, text, lo)
+                    size += add(key, units.join(parts[lo : hi + units.window]), order, text, lo)
                 at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(crowded), np.uint64)))
-                for lo, hi in zip(first[at].tolist(), last[at].tolist(), strict=True):
-                    for start in range(lo, hi + 1):
-                        content = units.join(parts[start : start + units.window])
-                        key = xxhash.xxh64_intdigest(content) - (1 << 63)
-                        size += add(key, WINDOW, content, order, text, start)
+                if len(at):
+                    count = last[at] - first[at] + 1
+                    starts = np.repeat(first[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
+                    yield from windows(parts, hashed, order, text, starts)
                 if size > 48 << 20 or len(rows) > 20_000:
                     yield emit(held, rows)
                     held, rows, size = {}, [], 0
@@ -264,48 +271,106 @@ def _spans(units: Units, engine: Engine):
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["order_id", "text_key", "lo", "hi"])
 
+    def shared(groups: list[list[tuple[bytes, int]]]) -> list[list[tuple[int, int, int]]]:
+        """Per group, (context, first, last) of each run of windows whose hash another id's context of the group has."""
+        parts = [units.hashes(units.split(c)) for g in groups for c, _ in g]
+        size = np.array([len(p) for p in parts])
+        lead = np.cumsum(size) - size
+        count = size - units.window + 1
+        owner = np.repeat(np.arange(len(parts)), count)
+        inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+        group = np.repeat(np.arange(len(groups)), [len(g) for g in groups])
+        hashed = anchors.gram_hashes(np.concatenate(parts), units.window)[lead[owner] + inner]
+        least = np.array([n for g in groups for _, n in g], np.int64)[owner]
+        by = np.lexsort((hashed, group[owner]))
+        value, where = hashed[by], group[owner][by]
+        begin = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (where[1:] != where[:-1])]))
+        mixed = np.minimum.reduceat(least[by], begin) < np.maximum.reduceat(least[by], begin)
+        some = np.zeros(len(owner), bool)
+        some[by] = np.repeat(mixed, np.diff(np.append(begin, len(by))))
+        at = np.flatnonzero(some)
+        new = np.flatnonzero(np.concatenate([[True], (np.diff(at) > 1) | (np.diff(owner[at]) > 0)])) if len(at) else at
+        ends = at[np.append(new[1:], len(at)) - 1] if len(at) else at
+        begins = at[new]
+        found: list[list[tuple[int, int, int]]] = [[] for _ in groups]
+        first = np.concatenate([[0], np.cumsum([len(g) for g in groups])])
+        for i, own, lo, hi in zip(group[owner[begins]].tolist(), owner[begins].tolist(), inner[begins].tolist(), inner[ends].tolist(), strict=True):
+            found[i].append((own - int(first[i]), lo, hi))
+        return found
+
     def compare(groups: list[dict[bytes, list[dict]]], out: list[list]) -> None:
-        listed = [list(g.items()) for g in groups]
-        found = engine([[(content, min(r["least"] for r in rows)) for content, rows in g] for g in listed])
-        for g, mins in zip(listed, found, strict=True):
-            for (_, rows), m in zip(g, mins, strict=True):
+        listed = [[(content, min(r["least"] for r in rows)) for content, rows in g.items()] for g in groups]
+        stretches = shared(listed)
+        strings: list[dict[bytes, int]] = []
+        cuts: list[list[bytes]] = []
+        for g, runs in zip(listed, stretches, strict=True):
+            held: dict[bytes, int] = {}
+            cuts.append([])
+            for own, lo, hi in runs:
+                content, least = g[own]
+                piece = units.join(units.split(content)[lo : hi + units.window])
+                held[piece] = min(held.get(piece, least), least)
+                cuts[-1].append(piece)
+            strings.append(held)
+        # Equal stretches are one string; a group of one string has nothing to compare.
+        chosen = [i for i, held in enumerate(strings) if len(held) > 1]
+        sorted_out = dict(zip(chosen, engine([list(strings[i].items()) for i in chosen]), strict=True)) if chosen else {}
+        for i, (g, runs) in enumerate(zip(groups, stretches, strict=True)):
+            known = dict(zip(strings[i], sorted_out[i], strict=True)) if i in sorted_out else {}
+            mins: dict[int, np.ndarray] = {}
+            for (own, lo, hi), piece in zip(runs, cuts[i], strict=True):
+                if own not in mins:
+                    content, least = listed[i][own]
+                    mins[own] = np.full(len(units.split(content)) - units.window + 1, least)
+                mins[own][lo : hi + 1] = known.get(piece, strings[i][piece])
+            for own, (content, rows) in enumerate(g.items()):
+                least = listed[i][own][1]
                 for row in rows:
-                    flagged(m, row, out)
-
-    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-        for batch in batches:
-            for at in range(0, len(batch), 2000):
-                yield from batch.slice(at, 2000).to_pylist()
+                    if own in mins:
+                        flagged(mins[own], row, out)
+                    elif np.frombuffer(row["orders"], np.int64).max() > least:
+                        flagged(np.full(len(units.split(content)) - units.window + 1, least), row, out)
+
+    def streamed(batch: pa.RecordBatch, before: tuple | None, out: list[list]) -> tuple:
+        """Places of windows past the smallest id of their window; rows come sorted by key, content and id."""
+        key, content, order = batch.column("key").to_numpy(), batch.column("content"), batch.column("least").to_numpy()
+        fresh = np.ones(len(key), bool)
+        fresh[1:] = (key[1:] != key[:-1]) | ~pc.equal(content[1:], content[:-1]).to_numpy(zero_copy_only=False)
+        fresh[0] = before is None or (int(key[0]), content[0].as_py()) != before[:2]
+        at = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
+        least = np.where(at >= 0, order[at], before[2] if before else 0)
+        gone = np.flatnonzero(order > least)
+        starts = batch.column("start").to_numpy()[gone]
+        for column, values in zip(out, (order[gone], batch.column("text").to_numpy()[gone], starts, starts + units.window), strict=True):
+            column.append(values)
+        return int(key[-1]), content[-1].as_py(), int(least[-1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: list[dict[bytes, list[dict]]] = []
-        size = 0
+        size, last, before = 0, None, None
         out: list[list] = [[], [], [], []]
-        for _, rows in groupby(rows_of(batches), key=lambda r: r["key"]):
-            group: dict[bytes, list[dict]] = {}
-            least: dict[bytes, int] = {}
-            for row in rows:
-                content = row["content"]
-                if row["kind"] == CONTEXT:
-                    if content not in group:
-                        size += len(content)
-                    group.setdefault(content, []).append(row)
-                elif row["kind"] == WINDOW:
-                    least[content] = min(least.get(content, row["least"]), row["least"])
-                elif row["kind"] == PLACES:
-                    flagged(np.array([least[content]]), row, out)
-                else:
-                    for column, name, kind in zip(out, ("orders", "texts", "starts", "ends"), (np.int64, np.int64, np.int32, np.int32), strict=True):
-                        column.append(np.frombuffer(row[name], kind))
-                if len(out[0]) > 20_000:
-                    yield result(out)
-                    out = [[], [], [], []]
-            if group:
-                groups.append(group)
-            if size > BATCH_BYTES:
-                compare(groups, out)
+        for batch in batches:
+            kind = batch.column("kind").to_numpy()
+            if (kind == WINDOW).any():
+                before = streamed(batch.filter(pa.array(kind == WINDOW)).drop_columns(["orders", "texts", "starts", "ends"]), before, out)
+            if (kind == SPANS).any():
+                some = batch.filter(pa.array(kind == SPANS))
+                for column, name, of in zip(out, ("orders", "texts", "starts", "ends"), (np.int64, np.int64, np.int32, np.int32), strict=True):
+                    column.append(np.frombuffer(b"".join(some.column(name).to_pylist()), of))
+            if (kind == CONTEXT).any():
+                for row in batch.filter(pa.array(kind == CONTEXT)).select(["key", "content", "least", "orders", "texts", "starts"]).to_pylist():
+                    if row["key"] != last:
+                        if size > BATCH_BYTES:
+                            compare(groups, out)
+                            groups, size = [], 0
+                        groups.append({})
+                        last = row["key"]
+                    if row["content"] not in groups[-1]:
+                        size += len(row["content"])
+                    groups[-1].setdefault(row["content"], []).append(row)
+            if len(out[0]) > 2000:
                 yield result(out)
-                groups, size, out = [], 0, [[], [], [], []]
+                out = [[], [], [], []]
         if groups:
             compare(groups, out)
         yield result(out)
@@ -376,7 +441,7 @@ def remove_repeats(
     small = raw.mapInArrow(_squeeze, raw.schema)
     cut = small.join(wanted, ["order_id", "text_key"]).select("order_id", "text_key", "text", "same", "mixed", "crowded")
     contexts = cut.mapInArrow(_contexts(units), CONTEXT_SCHEMA)
-    dealt = contexts.repartition(partitions, "key").sortWithinPartitions("key", "kind")
+    dealt = contexts.repartition(partitions, "key").sortWithinPartitions("key", "kind", "content", "least")
     found = dealt.mapInArrow(_spans(units, engine), "order_id long, text_key long, lo int, hi int")
     found = materialize(spark, found, "spans")
     by_text = found.groupBy("order_id", "text_key").agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs"))
