@@ -14,9 +14,10 @@ How windows are compared is left to an engine; this module brings together what
    the context's own document loses the windows that a smaller id holds.
 
 Equal texts are one text with the smallest id; of the others nothing stays but what no window covers.
-An anchor of over CROWD different contexts does not bring them together: there each window travels
-under its own hash, and its places are streamed past its smallest id, so no group is ever held. All
-counts are of the input as it is given. Anchors and contexts are told apart by 112 bits of hash,
+An anchor of over CROWD different contexts does not bring them together: there windows travel in
+runs of up to `stride`, under a hash of the units that all windows of a full run have in common, and
+are streamed in the order of ids past the smallest id of each window. What is kept of such a group
+are the different units at its edges, at most stride - 1 a window, never its rows. All counts are of the input as it is given. Anchors and contexts are told apart by 112 bits of hash,
 windows by their units, in the engine and in the stream.
 """
 
@@ -53,6 +54,7 @@ class Units(Protocol):
 
     window: int
     gram: int
+    stride: int  # 1 to 4; over 1 only for bytes
 
     def split(self, raw: bytes): ...
 
@@ -138,8 +140,11 @@ def _places(hashes: np.ndarray, contexts: np.ndarray) -> np.ndarray:
 SAME, MIXED, CROWDED = 1, 2, 3
 
 
-def _screen(table: pa.Table) -> pa.Table:
-    """Per document, the anchors of a partition whose contexts it loses (SAME), must compare (MIXED) or split (CROWDED)."""
+def _screen(table: pa.Table, buckets: int) -> pa.Table:
+    """Documents' anchors of a partition whose contexts they lose (SAME), must compare (MIXED) or split (CROWDED).
+
+    They come packed by bucket of documents, so that their rows grow with the places, not with documents times partitions.
+    """
     raw = {c: b"".join(table.column(c).to_pylist()) for c in ("orders", "counts", "hashes", "contexts")}
     orders, counts = np.frombuffer(raw["orders"], np.int64), np.frombuffer(raw["counts"], np.uint32)
     hashes, contexts = _long(raw["hashes"], ANCHOR_BYTES), _long(raw["contexts"], CONTEXT_BYTES)
@@ -148,8 +153,6 @@ def _screen(table: pa.Table) -> pa.Table:
     by = np.lexsort((contexts, hashes))
     key, own, ids = hashes[by], contexts[by], np.where(order >= LAST_ID - NAMELESS, LAST_ID, order)[by]
     begin, size = _runs(key)
-    if not len(begin):
-        return pa.table({"order_id": pa.array([], pa.int64()), **{c: pa.array([], pa.binary()) for c in ("same", "mixed", "crowded")}})
     # Runs of equal contexts within runs of equal anchors.
     fresh = np.ones(len(key), bool)
     fresh[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
@@ -162,22 +165,40 @@ def _screen(table: pa.Table) -> pa.Table:
     state = np.empty(len(key), np.int8)
     state[by] = fate
     use = np.flatnonzero(state)
-    begin, size = _runs(text[use])
-    rows = [use[a : a + n] for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
-    known = _places(hashes, contexts)
-    pick = lambda r, kind: known[r[state[r] == kind]].tobytes()
+    bucket = ((order[use].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)) % np.uint64(buckets)).astype(np.int32)
+    by = np.lexsort((order[use], bucket))
+    use, bucket = use[by], bucket[by]
+    known = _places(hashes[use], contexts[use])
+    begin, size = _runs(bucket)
+    rows = [slice(a, a + n) for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
     return pa.table({
-        "order_id": pa.array(order[use[begin]] if len(use) else [], pa.int64()),
-        "same": pa.array([pick(r, SAME) for r in rows], pa.binary()),
-        "mixed": pa.array([pick(r, MIXED) for r in rows], pa.binary()),
-        "crowded": pa.array([pick(r, CROWDED) for r in rows], pa.binary()),
+        "bucket": pa.array(bucket[begin], pa.int32()),
+        "orders": pa.array([order[use[r]].tobytes() for r in rows], pa.binary()),
+        "fates": pa.array([state[use[r]].tobytes() for r in rows], pa.binary()),
+        "places": pa.array([known[r].tobytes() for r in rows], pa.binary()),
     })
 
 
-CONTEXT_SCHEMA = "key long, kind int, content binary, least long, text long, start int, orders binary, texts binary, starts binary, ends binary"
-CONTEXT_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+def _gather(table: pa.Table) -> pa.Table:
+    """The places of each document of a bucket, by fate."""
+    orders, fates, places = (
+        np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("orders", np.int64), ("fates", np.int8), ("places", np.uint64))
+    )
+    by = np.lexsort((fates, orders))
+    orders, fates, places = orders[by], fates[by], places[by]
+    begin, size = _runs(orders)
+    found: dict[str, list] = {"name": orders[begin].tolist(), "same": [], "mixed": [], "crowded": []}
+    for a, n in zip(begin.tolist(), size.tolist(), strict=True):
+        cut = a + np.searchsorted(fates[a : a + n], (SAME, MIXED, CROWDED, CROWDED + 1))
+        for name, lo, hi in zip(("same", "mixed", "crowded"), cut[:-1], cut[1:], strict=True):
+            found[name].append(places[lo:hi].tobytes())
+    return pa.table({k: pa.array(v, pa.int64() if k == "name" else pa.binary()) for k, v in found.items()})
+
+
+CONTEXT_SCHEMA = "key long, kind int, content binary, least long, text long, start int, edges binary, orders binary, texts binary, starts binary, ends binary"
+CONTEXT_KINDS = [pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
 CONTEXT_NAMES = [c.split()[0] for c in CONTEXT_SCHEMA.split(", ")]
-#: Kinds of rows: contexts with their places, windows with one place each, spans.
+#: Kinds of rows: contexts with their places, runs of windows (their common units, and the edges) with one place each, spans.
 CONTEXT, WINDOW, SPANS = 0, 1, 2
 
 
@@ -185,18 +206,33 @@ def _contexts(units: Units):
     def emit(held: dict[tuple, list], rows: list[tuple]) -> pa.RecordBatch:
         for (key, content), (orders, texts, starts) in held.items():
             packed = (np.array(orders, np.int64).tobytes(), np.array(texts, np.int64).tobytes(), np.array(starts, np.int32).tobytes(), None)
-            rows.append((key, CONTEXT, content, min(orders), None, None, *packed))
+            rows.append((key, CONTEXT, content, min(orders), None, None, None, *packed))
         columns = zip(*rows, strict=True) if rows else [[]] * len(CONTEXT_KINDS)
         arrays = [pa.array(v, k) for v, k in zip(columns, CONTEXT_KINDS, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names=CONTEXT_NAMES)
 
-    def windows(parts, hashed: np.ndarray, order: int, text: int, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(starts), 100_000):
-            some = starts[at : at + 100_000]
-            keys = anchors.stretch_hashes(hashed, some, some + units.window).view(np.int64)
-            content = [units.join(parts[a : a + units.window]) for a in some.tolist()]
-            n = len(some)
-            columns = [keys, np.full(n, WINDOW), content, np.full(n, order), np.full(n, text), some]
+    def windows(parts, hashed: np.ndarray, order: int, text: int, place: np.ndarray, starts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Runs of windows that hold their anchor (at place) at the same offset divided by the stride."""
+        spare = units.stride - 1
+        run = (place - starts) // units.stride
+        begin = np.flatnonzero(np.concatenate([[True], (place[1:] != place[:-1]) | (run[1:] != run[:-1])]))
+        count = np.diff(np.append(begin, len(starts)))
+        lo, middle = starts[begin], place[begin] - units.stride * run[begin]
+        end = middle + units.window - spare
+        edges = np.zeros((len(begin), 2 + 2 * spare), np.uint8)
+        edges[:, 0], edges[:, 1] = lo - (middle - spare), count
+        if spare:
+            flat = np.frombuffer(parts, np.uint8)
+            for i in range(spare):
+                for at, column in ((middle - spare + i, 2 + i), (end + i, 2 + spare + i)):
+                    held = (at >= lo) & (at < lo + count - 1 + units.window)
+                    edges[held, column] = flat[at[held]]
+        keys = anchors.stretch_hashes(hashed, middle, end).view(np.int64)
+        for a in range(0, len(begin), 50_000):
+            of = slice(a, a + 50_000)
+            content = [units.join(parts[x:y]) for x, y in zip(middle[of].tolist(), end[of].tolist(), strict=True)]
+            n = len(content)
+            columns = [keys[of], np.full(n, WINDOW), content, np.full(n, order), np.full(n, text), lo[of], [e.tobytes() for e in edges[of]]]
             arrays = [pa.array(v, k) for v, k in zip(columns, CONTEXT_KINDS, strict=False)]
             yield pa.RecordBatch.from_arrays([*arrays, *[pa.nulls(n, pa.binary())] * 4], names=CONTEXT_NAMES)
 
@@ -219,23 +255,23 @@ def _contexts(units: Units):
             for order, text, raw, same, mixed, crowded in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 parts = units.split(tool.decompress(raw))
                 hashed = units.hashes(parts)
-                _, value, first, last = anchors.find(hashed, units.gram, units.window)
+                spot, value, first, last = anchors.find(hashed, units.gram, units.window)
                 place = _places(value, anchors.stretch_hashes(hashed, first, last + units.window))
                 value = value.view(np.int64)
-                at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(same), np.uint64)))
+                at = np.flatnonzero(np.isin(place, np.frombuffer(same, np.uint64)))
                 if len(at):
                     ends = last[at] + units.window
                     new = np.flatnonzero(np.concatenate([[True], first[at][1:] > ends[:-1]]))
                     starts, ends = first[at][new].astype(np.int32), ends[np.append(new[1:], len(at)) - 1].astype(np.int32)
-                    rows.append((text, SPANS, None, None, None, None, np.full(len(new), order).tobytes(), np.full(len(new), text).tobytes(), starts.tobytes(), ends.tobytes()))
-                at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(mixed), np.uint64)))
+                    rows.append((text, SPANS, None, None, None, None, None, np.full(len(new), order).tobytes(), np.full(len(new), text).tobytes(), starts.tobytes(), ends.tobytes()))
+                at = np.flatnonzero(np.isin(place, np.frombuffer(mixed, np.uint64)))
                 for key, lo, hi in zip(value[at].tolist(), first[at].tolist(), last[at].tolist(), strict=True):
                     size += add(key, units.join(parts[lo : hi + units.window]), order, text, lo)
-                at = np.flatnonzero(np.isin(place, np.frombuffer(b"".join(crowded), np.uint64)))
+                at = np.flatnonzero(np.isin(place, np.frombuffer(crowded, np.uint64)))
                 if len(at):
                     count = last[at] - first[at] + 1
                     starts = np.repeat(first[at] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-                    yield from windows(parts, hashed, order, text, starts)
+                    yield from windows(parts, hashed, order, text, np.repeat(spot[at], count), starts)
                 if size > 48 << 20 or len(rows) > 20_000:
                     yield emit(held, rows)
                     held, rows, size = {}, [], 0
@@ -332,18 +368,38 @@ def _spans(units: Units, engine: Engine):
                         flagged(np.full(len(units.split(content)) - units.window + 1, least), row, out)
 
     def streamed(batch: pa.RecordBatch, before: tuple | None, out: list[list]) -> tuple:
-        """Places of windows past the smallest id of their window; rows come sorted by key, content and id."""
+        """Places of windows past the smallest id of their window; rows come sorted by key, content and id.
+
+        before is the last key and content, and the smallest id of each window met under them.
+        """
         key, content, order = batch.column("key").to_numpy(), batch.column("content"), batch.column("least").to_numpy()
+        text, start = batch.column("text").to_numpy(), batch.column("start").to_numpy()
         fresh = np.ones(len(key), bool)
         fresh[1:] = (key[1:] != key[:-1]) | ~pc.equal(content[1:], content[:-1]).to_numpy(zero_copy_only=False)
         fresh[0] = before is None or (int(key[0]), content[0].as_py()) != before[:2]
-        at = np.maximum.accumulate(np.where(fresh, np.arange(len(key)), -1))
-        least = np.where(at >= 0, order[at], before[2] if before else 0)
-        gone = np.flatnonzero(order > least)
-        starts = batch.column("start").to_numpy()[gone]
-        for column, values in zip(out, (order[gone], batch.column("text").to_numpy()[gone], starts, starts + units.window), strict=True):
-            column.append(values)
-        return int(key[-1]), content[-1].as_py(), int(least[-1])
+        group = np.cumsum(fresh)  # 0 goes on from the last batch
+        spare = units.stride - 1
+        edges = np.frombuffer(b"".join(batch.column("edges").to_pylist()), np.uint8).reshape(len(key), -1).astype(np.int64)
+        known = dict(before[2]) if group[-1] == 0 else {}
+        for i in range(units.stride):
+            row = np.flatnonzero((edges[:, 0] <= i) & (i < edges[:, 0] + edges[:, 1]))
+            if not len(row):
+                continue
+            code = np.full(len(row), i, np.int64)
+            for column in (*range(2 + i, 2 + spare), *range(2 + spare, 2 + spare + i)):
+                code = code << 8 | edges[row, column]
+            kinds, at, back = np.unique(group[row] << 32 | code, return_index=True, return_inverse=True)
+            least = order[row[at]]
+            for j in range(int(np.searchsorted(kinds, 1 << 32))):
+                least[j] = before[2].get(int(kinds[j]), least[j])
+            lead = int(group[-1]) << 32
+            for j in range(int(np.searchsorted(kinds, lead)), len(kinds)):
+                known[int(kinds[j]) - lead] = int(least[j])
+            gone = row[order[row] > least[back]]
+            starts = start[gone] + (i - edges[gone, 0])
+            for out_column, values in zip(out, (order[gone], text[gone], starts, starts + units.window), strict=True):
+                out_column.append(values)
+        return int(key[-1]), content[-1].as_py(), known
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: list[dict[bytes, list[dict]]] = []
@@ -434,10 +490,10 @@ def remove_repeats(
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
     raw = rows.select("order_id", "text_key", F.col("text").cast("binary").alias("text"))
     packed = raw.select(_named("order_id", "text_key").alias("name"), "text").mapInArrow(_pack(units, partitions), "part int, orders binary, counts binary, hashes binary, contexts binary")
-    shared = packed.groupBy("part").applyInArrow(_screen, "order_id long, same binary, mixed binary, crowded binary")
-    lists = [F.collect_list(c).alias(c) for c in ("same", "mixed", "crowded")]
+    shared = packed.groupBy("part").applyInArrow(lambda table: _screen(table, partitions), "bucket int, orders binary, fates binary, places binary")
+    flagged = shared.groupBy("bucket").applyInArrow(_gather, "name long, same binary, mixed binary, crowded binary")
     named = reps.withColumn("name", _named("order_id", "text_key"))
-    wanted = shared.groupBy(F.col("order_id").alias("name")).agg(*lists).join(named, "name")
+    wanted = flagged.join(named, "name")
     small = raw.mapInArrow(_squeeze, raw.schema)
     cut = small.join(wanted, ["order_id", "text_key"]).select("order_id", "text_key", "text", "same", "mixed", "crowded")
     contexts = cut.mapInArrow(_contexts(units), CONTEXT_SCHEMA)

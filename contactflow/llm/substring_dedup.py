@@ -33,6 +33,8 @@ HASHES = _Hashes()
 class WordUnits:
     """Words [^\\x20\\x09-\\x0D]+, unchanged."""
 
+    stride = 1
+
     def __init__(self, window: int, gram: int) -> None:
         self.window, self.gram = window, gram
 
