@@ -171,9 +171,11 @@ def _screen(table: pa.Table, buckets: int) -> pa.Table:
     known = _places(hashes[use], contexts[use])
     begin, size = _runs(bucket)
     rows = [slice(a, a + n) for a, n in zip(begin.tolist(), size.tolist(), strict=True)]
+    runs = [_runs(order[use[r]]) for r in rows]
     return pa.table({
         "bucket": pa.array(bucket[begin], pa.int32()),
-        "orders": pa.array([order[use[r]].tobytes() for r in rows], pa.binary()),
+        "orders": pa.array([order[use[r]][first].tobytes() for r, (first, _) in zip(rows, runs, strict=True)], pa.binary()),
+        "counts": pa.array([count.astype(np.uint32).tobytes() for _, count in runs], pa.binary()),
         "fates": pa.array([state[use[r]].tobytes() for r in rows], pa.binary()),
         "places": pa.array([known[r].tobytes() for r in rows], pa.binary()),
     })
@@ -181,9 +183,11 @@ def _screen(table: pa.Table, buckets: int) -> pa.Table:
 
 def _gather(table: pa.Table) -> pa.Table:
     """The places of each document of a bucket, by fate."""
-    orders, fates, places = (
-        np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("orders", np.int64), ("fates", np.int8), ("places", np.uint64))
+    orders, counts, fates, places = (
+        np.frombuffer(b"".join(table.column(c).to_pylist()), t)
+        for c, t in (("orders", np.int64), ("counts", np.uint32), ("fates", np.int8), ("places", np.uint64))
     )
+    orders = np.repeat(orders, counts)
     by = np.lexsort((fates, orders))
     orders, fates, places = orders[by], fates[by], places[by]
     begin, size = _runs(orders)
@@ -490,7 +494,7 @@ def remove_repeats(
     partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // SHARE))
     raw = rows.select("order_id", "text_key", F.col("text").cast("binary").alias("text"))
     packed = raw.select(_named("order_id", "text_key").alias("name"), "text").mapInArrow(_pack(units, partitions), "part int, orders binary, counts binary, hashes binary, contexts binary")
-    shared = packed.groupBy("part").applyInArrow(lambda table: _screen(table, partitions), "bucket int, orders binary, fates binary, places binary")
+    shared = packed.groupBy("part").applyInArrow(lambda table: _screen(table, partitions), "bucket int, orders binary, counts binary, fates binary, places binary")
     flagged = shared.groupBy("bucket").applyInArrow(_gather, "name long, same binary, mixed binary, crowded binary")
     named = reps.withColumn("name", _named("order_id", "text_key"))
     wanted = flagged.join(named, "name")
@@ -499,7 +503,7 @@ def remove_repeats(
     contexts = cut.mapInArrow(_contexts(units), CONTEXT_SCHEMA)
     dealt = contexts.repartition(partitions, "key").sortWithinPartitions("key", "kind", "content", "least")
     found = dealt.mapInArrow(_spans(units, engine), "order_id long, text_key long, lo int, hi int")
-    found = materialize(spark, found, "spans")
+    # Not written in between: so both joins with the texts share one exchange of them.
     by_text = found.groupBy("order_id", "text_key").agg(F.collect_list("lo").alias("lows"), F.collect_list("hi").alias("highs"))
     changed = small.join(by_text, ["order_id", "text_key"]).select("order_id", "text_key", "text", "lows", "highs")
     changed = changed.mapInArrow(

@@ -65,6 +65,16 @@ def expected_removal(rows, split, join, window=50):
     return out
 
 
+def in_batches(spans, rows):
+    """_spans whose tasks get batches of so many rows, so that equal windows lie in several."""
+
+    def build(units, engine):
+        run = spans(units, engine)
+        return lambda batches: run(b.slice(a, rows) for b in batches for a in range(0, len(b), rows))
+
+    return build
+
+
 @pytest.mark.parametrize("crowd", [128, 1])
 def test_substring_dedup(spark, make, sha, monkeypatch, crowd):
     monkeypatch.setattr(shared_windows, "CROWD", crowd)
@@ -75,9 +85,10 @@ def test_substring_dedup(spark, make, sha, monkeypatch, crowd):
     assert substring_dedup.deduplicate(spark, make([])).count() == 0
 
 
-@pytest.mark.parametrize("crowd", [128, 1])
-def test_suffix_dedup(spark, make, sha, monkeypatch, crowd):
+@pytest.mark.parametrize(("crowd", "batch"), [(128, 10_000), (1, 10_000), (1, 3)])
+def test_suffix_dedup(spark, make, sha, monkeypatch, crowd, batch):
     monkeypatch.setattr(shared_windows, "CROWD", crowd)
+    monkeypatch.setattr(shared_windows, "_spans", in_batches(shared_windows._spans, batch))
     rows = shared_passages()
     got = suffix_dedup.deduplicate(spark, make(rows)).collect()
     want = expected_removal(rows, list, bytes)
