@@ -291,6 +291,8 @@ def _spans(units: Units, engine: Engine):
     def flagged(mins: np.ndarray, row: dict, out: list[list]) -> None:
         low, high = int(mins.min()), int(mins.max())
         orders, texts, starts = (np.frombuffer(row[c], t) for c, t in (("orders", np.int64), ("texts", np.int64), ("starts", np.int32)))
+        if orders.max() <= low:
+            return
         whole = orders > high
         some = np.flatnonzero((orders > low) & ~whole)
         out[0].append(orders[whole])
@@ -368,7 +370,7 @@ def _spans(units: Units, engine: Engine):
                 for row in rows:
                     if own in mins:
                         flagged(mins[own], row, out)
-                    elif np.frombuffer(row["orders"], np.int64).max() > least:
+                    elif len(row["orders"]) > 8 or row["least"] > least:  # else its only place is the smallest
                         flagged(np.full(len(units.split(content)) - units.window + 1, least), row, out)
 
     def streamed(batch: pa.RecordBatch, before: tuple | None, out: list[list]) -> tuple:
