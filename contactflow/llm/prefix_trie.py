@@ -1,6 +1,6 @@
 """Prefix trie of conversations: nodes, members, leaves and the tokens that shared prefixes save.
 
-Turns become dictionary ids, conversations sequences of them. Distinct sequences are dealt by range
+Turns become digests, conversations sequences of them. Distinct sequences are dealt by range
 of their order; each shard is read in blocks, every block becomes a ternary search tree, and nodes
 that a neighbouring block shares are merged by key.
 """
@@ -30,41 +30,39 @@ BLOCK_TURNS = 100_000
 PIECE_IDS = 4096
 
 
-def encode_turns(spark: SparkSession, conversations: DataFrame) -> DataFrame:
-    """(conv, turns array<long>, sizes array<int>) per conversation, in order of turn, null first.
+def encode_turns(conversations: DataFrame) -> DataFrame:
+    """(conv, turns array<binary>, sizes array<int>) per conversation, in order of turn, null first.
 
-    Equal turn numbers go by the SHA-256 of the length of the role, a colon, the role and the text.
+    A turn is the SHA-256 of the length of its role, a colon, the role and the text; equal turn numbers go by it.
     """
     role, text = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("role", "text"))
     digest = F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), role, text).cast("binary"), 256))
     rows = conversations.select(
         order_id("conv_id").alias("conv"), F.col("turn").cast("long").alias("turn"), digest.alias("digest"), F.length(text).alias("size")
     )
-    rows = materialize(spark, rows, "turns")
-    dictionary = rows.select("digest").distinct().withColumn("id", F.monotonically_increasing_id())
-    dictionary = materialize(spark, dictionary, "turn-ids")  # written once: ids stay the same
-    listed = F.sort_array(F.collect_list(F.struct("turn", "digest", "id", "size")))
-    found = rows.join(dictionary, "digest").groupBy("conv").agg(listed.alias("t"))
-    return found.select("conv", F.col("t.id").alias("turns"), F.col("t.size").alias("sizes"))
+    found = rows.groupBy("conv").agg(F.sort_array(F.collect_list(F.struct("turn", "digest", "size"))).alias("t"))
+    return found.select("conv", F.col("t.digest").alias("turns"), F.col("t.size").alias("sizes"))
 
 
 def rebuild(spark: SparkSession, conversations: DataFrame) -> DataFrame:
-    """(conv, turns, sizes, seq): each conversation behind the opening of its hundred; seq is a digest of turns."""
-    own = materialize(spark, encode_turns(spark, conversations), "conversations")
+    """(conv, turns, sizes, seq): each conversation behind the opening of its hundred; seq is a digest of turns.
+
+    The conversations that give openings, one of a hundred, are read and encoded a second time, so that
+    nothing is written before they meet the others.
+    """
     known = F.col("conv") != LAST_ID
     opening = F.when(known, F.crc32(F.col("conv").cast("string").cast("binary")) % OPENINGS).otherwise(0).cast("int")
-    heads = own.where(known & (F.col("conv") % SPAN == 0)).select(
-        F.col("conv").alias("base"), *(F.slice(c, 1, OPENINGS - 1).alias(f"head_{c}") for c in ("turns", "sizes"))
-    )
-    based = own.withColumns({"base": F.when(known, F.col("conv") - F.col("conv") % SPAN), "opening": opening})
+    openers = encode_turns(conversations.where(F.col("conv_id").cast("long") % SPAN == 0)).where(known)
+    heads = openers.select(F.col("conv").alias("base"), *(F.slice(c, 1, OPENINGS - 1).alias(f"head_{c}") for c in ("turns", "sizes")))
+    based = encode_turns(conversations).withColumns({"base": F.when(known, F.col("conv") - F.col("conv") % SPAN), "opening": opening})
     joined = based.join(heads, "base", "left")
 
     def spliced(name: str) -> Column:
-        head = F.slice(F.coalesce(F.col(f"head_{name}"), F.expr(f"cast(array() as {'array<bigint>' if name == 'turns' else 'array<int>'})")), F.lit(1), F.col("opening"))
+        head = F.slice(F.coalesce(F.col(f"head_{name}"), F.expr(f"cast(array() as {'array<binary>' if name == 'turns' else 'array<int>'})")), F.lit(1), F.col("opening"))
         return F.concat(head, F.slice(name, F.col("opening") + 1, F.size(name))).alias(name)
 
     built = joined.select("conv", spliced("turns"), spliced("sizes"))
-    seq = F.unhex(F.sha2(F.array_join(F.col("turns").cast("array<string>"), ",").cast("binary"), 256))
+    seq = F.unhex(F.sha2(F.array_join(F.transform("turns", F.hex), "").cast("binary"), 256))
     return materialize(spark, built.withColumn("seq", seq), "rebuilt")
 
 
@@ -100,7 +98,7 @@ def shards(spark: SparkSession, rebuilt: DataFrame, shard_turns: int) -> DataFra
 
 class Sequence(NamedTuple):
     seq: bytes
-    turns: list[int]
+    turns: list[bytes]
     sizes: list[int]
     n: int
     conv: int
@@ -118,11 +116,11 @@ _TYPES = [pa.binary(), pa.binary(), *[pa.int64()] * 7, pa.binary()]
 _NAMES = [part.split()[0] for part in NODES.split(", ")]
 
 
-def _prefix_keys(turns: list[int], depth: int) -> list[bytes]:
+def _prefix_keys(turns: list[bytes], depth: int) -> list[bytes]:
     """Keys of the prefixes of 0..depth turns: each the SHA-256 of the one before and the next turn."""
     keys = [hashlib.sha256().digest()]
     for turn in turns[:depth]:
-        keys.append(hashlib.sha256(keys[-1] + turn.to_bytes(8, "big", signed=True)).digest())
+        keys.append(hashlib.sha256(keys[-1] + turn).digest())
     return keys
 
 
@@ -254,8 +252,8 @@ def prefix_trie(
     sorts last, is the smallest member only of its own nodes (as null) and an empty text among ids.
     Turn numbers that repeat go as in `encode_turns`; repeated rows are turns of their own. Extra
     columns are ignored. An empty table has no nodes. Texts are read once for their digest and length,
-    and a conversation is one row, of some 60 bytes a turn while its turns are put in order and 12
-    afterwards (up to 2 GB). A tree holds block_turns turns or one conversation. Copies of a conversation are counted before they meet.
+    those of one conversation in a hundred twice, and a conversation is one row, of some 60 bytes a
+    turn (up to 2 GB). A tree holds block_turns turns or one conversation. Copies of a conversation are counted before they meet.
     """
     rebuilt = rebuild(spark, conversations)
     dealt = shards(spark, rebuilt, shard_turns)

@@ -1,4 +1,4 @@
-"""Ternary search tree over sequences of turn ids: one block of a prefix trie and what its nodes hold."""
+"""Ternary search tree over sequences of turns, by any keys that compare: one block of a prefix trie and what its nodes hold."""
 
 from __future__ import annotations
 
@@ -10,7 +10,7 @@ ROOT = 0
 class TernaryTree:
     """Nodes are parallel lists; node 0 is the textless root.
 
-    Children of a node form a binary search tree by turn id: `below` and `above` are its branches,
+    Children of a node form a binary search tree by turn: `below` and `above` are its branches,
     `inner` leads from a node to the top of its children's tree. `up` is the parent in the trie.
     """
 

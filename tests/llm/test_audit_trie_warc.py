@@ -171,6 +171,20 @@ def test_prefix_trie_of_few_rows(spark):
         assert sorted(map(tuple, prefix_trie.prefix_trie(spark, frame, 5, 5).collect()), key=str) == trie_by_hand(rows)
 
 
+def test_turns_are_dealt_by_conversation_only(spark, talks, monkeypatch):
+    written, write = [], prefix_trie.materialize
+
+    def record(session, df, name):
+        written.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return write(session, df, name)
+
+    monkeypatch.setattr(prefix_trie, "materialize", record)
+    rebuilt = prefix_trie.rebuild(spark, spark.createDataFrame([(*r, "x", "y", 0, "z") for r in talks], TURNS))
+    assert rebuilt.count() == len({r[0] for r in talks})
+    assert [name for name, _ in written] == ["rebuilt"]
+    assert "hashpartitioning(conv" in written[0][1] and "hashpartitioning(digest" not in written[0][1]
+
+
 def test_ternary_tree_is_balanced():
     n = 4096
     tree = ternary_tree.TernaryTree()
