@@ -89,6 +89,18 @@ def test_hot_phone_cells_are_bounded_and_whole(spark):
     assert sizes.where("cliente_id = 1").count() > 5
 
 
+def test_longer_phone_lists_make_more_tasks(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        phones = spark.range(0, 2_000_000, 1, 4).select(
+            (F.col("id") % 300_000).alias("cliente_id"), F.sha2(F.col("id").cast("string"), 256).substr(1, 20).alias("numero"), "id")
+        tasks = contracts.phone_rows(phones).rdd.getNumPartitions()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tasks > 6  # without a bound on what a task reads: about one for each of 4 cores
+
+
 def test_hot_client_results_against_brute_force(spark):
     codes = ["1", "0", ""]
     rows = [(i, str(101 if i % 3 == 0 else 100 + i % 50), codes[(i * 7) % 3], "", "", "timeout" if i % 2 else "x") for i in range(3000)]
