@@ -18,8 +18,8 @@ THRESHOLD = 0.8
 #: Bits of the two bitmaps that tasks receive; their size never depends on the benchmark.
 BITMAP = 1 << 23
 WORD = regex.compile(r"[\p{L}\p{N}]+")
-#: Remembered word hashes per worker; bounds memory only.
-MAX_WORDS = 500_000
+#: Remembered word hashes per worker, some 7 MB; bounds memory only, larger tables are not faster.
+MAX_WORDS = 50_000
 
 
 class _WordHashes(dict):
@@ -33,6 +33,11 @@ class _WordHashes(dict):
 HASHES = _WordHashes()
 
 
+def forget() -> None:
+    """Empties the worker's word hashes."""
+    HASHES.clear()
+
+
 def words_of(text: str | None) -> list[str]:
     """Runs of letters and digits, lower-cased."""
     return WORD.findall(text.lower()) if text else []
@@ -132,7 +137,6 @@ def _scan(shared, spans: list[int]):
                 "hits": pa.array(hits, pa.list_(pa.int64())),
                 "shingles": pa.array(found, pa.list_(pa.string())),
             })
-        HASHES.clear()
 
     return run
 
@@ -155,13 +159,13 @@ def contaminated(
     tables give an empty table.
     """
     listed = items.select(F.xxhash64("item_id", "text").alias("item_key"), F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).distinct()
-    table = materialize(spark, listed.mapInArrow(_item_shingles(size, threshold), ITEM_SCHEMA), "items")
+    table = materialize(spark, listed.mapInArrow(released(_item_shingles(size, threshold), forget), ITEM_SCHEMA), "items")
     sketch = table.where("in_sketch")
     spans = sorted(r["words"] for r in table.select("words").distinct().collect())
     maps = tuple(np.packbits(_bitmap(t.select("hash"))) for t in (sketch, table))
     shared = spark.sparkContext.broadcast(maps)
     rows = docs.select(order_id().alias("order_id"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), F.col("text").cast("string").alias("text"))
-    scanned = rows.mapInArrow(released(_scan(shared, spans)), "order_id long, doc_id long, text_key long, hits array<long>, shingles array<string>")
+    scanned = rows.mapInArrow(released(_scan(shared, spans), forget), "order_id long, doc_id long, text_key long, hits array<long>, shingles array<string>")
     scanned = materialize(spark, scanned, "hits")
     key = ["order_id", "text_key"]
     pairs = (

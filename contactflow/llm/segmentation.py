@@ -532,6 +532,12 @@ def lattice_for(path: str) -> Lattice:
     return lattice
 
 
+def forget() -> None:
+    """Drops the worker's lattices and vocabularies."""
+    LATTICES.clear()
+    vocabulary.cache_clear()
+
+
 def row_key(seed: int, doc_id: int | None, text: str) -> int:
     return xxhash.xxh64_intdigest(f"{seed}:{doc_id}:".encode() + text.encode("utf-8", "surrogatepass"))
 
@@ -585,11 +591,9 @@ def sample_segmentations(docs: DataFrame, model: str, k: int, seed: int = 0, wit
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from segment(batch)
-        LATTICES.clear()
-        vocabulary.cache_clear()
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(released(run), SCHEMA)
+    return rows.mapInArrow(released(run, forget), SCHEMA)
 
 
 def summary(found: DataFrame) -> DataFrame:
