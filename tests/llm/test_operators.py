@@ -402,6 +402,21 @@ def test_url_filter(spark):
     assert url_filter.judge(spark, pages.limit(0), rules).count() == 0
 
 
+def test_tasks_leave_no_caches_in_their_workers(spark, make):
+    def left(batches):
+        import pyarrow as pa
+
+        from contactflow.llm import decontamination, segmentation
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": pa.array([len(decontamination.HASHES) + len(segmentation.LATTICES)], pa.int64())})
+
+    docs = make([(i, prose(30)) for i in range(40)]).repartition(4)
+    decontamination.contaminated(spark, docs, spark.createDataFrame([(1, prose(8))], "item_id long, text string")).count()
+    segmentation.sample_segmentations(docs, PIECES, 2).collect()
+    assert max(r.n for r in spark.range(0, 64, 1, 16).mapInArrow(left, "n long").collect()) == 0
+
+
 def test_registered_queries_and_pipeline(spark, sf_dir):
     import __spark_entry__ as entry_point
     import corpus_pipeline
